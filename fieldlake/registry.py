@@ -9,15 +9,9 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DateType, DecimalType
 
 from fieldlake.contracts import FACT_YIELD, ROLLUPS, STAR, conform
-from fieldlake.functions import parse_dates, upper_columns
+from fieldlake.functions import text
+from fieldlake.operators import resolve
 from fieldlake.operators.dedup import first_per_key
-from fieldlake.operators.resolve import (
-    match_exact,
-    match_nearest,
-    match_unmatched,
-    resolve_tiers,
-    unmatched_places,
-)
 from fieldlake.operators.stats import attribute_spread, preview, stable_sample
 from fieldlake.plans import analysis, charts, model, quality
 from fieldlake.plans.lake import Lake
@@ -91,14 +85,14 @@ def dedup_composite_key(lake):
 @query
 def standardize_text(lake):
     feed = lake.feed("feed_farms").select("farm_id", "state", "district", "crop")
-    return upper_columns(feed, ["state", "district", "crop"])
+    return text.upper_columns(feed, ["state", "district", "crop"])
 
 
 @query
-def parse_date_columns(lake):
+def parse_dates(lake):
     # `season` is not a date: text that does not parse becomes null.
     feed = lake.feed("feed_farms").select("farm_id", "sowing_date", "harvesting_date", "season")
-    return parse_dates(feed, ["sowing_date", "harvesting_date", "season"])
+    return text.parse_dates(feed, ["sowing_date", "harvesting_date", "season"])
 
 
 @query
@@ -140,36 +134,36 @@ def weather_for_known_stations(lake):
 
 
 @query
-def match_exact_place(lake):
+def match_exact(lake):
     farms = lake.farms.select("farm_id", "state", "district")
-    return match_exact(farms, lake.dim_stations).select(
+    return resolve.match_exact(farms, lake.dim_stations).select(
         "farm_id", "state", "district", "matched_station_code"
     )
 
 
 @query
-def match_unmatched_farms(lake):
+def match_unmatched(lake):
     farms = lake.farms.select("farm_id", "state", "district")
-    return match_unmatched(farms, lake.dim_stations).select("farm_id", "state", "district")
+    return resolve.match_unmatched(farms, lake.dim_stations).select("farm_id", "state", "district")
 
 
 @query
-def unmatched_place_list(lake):
-    return unmatched_places(lake.farms, lake.dim_stations)
+def unmatched_places(lake):
+    return resolve.unmatched_places(lake.farms, lake.dim_stations)
 
 
 @query
 def match_nearest_in_group(lake):
-    farms = match_unmatched(
+    farms = resolve.match_unmatched(
         lake.farms.select("farm_id", "state", "district", "sowing_date"), lake.dim_stations
     ).select("farm_id", "state", "sowing_date")
-    return match_nearest(farms, readings(lake))
+    return resolve.match_nearest(farms, readings(lake))
 
 
 @query
 def match_two_tier(lake):
     farms = lake.farms.select("farm_id", "state", "district", "sowing_date")
-    return resolve_tiers(farms, lake.dim_stations, readings(lake))
+    return resolve.resolve_tiers(farms, lake.dim_stations, readings(lake))
 
 
 @query
