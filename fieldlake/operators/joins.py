@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from fieldlake.sinks.settle import settle
+
 
 def star_join(
     fact: DataFrame, other: DataFrame, fact_key: str, other_key: str, suffix: str
@@ -24,13 +26,13 @@ def star_join(
 
 
 def not_in(left: DataFrame, column: str, excluded: DataFrame) -> DataFrame:
-    """SQL `NOT IN` for one column without broadcasting the excluded set.
+    """SQL `NOT IN` for one column; the excluded set is broadcast only if it is small.
 
     Like NOT IN, the result is empty when the set contains a null, and a null on
     the left only survives an empty set.
     """
     name = excluded.columns[0]
-    listed = excluded.select(F.col(name).alias("_excluded")).distinct()
+    listed = settle(excluded.select(F.col(name).alias("_excluded")).distinct(), "excluded")
     summary = listed.agg(
         F.count(F.lit(1)).alias("size"),
         F.count_if(F.col("_excluded").isNull()).alias("nulls"),

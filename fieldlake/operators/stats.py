@@ -8,20 +8,18 @@ from itertools import combinations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-_PAIR = "struct<a:string,b:string,r:double>"
-
 
 def pearson(a: str, b: str, places: int = 6) -> Column:
-    """Correlation of the rows where both values exist; null below two rows."""
-    x, y = F.col(a).cast("double"), F.col(b).cast("double")
-    both = F.count_if(x.isNotNull() & y.isNotNull())
-    r = F.corr(x, y)
-    return F.when((both >= 2) & ~F.isnan(r), F.round(r, places))
+    """Correlation of the rows where both values exist; null when it is undefined."""
+    r = F.corr(F.col(a), F.col(b))
+    return F.round(F.nanvl(r, F.lit(None).cast("double")), places)
 
 
 def correlations(df: DataFrame, pairs: Sequence[tuple[str, str]]) -> DataFrame:
     """One row (a, b, r) per pair, all from a single pass."""
-    wide = df.agg(*[pearson(a, b).alias(f"r{i}") for i, (a, b) in enumerate(pairs)])
+    used = dict.fromkeys(name for pair in pairs for name in pair)
+    numbers = df.select(*[F.col(name).cast("double").alias(name) for name in used])
+    wide = numbers.agg(*[pearson(a, b).alias(f"r{i}") for i, (a, b) in enumerate(pairs)])
     return wide.select(
         F.inline(
             F.array(

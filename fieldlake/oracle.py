@@ -466,8 +466,8 @@ def bodies() -> dict[str, str | dict[str, str]]:
             {avg("farm_reported_rainfall_mm - rainfall_mm")} as avg_absolute_gap_mm,
             {rounded("sum(off)", "count(off)", 8, 2)} as avg_gap_percentage
             from (select *, cast({_OFF_PERCENT} as bigint) as off from joined) group by state""",
-        "rank_crops": f"""select *, rank() over (partition by state
-              order by avg_sustainability_score desc nulls last) as sustainability_rank
+        "rank_crops": f"""select *, cast(rank() over (partition by state
+              order by avg_sustainability_score desc nulls last) as int) as sustainability_rank
             from (select state, crop, {avg("sustainability_score")} as avg_sustainability_score
                   from farm_yield group by state, crop)""",
         "best_crop_per_state": f"""select state, crop, round(avg_score, 6) as avg_score, crop_rank

@@ -119,14 +119,17 @@ def states_without_alerts(
 ) -> DataFrame:
     """States none of whose farms is resolved to a station with an alert.
 
-    Alerted stations filter the facts first, so only farms under an alert meet
-    the farm dimension.
+    The facts shrink to distinct (state, station) pairs before they meet the
+    weather, so a station or a state with very many farms costs no more.
     """
-    stations = fact_weather.where(alerted()).select("station_code")
-    exposed = fact_yield.join(
-        stations, F.col("matched_station_code") == F.col("station_code"), "left_semi"
+    pairs = (
+        farm_yield(fact_yield, dim_farms)
+        .where(F.col("matched_station_code").isNotNull())
+        .select("state", F.col("matched_station_code").alias("station_code"))
+        .distinct()
     )
-    excluded = dim_farms.join(exposed, "farm_id", "left_semi").select("state").distinct()
+    stations = fact_weather.where(alerted()).select("station_code")
+    excluded = pairs.join(stations, "station_code", "left_semi").select("state")
     return not_in(dim_farms.select("state").distinct(), "state", excluded)
 
 

@@ -12,6 +12,7 @@ from pyspark.sql.types import DecimalType, VarcharType
 from fieldlake.contracts import Contract, STAR
 from fieldlake.operators.joins import orphans, star_join
 from fieldlake.operators.resolve import EXACT, UNRESOLVED
+from fieldlake.sinks.settle import settle
 
 Star = dict[str, DataFrame]
 
@@ -102,8 +103,9 @@ def check_fallback_places(star: Star) -> DataFrame:
     """No farm of a place without a station may claim an exact match."""
     farms, stations = star["dim_farms"], star["dim_weather_stations"]
     place = ["state", "district"]
-    without = (
-        farms.select(*place).distinct().join(stations.select(*place).distinct(), place, "left_anti")
+    without = settle(
+        farms.select(*place).distinct().join(stations.select(*place).distinct(), place, "left_anti"),
+        "places-without-station",
     )
     same = [F.col(f"f.{c}").eqNullSafe(F.col(f"p.{c}")) for c in place]
     affected = farms.alias("f").join(without.alias("p"), same, "left_semi").select("farm_id")

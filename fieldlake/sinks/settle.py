@@ -23,13 +23,14 @@ def shared_dir(spark: SparkSession) -> str:
     The cluster names it in `spark.checkpoint.dir`. Only a local master without
     that setting gets a temporary folder.
     """
-    base = spark.conf.get(_CONF, None) or spark.sparkContext.getConf().get(_CONF)
+    context = spark.sparkContext
+    base = spark.conf.get(_CONF, None) or context.getConf().get(_CONF) or context.getCheckpointDir()
     if not base:
-        if not spark.sparkContext.master.startswith("local"):
+        if not context.master.startswith("local"):
             raise RuntimeError(f"set {_CONF} to a folder that all executors can reach")
         base = tempfile.mkdtemp(prefix="fieldlake-")
         spark.conf.set(_CONF, base)
-    return f"{base.rstrip('/')}/fieldlake/{spark.sparkContext.applicationId}"
+    return f"{base.rstrip('/')}/fieldlake/{context.applicationId}"
 
 
 def settle(df: DataFrame, label: str) -> DataFrame:
