@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass, field
 
-from pyspark.errors import AnalysisException, PySparkException
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 
 from fieldlake.contracts import STAR
@@ -78,10 +78,7 @@ def load_tables(
     """The named tables; from `fallback` when the database cannot be read."""
     try:
         return {name: read_table(spark, source, name) for name in tables}
-    except PySparkException:
+    except Exception:  # errors of a JDBC driver arrive in the bridge's own types
         if fallback is None or not isinstance(source, Database):
             raise
-    except Exception as error:  # a JDBC driver's own error arrives untyped
-        if fallback is None or "java.sql" not in str(error):
-            raise
     return load_tables(spark, fallback, tables)
