@@ -11,8 +11,11 @@ from pyspark.sql import functions as F
 
 def pearson(a: str, b: str, places: int = 6) -> Column:
     """Correlation of the rows where both values exist; null when it is undefined."""
-    r = F.corr(F.col(a), F.col(b))
-    return F.round(F.nanvl(r, F.lit(None).cast("double")), places)
+    x = F.when(F.col(b).isNotNull(), F.col(a))
+    y = F.when(F.col(a).isNotNull(), F.col(b))
+    # The built-in correlation raises on a constant column under ANSI rules.
+    r = F.try_divide(F.covar_pop(x, y), F.stddev_pop(x) * F.stddev_pop(y))
+    return F.round(r, places)
 
 
 def correlations(df: DataFrame, pairs: Sequence[tuple[str, str]]) -> DataFrame:
