@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from fieldlake.contracts import PUBLISH_ORDER, ROLLUPS, STAR
 from fieldlake.plans.quality import contract_violations, same_columns, union_all
+from fieldlake.sinks.files import read_text, write_text
 from fieldlake.sources.tables import Files, MissingTableError, read_table
 
 _POINTER = "CURRENT"
@@ -58,7 +59,7 @@ class Snapshot:
     def commit(self, validate: Callable[[dict[str, DataFrame]], None] | None = None) -> str:
         if validate:
             validate(self.tables())
-        _write_text(self.spark, f"{self.target}/{_POINTER}", self.run)
+        write_text(self.spark, f"{self.target}/{_POINTER}", self.run)
         return self.run
 
 
@@ -78,9 +79,9 @@ def publish(
 def current(spark: SparkSession, target: str) -> Files:
     """The tables readers should use."""
     path = f"{target.rstrip('/')}/{_POINTER}"
-    if not _exists(spark, path):
+    run = read_text(spark, path)
+    if run is None:
         raise MissingTableError(f"nothing published under {target}")
-    run = spark.read.text(path).first()[0]
     return Files(f"{target.rstrip('/')}/run={run}")
 
 
@@ -105,22 +106,3 @@ def require_clean_contracts(tables: dict[str, DataFrame]) -> None:
 
 def _position(name: str) -> int:
     return PUBLISH_ORDER.index(name) if name in PUBLISH_ORDER else len(PUBLISH_ORDER)
-
-
-def _path(spark: SparkSession, path: str):
-    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    return target, target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-
-
-def _exists(spark: SparkSession, path: str) -> bool:
-    target, fs = _path(spark, path)
-    return fs.exists(target)
-
-
-def _write_text(spark: SparkSession, path: str, text: str) -> None:
-    target, fs = _path(spark, path)
-    stream = fs.create(target, True)
-    try:
-        stream.write(bytearray(text, "utf-8"))
-    finally:
-        stream.close()

@@ -14,6 +14,8 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+from fieldlake.sinks.files import file_state
+
 _CONF = "spark.checkpoint.dir"
 
 
@@ -74,23 +76,15 @@ def settle_table(
 
 def bucket_count(spark: SparkSession, stored: DataFrame, bucket_bytes: int = 128 << 20) -> int:
     """Buckets of about `bucket_bytes` of a stored frame, at least a few to share the work."""
-    size, _, _ = zip(*[_file_state(spark, path) for path in _folders(stored)])
+    size, _, _ = zip(*[file_state(spark, path) for path in _folders(stored)])
     least = min(8, spark.sparkContext.defaultParallelism)
     return max(least, min(-(-sum(size) // bucket_bytes), 50_000))
 
 
 def source_state(spark: SparkSession, paths: list[str]) -> tuple:
     """Size, file count and modification time of each path."""
-    return tuple(_file_state(spark, path) for path in paths)
+    return tuple(file_state(spark, path) for path in paths)
 
 
 def _folders(stored: DataFrame) -> list[str]:
     return sorted({path.rsplit("/", 1)[0] for path in stored.inputFiles()})
-
-
-def _file_state(spark: SparkSession, path: str) -> tuple[int, int, int]:
-    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    fs = target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    summary = fs.getContentSummary(target)
-    modified = fs.getFileStatus(target).getModificationTime()
-    return summary.getLength(), summary.getFileCount(), modified

@@ -14,25 +14,30 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from fieldlake.contracts import Contract
+from fieldlake.contracts import FEEDS, Contract
 from fieldlake.operators.dedup import first_per_key
+from fieldlake.plans.pipeline import refresh
+from fieldlake.sinks.files import child_names, read_text, write_text
+from fieldlake.sources.feeds import FEED_FILES
 
 _ARRIVED, _FILE, _BATCH = "_arrived", "_file", "_batch"
 
 Handler = Callable[[DataFrame, int], None]
 
 
-def read_new_files(spark: SparkSession, raw_dir: str, contract: Contract) -> DataFrame:
+def read_new_files(
+    spark: SparkSession, raw_dir: str, contract: Contract, pattern: str = "*.csv"
+) -> DataFrame:
     """Stream of the CSV files in a folder with each row's file and arrival time.
 
-    Only names ending in .csv count, so files the job writes cannot start it.
+    Only names that fit the pattern count, so files the job writes cannot start it.
     """
     files = (
         spark.readStream.schema(contract.schema)
         .option("header", True)
         .option("enforceSchema", False)
         .option("mode", "FAILFAST")
-        .option("pathGlobFilter", "*.csv")
+        .option("pathGlobFilter", pattern)
         .csv(raw_dir)
     )
     return files.select(
@@ -55,13 +60,50 @@ def landed(spark: SparkSession, landing: str, contract: Contract) -> DataFrame:
 
 
 def refresh_stream(
-    spark: SparkSession, raw_dir: str, contract: Contract, checkpoint: str, handler: Handler
+    spark: SparkSession,
+    raw_dir: str,
+    contract: Contract,
+    checkpoint: str,
+    handler: Handler,
+    pattern: str = "*.csv",
 ) -> StreamingQuery:
     """Pass all files not yet seen to `handler` as micro-batches, then stop."""
     return (
-        read_new_files(spark, raw_dir, contract)
+        read_new_files(spark, raw_dir, contract, pattern)
         .writeStream.option("checkpointLocation", checkpoint)
         .foreachBatch(handler)
         .trigger(availableNow=True)
         .start()
     )
+
+
+def refresh_on_arrival(
+    spark: SparkSession, raw_dir: str, landing: str, checkpoint: str, target: str, **options
+) -> dict[str, int] | None:
+    """Land all new feed files, then rebuild and publish the model if anything changed.
+
+    A feed's files are those whose name starts like its usual file. Nothing is
+    published before every feed has landed once. What was landed is noted after
+    publication, so a run that stops half-way is made up for by the next one.
+    Returns the rows read per feed, or None if there was nothing to do.
+    """
+    for name, file in FEED_FILES.items():
+        folder = f"{landing.rstrip('/')}/{name}"
+        refresh_stream(
+            spark,
+            raw_dir,
+            FEEDS[name],
+            f"{checkpoint.rstrip('/')}/{name}",
+            lambda batch, batch_id, folder=folder: land(batch, batch_id, folder),
+            pattern=file.replace(".csv", "*.csv"),
+        ).awaitTermination()
+
+    note = f"{target.rstrip('/')}/LANDED"
+    batches = {name: child_names(spark, f"{landing.rstrip('/')}/{name}") for name in FEED_FILES}
+    state = " ".join(f"{name}:{len(found)}:{max(found, default='')}" for name, found in batches.items())
+    if not all(batches.values()) or read_text(spark, note) == state:
+        return None
+    feeds = {name: landed(spark, f"{landing.rstrip('/')}/{name}", FEEDS[name]) for name in FEED_FILES}
+    counts = refresh(feeds, target, **options)
+    write_text(spark, note, state)
+    return counts
