@@ -64,7 +64,9 @@ def quantile_trend(
         .where(F.size("_edges") > 1),
         "edges",
     )
-    below = F.size(F.filter("_edges", lambda edge: edge < F.col("_x")))
+    below = sum(
+        F.when(F.get("_edges", F.lit(i)) < F.col("_x"), 1).otherwise(0) for i in range(bins + 1)
+    )
     return (
         usable.join(edges, F.col(group).eqNullSafe(F.col("_group")))
         .select(
