@@ -9,16 +9,26 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from fieldlake.llm import decontaminate, jaccard_join, mixing, token_store, toxicity
+from fieldlake.llm import (
+    context_mixing, decontaminate, html_text, jaccard_join, language, licenses, mixing, spotsigs, token_store, toxicity,
+)
 from fieldlake.llm.common import documents, fold_of, table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op1_context_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return context_mixing.score(documents(spark, sf_dir))
+
+
 def op2_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_store.encode_and_read(documents(spark, sf_dir), public_tokenizers.path("byte_bpe_50k.json"))
 
 
+def op3_spotsigs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spotsigs.fingerprints(documents(spark, sf_dir))
+
+
 def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     mixed = mixing.mix(documents(spark, sf_dir), table(spark, sf_dir, "labels"))
     return mixed.select("doc_id", "size", "source_size", "target", "taken")
@@ -28,6 +38,21 @@ def op5_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.leaks(documents(spark, sf_dir), table(spark, sf_dir, "benchmark"))
 
 
+def op6_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan(documents(spark, sf_dir))
+
+
+def op7_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    found = language.identify(docs, language.fit(docs))
+    return found.select("doc_id", (fold_of("doc_id", 3) == 1).alias("held_out"), "lang_pred", "score")
+
+
+def op8_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages")
+    return html_text.extract(pages, html_text.fit(pages))
+
+
 def op9_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join.link_components(documents(spark, sf_dir))
 
@@ -40,9 +65,14 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
+    "op1_context_mixing": op1_context_mixing,
     "op2_token_store": op2_token_store,
+    "op3_spotsigs": op3_spotsigs,
     "op4_mixing": op4_mixing,
     "op5_decontaminate": op5_decontaminate,
+    "op6_licenses": op6_licenses,
+    "op7_language": op7_language,
+    "op8_html_text": op8_html_text,
     "op9_jaccard_join": op9_jaccard_join,
     "op10_toxicity": op10_toxicity,
     "pipeline": corpus_pipeline.run,
