@@ -14,6 +14,8 @@ lost executor safe and any file system will do.
 from __future__ import annotations
 
 import os
+import sys
+import types
 import zlib
 from collections.abc import Iterator
 
@@ -24,84 +26,154 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from fieldlake.llm.common import Scratch
-from fieldlake.llm.words import U64, mixed
+from fieldlake.llm.words import U64, mixed, pieces, word_hashes
 
 MAGIC, VERSION = 0x464C5453, 1
 SHARD_SCHEMA = "part int, seq int, n_docs int, n_ids long, doc_ids array<bigint>, shard binary"
-_ENCODERS: dict[str, "Encoder"] = {}
+_SPACE, _LINE = 0x20, 0x0A
+_LETTER = np.array([chr(i).isalpha() and i < 128 for i in range(256)])
+_MARK = np.isin(np.arange(256), [ord(x) for x in ".,;:!?)"])
 
 
 class Encoder:
-    """Ids of texts by a tokenizer file, with the ids of recent words kept.
-
-    A byte-level pre-tokenizer always starts a new token at a single space after another
-    character, so a text may be cut there and equal parts encoded once. Texts with runs of
-    spaces or a special token's string are encoded whole. `limit` bounds the words kept.
+    """Ids of texts by a byte-level BPE file, with the ids of recent words kept.
+
+    The pre-tokenizer always starts a new token at a single space after another character, at
+    a mark after an ASCII letter, and on both sides of a single line feed between letters or
+    marks. A text may be cut there and equal parts encoded once; parts are known by a 64-bit
+    hash. Missing parts are encoded together, and each part's ids are told apart by the bytes
+    that ids stand for. Texts with a space at either end or next to another, or with a special
+    token's string, are encoded whole. Beyond `limit` parts, those used once are forgotten.
     """
 
-    def __init__(self, path: str, limit: int = 200_000):
+    def __init__(self, path: str, limit: int = 300_000):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.special = [x.content for x in self.tokenizer.get_added_tokens_decoder().values()]
+        self.special = [x.content.encode() for x in self.tokenizer.get_added_tokens_decoder().values()]
         self.width = 2 if self.tokenizer.get_vocab_size() <= 1 << 16 else 4
+        # A byte-level vocabulary writes one character for each byte.
+        self.bytes_of = np.zeros(self.tokenizer.get_vocab_size(), dtype=np.int64)
+        for token, number in self.tokenizer.get_vocab().items():
+            self.bytes_of[number] = len(token)
         self.limit = limit
-        self._forget()
+        self.known: dict[int, int] = {}
+        self.ids = np.zeros(0, dtype=np.uint32)
+        self.starts, self.counts, self.hits = (np.zeros(0, dtype=np.int64) for _ in range(3))
+
+    def _whole(self, text: bytes) -> np.ndarray:
+        return np.array(self.tokenizer.encode(text.decode(), add_special_tokens=False).ids, dtype=np.uint32)
+
+    def _add(self, keys: list[int], ids: list[np.ndarray], counts: np.ndarray) -> None:
+        """Keep the ids of parts; without keys they are kept for this run only."""
+        first = len(self.counts)
+        self.known.update(zip(keys, range(first, first + len(keys))))
+        self.starts = np.concatenate([self.starts, len(self.ids) + np.cumsum(counts) - counts])
+        self.counts = np.concatenate([self.counts, counts])
+        self.hits = np.concatenate([self.hits, np.zeros(len(counts), dtype=np.int64)])
+        self.ids = np.concatenate([self.ids, *ids])
 
     def _forget(self) -> None:
-        self.known: dict[str, int] = {}
-        self.ids = np.zeros(1 << 16, dtype=np.uint32)
-        self.starts = np.zeros(1 << 14, dtype=np.int64)
-        self.counts = np.zeros(1 << 14, dtype=np.int64)
-        self.used = 0
-
-    def _learn(self, parts: list[str]) -> None:
-        for at in range(0, len(parts), 4096):
-            some = parts[at : at + 4096]
-            found = [x.ids for x in self.tokenizer.encode_batch(some, add_special_tokens=False)]
-            sizes = np.fromiter(map(len, found), np.int64, len(found))
-            first, total = len(self.known), int(sizes.sum())
-            while first + len(some) > len(self.starts):
-                self.starts, self.counts = (np.concatenate([x, np.zeros_like(x)]) for x in (self.starts, self.counts))
-            while self.used + total > len(self.ids):
-                self.ids = np.concatenate([self.ids, np.zeros_like(self.ids)])
-            self.counts[first : first + len(some)] = sizes
-            self.starts[first : first + len(some)] = self.used + np.cumsum(sizes) - sizes
-            self.ids[self.used : self.used + total] = np.fromiter((i for x in found for i in x), np.uint32, total)
-            self.used += total
-            self.known.update(zip(some, range(first, first + len(some))))
-
-    def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """Ids of all texts in order, and the number of ids of each."""
-        parts: list[str] = []
-        sizes = []
-        for text in texts:
-            if "  " in text or any(x in text for x in self.special):
-                sizes.append(1)
-                parts.append(text)
-                continue
-            # A part after the first keeps its space; the mark is cheaper than a copy of each part.
-            own = text.split(" ")
-            own[1:] = [f" {x}" for x in own[1:]]
-            sizes.append(len(own))
-            parts += own
-        if len(self.known) > self.limit:
-            self._forget()
-        self._learn([x for x in set(parts) if x not in self.known])
-        at = np.fromiter(map(self.known.__getitem__, parts), np.int64, len(parts))
+        """Keep the parts that were used again."""
+        at = np.fromiter(self.known.values(), np.int64, len(self.known))
+        stay = self.hits[at] > 1
+        kept = at[stay]
+        counts = self.counts[kept]
+        ids = self._gather(kept)
+        keys = [k for k, s in zip(self.known, stay.tolist()) if s]
+        self.known, self.ids = {}, np.zeros(0, dtype=np.uint32)
+        self.starts, self.counts, self.hits = (np.zeros(0, dtype=np.int64) for _ in range(3))
+        if len(keys) < self.limit // 2:
+            self._add(keys, [ids], counts)
+
+    def _gather(self, at: np.ndarray) -> np.ndarray:
         counts = self.counts[at]
         ends = np.cumsum(counts)
         total = int(ends[-1]) if len(ends) else 0
-        ids = self.ids[np.repeat(self.starts[at] - (ends - counts), counts) + np.arange(total)]
-        bounds = np.concatenate([[0], ends])[np.concatenate([[0], np.cumsum(sizes)]).astype(np.int64)]
-        return ids, np.diff(bounds)
+        return self.ids[np.repeat(self.starts[at] - (ends - counts), counts) + np.arange(total)]
+
+    def _learn(self, keys: np.ndarray, data: bytes, starts: np.ndarray, ends: np.ndarray) -> None:
+        codes = np.frombuffer(data, np.uint8)
+        spaced = codes[starts] == _SPACE
+        # Words without a space may stand in lines of their own.
+        lined = _LETTER[codes[starts]] & (_LETTER[codes[ends - 1]] | _MARK[codes[ends - 1]])
+        alone = np.flatnonzero(~spaced & ~lined)
+        if len(alone):
+            ids = [self._whole(data[a:b]) for a, b in zip(starts[alone].tolist(), ends[alone].tolist())]
+            self._add(keys[alone].tolist(), ids, np.array([len(x) for x in ids]))
+        for chosen, between in ((spaced, b""), (lined & ~spaced, b"\n")):
+            rest = np.flatnonzero(chosen)
+            for part in np.array_split(rest, max(1, len(rest) // 8192)):
+                if not len(part):
+                    continue
+                ids = self._whole(between.join([data[a:b] for a, b in zip(starts[part].tolist(), ends[part].tolist())]))
+                sizes = ends[part] - starts[part]
+                places = np.cumsum(self.bytes_of[ids])
+                stops = np.cumsum(sizes + len(between)) - len(between)
+                last = np.searchsorted(places, stops) + 1
+                first = np.searchsorted(places, stops - sizes, "right")
+                counts = last - first
+                kept = np.repeat(first - (np.cumsum(counts) - counts), counts) + np.arange(int(counts.sum()))
+                self._add(keys[part].tolist(), [ids[kept]], counts)
+
+    def encode(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all texts of a run in order, and the number of ids of each."""
+        if len(self.known) > self.limit:
+            self._forget()
+        whole = data.tobytes()
+        n = len(offsets) - 1
+        space = data == _SPACE
+        odd = np.zeros(n, dtype=bool)
+        double = np.flatnonzero(space[1:] & space[:-1])
+        odd[np.searchsorted(offsets, double, "right") - 1] = True
+        full = np.flatnonzero(offsets[1:] > offsets[:-1])
+        odd[full] |= space[offsets[full]] | space[offsets[full + 1] - 1]
+        for mark in self.special:
+            at = whole.find(mark)
+            while at >= 0:
+                odd[np.searchsorted(offsets, at, "right") - 1] = True
+                at = whole.find(mark, at + 1)
+        owner_odd = np.repeat(odd, np.diff(offsets))
+        cut = space.copy()
+        letter, mark, line = _LETTER[data], _MARK[data], data == _LINE
+        plain = letter | mark
+        cut[1:] |= letter[:-1] & mark[1:]
+        single = np.flatnonzero(line[1:-1] & plain[:-2] & letter[2:]) + 1
+        cut[single] = cut[single + 1] = True
+        cut &= ~owner_odd
+        cut[offsets[full]] = True
+        starts = np.flatnonzero(cut)
+        ends = np.append(starts[1:], len(data))
+        sizes = np.diff(np.searchsorted(starts, offsets))
+        stays = ~owner_odd[starts]
+        starts, ends = starts[stays], ends[stays]
+        keys = word_hashes(data, starts, ends, None)
+        found, at, which = np.unique(keys, return_index=True, return_inverse=True)
+        missing = np.fromiter((k not in self.known for k in found.tolist()), bool, len(found))
+        at = at[missing]
+        self._learn(found[missing], whole, starts[at], ends[at])
+        number = np.fromiter(map(self.known.__getitem__, found.tolist()), np.int64, len(found))
+        self.hits[number] += np.bincount(which, minlength=len(found))
+        parts = np.zeros(int(sizes.sum()), dtype=np.int64)
+        bounds = np.concatenate([[0], np.cumsum(sizes)])
+        is_odd = np.repeat(odd, sizes)
+        parts[~is_odd] = number[which]
+        if odd.any():
+            own = [self._whole(whole[offsets[i] : offsets[i + 1]]) for i in np.flatnonzero(odd)]
+            # These ids are no part of the table of words.
+            parts[is_odd] = len(self.counts) + np.arange(len(own))
+            self._add([], own, np.array([len(x) for x in own]))
+        ends = np.concatenate([[0], np.cumsum(self.counts[parts])])
+        return self._gather(parts), np.diff(ends[bounds])
 
 
 def encoder(path: str) -> Encoder:
-    if path not in _ENCODERS:
-        _ENCODERS[path] = Encoder(path)
-    return _ENCODERS[path]
+    """The worker's encoder of a file: it outlives the task, whose own globals do not."""
+    kept = sys.modules.setdefault("fieldlake_worker", types.ModuleType("fieldlake_worker"))
+    if path not in vars(kept):
+        setattr(kept, path, Encoder(path))
+    return getattr(kept, path)
 
 
 def key_hashes(doc_ids: list[int | None]) -> np.ndarray:
@@ -223,31 +295,20 @@ def write(
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder, part, seq = encoder(tokenizer), TaskContext.get().partitionId(), 0
-        kept: list[tuple[int | None, str]] = []
-        size = 0
-
-        def flush() -> pa.RecordBatch:
-            nonlocal kept, size, seq
-            ids, counts = coder.encode([x[1] for x in kept])
-            places = np.cumsum(counts)
-            ids = np.insert(ids, places, end_id)
-            keys = [x[0] for x in kept]
-            row = {
-                "part": [part], "seq": [seq], "n_docs": [len(keys)], "n_ids": [len(ids)],
-                "doc_ids": [keys], "shard": [write_shard(keys, ids, counts + 1, coder.width)],
-            }
-            kept, size, seq = [], 0, seq + 1
-            return pa.RecordBatch.from_pydict(row, schema=_SHARD_ARROW)
-
         for batch in batches:
-            for key, text in zip(batch.column(0).to_pylist(), batch.column(1)):
-                own = text.as_py() or ""
-                kept.append((key, own))
-                size += len(own) + 8
-                if size >= shard_bytes or len(kept) >= shard_docs:
-                    yield flush()
-        if kept:
-            yield flush()
+            doc_ids = batch.column(0).to_pylist()
+            for first, data, offsets in pieces(batch.column(1), shard_bytes):
+                for at in range(0, len(offsets) - 1, shard_docs):
+                    own = offsets[at : at + shard_docs + 1]
+                    ids, counts = coder.encode(data[own[0] : own[-1]], own - own[0])
+                    ids = np.insert(ids, np.cumsum(counts), end_id)
+                    keys = doc_ids[first + at : first + at + len(counts)]
+                    row = {
+                        "part": [part], "seq": [seq], "n_docs": [len(keys)], "n_ids": [len(ids)],
+                        "doc_ids": [keys], "shard": [write_shard(keys, ids, counts + 1, coder.width)],
+                    }
+                    seq += 1
+                    yield pa.RecordBatch.from_pydict(row, schema=_SHARD_ARROW)
 
     tie = F.xxhash64("text")
     ordered = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").repartitionByRange("doc_id", tie)

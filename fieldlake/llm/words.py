@@ -85,10 +85,11 @@ def word_bounds(data: np.ndarray, offsets: np.ndarray, inside: np.ndarray = SPAC
     return starts, ends, np.searchsorted(starts, offsets)
 
 
-def word_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """64-bit hash of each word, lower-cased in A-Z."""
+def word_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, fold: np.ndarray | None = LOWER) -> np.ndarray:
+    """64-bit hash of each word, lower-cased in A-Z unless `fold` says otherwise."""
     total = np.zeros(len(data) + 1, dtype=np.uint64)
-    np.cumsum(_VALUES[LOWER[data]] * _powers("up", _BASE, len(data)), out=total[1:])
+    values = _VALUES[data] if fold is None else _VALUES[fold[data]]
+    np.cumsum(values * _powers("up", _BASE, len(data)), out=total[1:])
     value = (total[ends] - total[starts]) * _powers("down", _INVERSE, len(data) + 1)[starts]
     return mixed(value + (ends - starts).astype(np.uint64) * U64(0xD6E8FEB86659FD93))
 
