@@ -1,7 +1,7 @@
 """Averages and percentages that do not depend on the order rows arrive in.
 
-Sums are taken in DECIMAL, so partial sums merged in any order give the same
-digits, and rounding is half away from zero.
+Sums of decimals and integers are exact, so partial sums merged in any order
+give the same digits, and rounding is half away from zero.
 """
 
 from __future__ import annotations
@@ -10,20 +10,19 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql.types import DecimalType
 
-from fieldlake.contracts import LAKE_PRECISION
-
 COUNT = DecimalType(20, 0)
 
 
 def mean(
-    value: Column | str, places: int = 2, scale: int = 2, precision: int = LAKE_PRECISION
+    value: Column | str, places: int = 2, scale: int | None = None, precision: int = 24
 ) -> Column:
     """Average of `value`, rounded; null when the group has no value.
 
-    `scale` is the number of decimals a single value keeps.
+    Decimals and integers enter as they are. A double's digits depend on the
+    order of the sum, unless `scale` names the decimals that each value keeps.
     """
     value = F.col(value) if isinstance(value, str) else value
-    exact = value.cast(DecimalType(precision, scale))
+    exact = value if scale is None else value.cast(DecimalType(precision, scale))
     return F.round(F.try_divide(F.sum(exact), F.count(exact)), places).cast("double")
 
 

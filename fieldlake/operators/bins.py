@@ -53,7 +53,8 @@ def quantile_trend(
     """Mean of `value` over quantile bins of `column`, per group.
 
     Equal neighbouring edges merge, so a group may have fewer bins. The first
-    bin includes its lower edge.
+    bin includes its lower edge. A group with one value has one bin, from that
+    value to itself.
     """
     steps = [i / bins for i in range(bins + 1)]
     find = exact_quantiles if exact else approximate_quantiles
@@ -61,7 +62,10 @@ def quantile_trend(
     edges = settle(
         find(usable, "_x", steps, [group])
         .select(F.col(group).alias("_group"), F.array_distinct("quantiles").alias("_edges"))
-        .where(F.size("_edges") > 1),
+        .withColumn(
+            "_edges",
+            F.when(F.size("_edges") == 1, F.array_repeat(F.get("_edges", F.lit(0)), 2)).otherwise(F.col("_edges")),
+        ),
         "edges",
     )
     below = sum(

@@ -56,35 +56,47 @@ def share_of_parent(
     return counts.withColumn(percent, share(F.col(count), total))
 
 
-def pivot_mean(
-    df: DataFrame, row: str, column: str, value: str, labels: Sequence[str], places: int = 2
+def crosstab(
+    df: DataFrame, row: str, column: str, count: str = "rows", percent: str = "percent"
 ) -> DataFrame:
-    """Matrix of means: one row per `row` value, one column per label."""
-    return df.groupBy(row).agg(
-        *[
-            mean(F.when(F.col(column) == label, F.col(value)), places).alias(column_name(label))
-            for label in labels
-        ]
-    )
+    """Rows per (row, column) and their percentage of the row's rows that have a column value."""
+    return share_of_parent(df.where(F.col(column).isNotNull()), [row], [column], count, percent)
 
 
-def crosstab_percent(
-    df: DataFrame, row: str, column: str, labels: Sequence[str], places: int = 2
+def widen(
+    cells: DataFrame,
+    row: str,
+    column: str,
+    value: str,
+    labels: Sequence[str] | None = None,
+    fill: float | None = None,
+    most: int = 1000,
 ) -> DataFrame:
-    """Row percentages of a cross table over the given labels; absent pairs are 0."""
-    known = F.col(column).isin(*labels)
-    return df.groupBy(row).agg(
-        *[
-            share(F.count_if(F.col(column) == label), F.count_if(known), places).alias(
-                column_name(label)
-            )
-            for label in labels
-        ]
+    """One row per `row`, one column per label, from cells (row, column, value).
+
+    Without `labels` every value of `column` becomes a column, null last as
+    "unknown". With them the order is theirs, listed but absent ones hold
+    `fill`, and a value that is not listed is an error, so no cell is lost.
+    More than `most` labels are an error.
+    """
+    found = [r[0] for r in cells.select(column).distinct().limit(most + 1).collect()]
+    if len(found) > most:
+        raise ValueError(f"more than {most} values of {column}; keep the long form")
+    if labels is None:
+        labels = sorted(found, key=lambda x: (x is None, str(x)))
+    elif set(found) - set(labels):
+        raise ValueError(f"values of {column} without a label: {sorted(map(str, set(found) - set(labels)))}")
+    names = [column_name(label) for label in labels]
+    if len(set(names)) < len(names):
+        raise ValueError(f"labels of {column} give equal column names")
+    wide = cells.groupBy(row).agg(
+        *[F.max(F.when(F.col(column).eqNullSafe(label), F.col(value))).alias(n) for label, n in zip(labels, names)]
     )
+    return wide if fill is None else wide.fillna(fill, names)
 
 
-def column_name(label: str) -> str:
-    return label.lower().replace(" ", "_")
+def column_name(label: str | None) -> str:
+    return "unknown" if label is None else str(label).lower().replace(" ", "_")
 
 
 def ordered_means(

@@ -244,10 +244,11 @@ def trend(column: str, condition: str = "true") -> dict[str, str]:
               (select count(*) from edge e where e.crop = p.crop and e.edge < p.x), 1) as bin
             from points p""",
         "": f"""select b.crop, cast(b.bin as int) as bin, round(max(lo.edge), 6) as low,
-            round(max(hi.edge), 6) as high, round((max(lo.edge) + max(hi.edge)) / 2, 6) as midpoint,
+            round(max(coalesce(hi.edge, lo.edge)), 6) as high,
+            round((max(lo.edge) + max(coalesce(hi.edge, lo.edge))) / 2, 6) as midpoint,
             count(*) as rows_in_bin, {avg("b.profit_loss_inr")} as avg_profit_loss_inr
             from binned b join edge lo on lo.crop = b.crop and lo.pos = b.bin
-            join edge hi on hi.crop = b.crop and hi.pos = b.bin + 1
+            left join edge hi on hi.crop = b.crop and hi.pos = b.bin + 1
             group by b.crop, b.bin""",
     }
 
@@ -402,6 +403,7 @@ _OFF_PERCENT = """case when rainfall_mm <> 0 then
 def bodies() -> dict[str, str | dict[str, str]]:
     """The final SELECT of each query, or its extra tables with the SELECT under ''."""
     matched_cols = "farm_id, state, district, cast(sowing_date as varchar) as sowing_date"
+    drawn = "select * from fact_y order by md5(farm_id || ':42'), farm_id limit 200"
     return {
         "ingest_row_counts": _counts(
             {t: t for t in ("feed_farms", "feed_stations", "feed_climate")}, "feed"
@@ -517,6 +519,10 @@ def bodies() -> dict[str, str | dict[str, str]]:
             air_quality_index from fact_c order by observation_id limit 5""",
         "yield_axis_max": """select cast(greatest(max(expected_yield_tonnes),
             max(actual_yield_tonnes)) as double) as axis_max from fact_y""",
+        "sample_yields": f"select farm_id, season, cast(expected_yield_tonnes as double) as expected_yield_tonnes,"
+        f" cast(actual_yield_tonnes as double) as actual_yield_tonnes from ({drawn})",
+        "sample_axis_max": f"""select cast(greatest(max(expected_yield_tonnes),
+            max(actual_yield_tonnes)) as double) as axis_max from ({drawn})""",
         "distinct_crops": "select distinct crop from dim_f",
         "default_crops": "select distinct crop from dim_f order by crop limit 4",
         "rainfall_gap_signed": f"""select state,
@@ -528,13 +534,8 @@ def bodies() -> dict[str, str | dict[str, str]]:
         ),
         "profit_trend_by_rainfall": trend("rainfall_mm"),
         "profit_trend_by_land_area": trend("land_area_acres"),
-        "pivot_crop_health": "select crop, "
-        + ", ".join(
-            f"{avg(f'''case when state = '{s}' then crop_health_score end''')}"
-            f" as {s.lower().replace(' ', '_')}"
-            for s in ("AFRICA", "AMERICA", "ASIA", "EUROPE", "MIDDLE EAST")
-        )
-        + " from farm_yield group by crop",
+        "pivot_crop_health": f"""select crop, state, {avg("crop_health_score")} as crop_health_score
+            from farm_yield group by crop, state""",
         "pest_rate_by_alert": f"""select has_alert, yes as pest_yes, nope as pest_no,
             {pct("yes", "(yes + nope)")} as pest_attack_rate_pct
             from (select case when {_ALERT} then 'Alert Triggered' else 'No Alert' end as has_alert,
@@ -549,16 +550,10 @@ def bodies() -> dict[str, str | dict[str, str]]:
         ),
         "aqi_by_country": f"""select country, {avg("air_quality_index")} as air_quality_index
             from fact_c group by country""",
-        "risk_crosstab_pct": "select climate_zone, "
-        + ", ".join(
-            pct(
-                f"count(*) filter (disaster_risk = '{r}')",
-                "count(*) filter (disaster_risk in ('Low', 'Medium', 'High'))",
-            )
-            + f" as {r.lower()}"
-            for r in charts.RISK_LEVELS
-        )
-        + " from fact_c group by climate_zone",
+        "risk_crosstab_pct": f"""select climate_zone, disaster_risk, n as rows,
+            {pct("n", "sum(n) over (partition by climate_zone)")} as percent
+            from (select climate_zone, disaster_risk, count(*) as n from fact_c
+                  where disaster_risk is not null group by all)""",
         "drought_profile": " union all ".join(
             f"select {i} as position, '{name}' as drought_index,"
             f" (select {avg('soil_moisture_percent')} from fact_c where drought_index = '{name}')"

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from fieldlake.functions import is_yes, mean, rate, same_text
 from fieldlake.operators.bins import fixed_bins, quantile_trend
-from fieldlake.operators.groups import contrast, crosstab_percent, means_by, ordered_means, pivot_mean
+from fieldlake.operators.groups import contrast, crosstab, means_by, ordered_means, widen
 from fieldlake.operators.ordered import exact_quantiles
 from fieldlake.operators.stats import correlation_matrix, correlations
 from fieldlake.plans.rollups import alerted
@@ -18,7 +18,6 @@ from fieldlake.plans.rollups import alerted
 # Category orders, bin edges and labels, driver columns, measures.
 # ---------------------------------------------------------------------------
 DROUGHT_ORDER = ["Low", "Medium", "High"]
-RISK_LEVELS = ["Low", "Medium", "High"]
 TEMPERATURE_EDGES = [-20, 0, 10, 20, 30, 50]
 TEMPERATURE_LABELS = ["Below 0°C", "0-10°C", "10-20°C", "20-30°C", "Above 30°C"]
 RAIN_EDGES = [-1, 10, 30, 50, 100]
@@ -107,8 +106,14 @@ def profit_trend(
     )
 
 
-def crop_health_matrix(farm_yield: DataFrame, states: Sequence[str]) -> DataFrame:
-    return pivot_mean(farm_yield, "crop", "state", "crop_health_score", states)
+def crop_health_cells(farm_yield: DataFrame) -> DataFrame:
+    """Mean crop health of every crop and state that occur together."""
+    return means_by(farm_yield, ["crop", "state"], {"crop_health_score": "crop_health_score"})
+
+
+def crop_health_matrix(farm_yield: DataFrame, states: Sequence[str] | None = None) -> DataFrame:
+    """The cells as a matrix, one column per state."""
+    return widen(crop_health_cells(farm_yield), "crop", "state", "crop_health_score", states)
 
 
 def pest_rate_by_alert(joined: DataFrame) -> DataFrame:
@@ -143,7 +148,13 @@ def aqi_by_country(climate: DataFrame) -> DataFrame:
 
 
 def risk_by_zone(climate: DataFrame) -> DataFrame:
-    return crosstab_percent(climate, "climate_zone", "disaster_risk", RISK_LEVELS)
+    """Rows of every zone and risk level, and their percentage of the zone's rows with a level."""
+    return crosstab(climate, "climate_zone", "disaster_risk")
+
+
+def risk_matrix(climate: DataFrame, levels: Sequence[str] | None = None) -> DataFrame:
+    """The percentages as a matrix, one column per level; absent pairs are 0."""
+    return widen(risk_by_zone(climate), "climate_zone", "disaster_risk", "percent", levels, fill=0.0)
 
 
 def drought_profile(climate: DataFrame) -> DataFrame:
@@ -167,7 +178,8 @@ def aqi_by_rain(climate: DataFrame) -> DataFrame:
 
 
 def environment_correlations(climate: DataFrame) -> DataFrame:
-    return correlation_matrix(climate, ENVIRONMENT_MEASURES)
+    """The contract declares every measure NOT NULL."""
+    return correlation_matrix(climate, ENVIRONMENT_MEASURES, complete=True)
 
 
 def named_correlations(joined: DataFrame, fact_yield: DataFrame, climate: DataFrame) -> DataFrame:
@@ -212,6 +224,7 @@ def median_margin(fact_yield: DataFrame) -> DataFrame:
 
 
 def yield_axis_max(fact_yield: DataFrame) -> DataFrame:
+    """Largest yield of the rows: of the whole table, or of a drawn sample for its chart's axis."""
     return fact_yield.agg(
         F.greatest(F.max("expected_yield_tonnes"), F.max("actual_yield_tonnes")).alias("axis_max")
     )

@@ -2,16 +2,20 @@
 
 Analysis queries read the published star rather than re-deriving it from the
 feeds. A table is built on first use, together with the tables it needs, and
-stays in the shared folder; a change of the source files starts afresh.
+stays in the shared folder until the lake is closed; a change of the source
+files starts afresh. A query's plan is built once, so asking again stores
+nothing again.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 
 from fieldlake.contracts import DIM_FARMS, FACT_CLIMATE, FACT_WEATHER, FACT_YIELD
 from fieldlake.plans import model
-from fieldlake.sinks.settle import bucket_count, settle, settle_table, source_state
+from fieldlake.sinks.settle import Owner, bucket_count, settle, settle_table, source_state
 from fieldlake.sources.derived import DERIVED, derive_feed
 
 _LAKES: dict[tuple, "Lake"] = {}
@@ -23,8 +27,10 @@ class Lake:
     def __init__(self, spark: SparkSession, source_dir: str):
         self.spark = spark
         self.source_dir = source_dir
+        self.owner = Owner(spark)
         self._tables: dict[str, str] = {}
         self._frames: dict[str, DataFrame] = {}
+        self._answers: dict[str, DataFrame] = {}
 
     @classmethod
     def of(cls, spark: SparkSession, source_dir: str) -> "Lake":
@@ -34,6 +40,19 @@ class Lake:
             _LAKES[key] = cls(spark, source_dir)
         return _LAKES[key]
 
+    def answer(self, name: str, build: Callable[["Lake"], DataFrame]) -> DataFrame:
+        """The frame of a named query; what building it settles belongs to the lake."""
+        if name not in self._answers:
+            with self.owner.open():
+                self._answers[name] = build(self)
+        return self._answers[name]
+
+    def close(self) -> None:
+        """Delete all stored tables of this lake; its frames must not be used any more."""
+        self.owner.release()
+        for key in [key for key, lake in _LAKES.items() if lake is self]:
+            del _LAKES[key]
+
     def feed(self, name: str) -> DataFrame:
         """A raw feed; never stored."""
         return derive_feed(self.spark, self.source_dir, name)
@@ -91,18 +110,20 @@ class Lake:
 
     def _once(self, name: str, build) -> DataFrame:
         if name not in self._frames:
-            self._frames[name] = settle(build(), name)
+            with self.owner.open():
+                self._frames[name] = settle(build(), name)
         return self._frames[name]
 
     def _table(self, contract, build) -> DataFrame:
         if contract.name not in self._tables:
-            self._tables[contract.name] = settle_table(
-                build(),
-                contract.name,
-                partition_by=contract.partition_by,
-                bucket_by=contract.bucket_by,
-                buckets=self._farm_buckets() if contract.bucket_by else 1,
-            )
+            with self.owner.open():
+                self._tables[contract.name] = settle_table(
+                    build(),
+                    contract.name,
+                    partition_by=contract.partition_by,
+                    bucket_by=contract.bucket_by,
+                    buckets=self._farm_buckets() if contract.bucket_by else 1,
+                )
         # The stored layout puts partition columns last; hand out contract order.
         return self.spark.table(self._tables[contract.name]).select(*contract.columns)
 

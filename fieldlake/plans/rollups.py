@@ -6,7 +6,6 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import DecimalType
 
 from fieldlake.contracts import ROLLUP_CLIMATE_RISK, ROLLUP_ENVIRONMENT, ROLLUP_YIELD_WEATHER
 from fieldlake.functions import half_away, is_yes, mean, rate, same_text
@@ -37,8 +36,7 @@ def alerted() -> Column:
 def ratio_of_means_percent(part: Column, whole: Column) -> Column:
     """100 * mean(part) / mean(whole); null when the second mean is 0."""
     def average(value: Column) -> Column:
-        exact = value.cast(DecimalType(18, 2))
-        return F.try_divide(F.sum(exact).cast("double"), F.count(exact).cast("double"))
+        return F.try_divide(F.sum(value).cast("double"), F.count(value).cast("double"))
 
     return half_away(F.try_divide(average(part), average(whole)) * 100)
 

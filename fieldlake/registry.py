@@ -21,8 +21,6 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 QUERIES: dict[str, Callable[[Lake], DataFrame]] = {}
 
-# The state columns of the crop-health matrix on the test feeds.
-TEST_STATES = ["AFRICA", "AMERICA", "ASIA", "EUROPE", "MIDDLE EAST"]
 SAMPLE_SIZE, SAMPLE_SEED = 200, 42
 
 
@@ -46,7 +44,7 @@ def portable(df: DataFrame) -> DataFrame:
 
 def all_queries() -> dict[str, Query]:
     def bind(build: Callable[[Lake], DataFrame]) -> Query:
-        return lambda spark, source_dir: portable(build(Lake.of(spark, source_dir)))
+        return lambda spark, source_dir: portable(Lake.of(spark, source_dir).answer(build.__name__, build))
 
     return {name: bind(build) for name, build in QUERIES.items()}
 
@@ -324,8 +322,7 @@ def preview_climate(lake):
     )
 
 
-@query
-def sample_yields(lake):
+def drawn_yields(lake: Lake) -> DataFrame:
     return stable_sample(
         lake.fact_yield.select("farm_id", "season", "expected_yield_tonnes", "actual_yield_tonnes"),
         "farm_id",
@@ -334,6 +331,16 @@ def sample_yields(lake):
     )
 
 
+@query
+def sample_yields(lake):
+    return drawn_yields(lake)
+
+
+@query
+def sample_axis_max(lake):
+    return charts.yield_axis_max(drawn_yields(lake))
+
+
 @query
 def yield_axis_max(lake):
     return charts.yield_axis_max(lake.fact_yield)
@@ -372,9 +379,7 @@ def profit_trend_by_land_area(lake):
 
 @query
 def pivot_crop_health(lake):
-    return charts.crop_health_matrix(
-        analysis.farm_yield(lake.fact_yield, lake.dim_farms), TEST_STATES
-    )
+    return charts.crop_health_cells(analysis.farm_yield(lake.fact_yield, lake.dim_farms))
 
 
 @query

@@ -26,9 +26,10 @@ def child_names(spark: SparkSession, path: str) -> list[str]:
 
 
 def read_text(spark: SparkSession, path: str) -> str | None:
-    """First line of a small file, None if there is no such file."""
+    """First line of a small file, None if there is no such file or it is empty."""
     target, fs = _resolve(spark, path)
-    return spark.read.text(path).first()[0] if fs.exists(target) else None
+    line = spark.read.text(path).first() if fs.exists(target) else None
+    return line[0] if line else None
 
 
 def write_text(spark: SparkSession, path: str, text: str) -> None:
@@ -39,3 +40,35 @@ def write_text(spark: SparkSession, path: str, text: str) -> None:
         stream.write(bytearray(text, "utf-8"))
     finally:
         stream.close()
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a folder or file that this library wrote; nothing happens if it is gone."""
+    target, fs = _resolve(spark, path)
+    fs.delete(target, True)
+
+
+def next_pointer(spark: SparkSession, folder: str, value: str) -> None:
+    """Make `value` the newest pointer of a folder.
+
+    A pointer is an empty file whose name holds a number and the value. Creating
+    it is the switch: it exists or not, nothing is ever rewritten, and a writer
+    that finds its number taken uses the next one.
+    """
+    number = max([n for n, _ in pointers(spark, folder)], default=0)
+    while True:
+        number += 1
+        target, fs = _resolve(spark, f"{folder}/{number:012d}-{value}")
+        if number in {n for n, _ in pointers(spark, folder)}:
+            continue
+        fs.create(target, False).close()
+        if [v for n, v in pointers(spark, folder) if n == number] == [value]:
+            return
+        # Two writers took one number: this one moves on and is the newer.
+        fs.delete(target, False)
+
+
+def pointers(spark: SparkSession, folder: str) -> list[tuple[int, str]]:
+    """Numbers and values of a folder's pointers, oldest first."""
+    named = [name.partition("-") for name in child_names(spark, folder)]
+    return sorted((int(number), value) for number, _, value in named if number.isdigit() and value)
