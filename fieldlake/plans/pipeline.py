@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
+from collections.abc import Collection
+
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from fieldlake.plans import analysis, model, quality
 from fieldlake.plans.rollups import build_rollups
 from fieldlake.sinks.database import reload_database
-from fieldlake.sinks.publish import Snapshot, current, require_clean_contracts
-from fieldlake.sinks.settle import settle
+from fieldlake.sinks.publish import PublishError, Snapshot, current, require_clean_contracts
+from fieldlake.sinks.settle import Owner, settle
 from fieldlake.sinks.small import create_view, write_log
 from fieldlake.sources.feeds import counted, read_feeds
 from fieldlake.sources.tables import Database, load_tables
@@ -17,6 +20,9 @@ from fieldlake.sources.tables import Database, load_tables
 RAINFALL_GAP_VIEW = "view_rainfall_reporting_gap"
 DISASTER_RISK_VIEW = "view_noaa_disaster_risk_distribution"
 
+#: Checks without which the tables contradict each other; the others judge the data.
+BLOCKING_CHECKS = ("unique_keys", "orphans", "row_counts", "profit_rows")
+
 _CLEANERS = {
     "feed_farms": model.clean_farms,
     "feed_stations": model.clean_stations,
@@ -30,32 +36,48 @@ def refresh(
     database: Database | None = None,
     log_path: str | None = None,
     strict: bool = True,
+    blocking: Collection[str] = BLOCKING_CHECKS,
+    keep: int | None = None,
 ) -> dict[str, int]:
     """Rebuild and publish everything from the feeds; returns rows read per feed.
 
     Each clean table is computed once and each later step reads stored tables.
-    The new tables become current only if they keep their contracts (`strict`).
+    The quality suite runs on the new tables before they become current, and is
+    logged either way. With `strict` they become current only if they keep their
+    contracts and pass the `blocking` checks; other checks report. `keep` bounds
+    the published runs that stay. Intermediate tables go when the job ends.
     """
     spark = next(iter(feeds.values())).sparkSession
-    clean, seen = {}, {}
-    for name, cleaner in _CLEANERS.items():
-        feed, seen[name] = counted(feeds[name], name)
-        clean[name] = settle(cleaner(feed), f"clean-{name}")
-
-    farms = clean["feed_farms"]
-    snapshot = Snapshot(spark, target)
-    for name, df in model.build_star(farms, clean["feed_stations"], clean["feed_climate"]).items():
-        snapshot.write(name, df)
-    star = snapshot.tables()
-    for name, df in build_rollups(star).items():
-        snapshot.write(name, df)
-    snapshot.commit(require_clean_contracts if strict else None)
-
-    if log_path:
-        write_log(quality.run_checks(star, quality.standard_checks(farms)), log_path)
-    if database:
-        reload_database(snapshot.tables(), database)
-    return {name: observed.get["rows"] for name, observed in seen.items()}
+    with Owner(spark):
+        clean, seen = {}, {}
+        for name, cleaner in _CLEANERS.items():
+            feed, seen[name] = counted(feeds[name], name)
+            clean[name] = settle(cleaner(feed), f"clean-{name}")
+
+        farms = clean["feed_farms"]
+        snapshot = Snapshot(spark, target)
+        star_plans = model.build_star(farms, clean["feed_stations"], clean["feed_climate"])
+        for name, df in star_plans.items():
+            snapshot.write(name, df)
+        star = snapshot.tables()
+        for name, df in build_rollups(star).items():
+            snapshot.write(name, df)
+
+        results = settle(quality.run_checks(star, quality.standard_checks(farms)), "checks")
+        if log_path:
+            write_log(results, log_path)
+
+        def validate(tables: dict[str, DataFrame]) -> None:
+            require_clean_contracts(tables)
+            failed = results.where(~F.col("passed") & F.col("check_id").isin(*blocking))
+            found = [row.check_id for row in failed.select("check_id").collect()]
+            if found:
+                raise PublishError(f"checks failed: {', '.join(sorted(found))}")
+
+        snapshot.commit(validate if strict else None, keep)
+        if database:
+            reload_database(snapshot.tables(), database)
+        return {name: observed.get["rows"] for name, observed in seen.items()}
 
 
 def run(spark: SparkSession, raw_dir: str, target: str, **options) -> dict[str, int]:

@@ -1,8 +1,8 @@
 """Publish a consistent set of Parquet tables.
 
-A run writes into its own folder. Readers follow a small pointer file, which is
-replaced only after every table of the run is written and validated, so they
-see the old set or the new one and never a mixture.
+A run writes into its own folder. Readers follow the newest pointer, a file that
+is created only after every table of the run is written and validated and is
+never rewritten, so they see the old set or the new one and never a mixture.
 """
 
 from __future__ import annotations
@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from fieldlake.contracts import PUBLISH_ORDER, ROLLUPS, STAR
 from fieldlake.plans.quality import contract_violations, same_columns, union_all
-from fieldlake.sinks.files import read_text, write_text
+from fieldlake.sinks.files import next_pointer, pointers, remove
 from fieldlake.sources.tables import Files, MissingTableError, read_table
 
 _POINTER = "CURRENT"
@@ -56,10 +56,17 @@ class Snapshot:
     def tables(self) -> dict[str, DataFrame]:
         return {name: self.table(name) for name in self.written}
 
-    def commit(self, validate: Callable[[dict[str, DataFrame]], None] | None = None) -> str:
+    def commit(
+        self,
+        validate: Callable[[dict[str, DataFrame]], None] | None = None,
+        keep: int | None = None,
+    ) -> str:
+        """Make the run current unless `validate` raises; `keep` runs stay, all without it."""
         if validate:
             validate(self.tables())
-        write_text(self.spark, f"{self.target}/{_POINTER}", self.run)
+        next_pointer(self.spark, f"{self.target}/{_POINTER}", self.run)
+        if keep is not None:
+            retire(self.spark, self.target, keep)
         return self.run
 
 
@@ -78,11 +85,26 @@ def publish(
 
 def current(spark: SparkSession, target: str) -> Files:
     """The tables readers should use."""
-    path = f"{target.rstrip('/')}/{_POINTER}"
-    run = read_text(spark, path)
-    if run is None:
+    found = pointers(spark, f"{target.rstrip('/')}/{_POINTER}")
+    if not found:
         raise MissingTableError(f"nothing published under {target}")
-    return Files(f"{target.rstrip('/')}/run={run}")
+    return Files(f"{target.rstrip('/')}/run={found[-1][1]}")
+
+
+def retire(spark: SparkSession, target: str, keep: int) -> list[str]:
+    """Delete all published runs but the newest `keep`, and their pointers; returns the deleted.
+
+    Runs without a pointer stay: one may be in the making. Readers of a deleted
+    run fail, so `keep` should cover the longest reader.
+    """
+    if keep < 1:
+        raise ValueError("the current run stays")
+    folder = f"{target.rstrip('/')}/{_POINTER}"
+    old = pointers(spark, folder)[:-keep]
+    for number, run in old:
+        remove(spark, f"{folder}/{number:012d}-{run}")
+        remove(spark, f"{target.rstrip('/')}/run={run}")
+    return [run for _, run in old]
 
 
 def require_clean_contracts(tables: dict[str, DataFrame]) -> None:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import logging
 from collections.abc import Sequence
 from dataclasses import dataclass, field
 
@@ -10,6 +11,8 @@ from pyspark.sql import DataFrame, SparkSession
 
 from fieldlake.contracts import STAR
 
+_LOG = logging.getLogger(__name__)
+
 
 class MissingTableError(LookupError):
     """A table that the caller needs is not where it should be."""
@@ -75,10 +78,38 @@ def load_tables(
     tables: Sequence[str] = tuple(STAR),
     fallback: Files | None = None,
 ) -> dict[str, DataFrame]:
-    """The named tables; from `fallback` when the database cannot be read."""
+    """The named tables; from `fallback` when the database cannot be reached.
+
+    Which source was used is logged, a fallback as a warning. A missing table, a
+    refused login or a mistake in a query is an error, never a fallback.
+    """
     try:
-        return {name: read_table(spark, source, name) for name in tables}
-    except Exception:  # errors of a JDBC driver arrive in the bridge's own types
-        if fallback is None or not isinstance(source, Database):
+        found = {name: read_table(spark, source, name) for name in tables}
+        _LOG.info("read %s from %s", ", ".join(tables), _place(source))
+        return found
+    except Exception as error:  # errors of a JDBC driver arrive in the bridge's own types
+        if fallback is None or not isinstance(source, Database) or not _unreachable(error):
             raise
+        _LOG.warning("%s cannot be reached, reading %s: %s", _place(source), fallback.path, _first_line(error))
     return load_tables(spark, fallback, tables)
+
+
+# What JVM connection and driver-loading errors are called or say, and the SQL
+# states of class 08, connection exceptions.
+_UNREACHABLE = (
+    "ConnectException", "UnknownHostException", "NoRouteToHost", "SocketTimeout", "CommunicationsException",
+    "Connection refused", "ClassNotFoundException", "SQLSTATE 08", "SQLState: 08",
+    "Connection attempt failed", "The connection attempt failed",
+)
+
+
+def _unreachable(error: Exception) -> bool:
+    return any(sign in f"{type(error).__name__} {error}" for sign in _UNREACHABLE)
+
+
+def _place(source: Files | Database) -> str:
+    return source.url.split("?")[0] if isinstance(source, Database) else source.path
+
+
+def _first_line(error: Exception) -> str:
+    return (str(error).strip().splitlines() or [type(error).__name__])[0]

@@ -1,10 +1,12 @@
 import pytest
 
 from conftest import plan, rows
-from fieldlake.plans import pipeline, quality
+from fieldlake.plans import model, pipeline, quality
 from fieldlake.plans.lake import Lake
-from fieldlake.registry import all_queries
-from fieldlake.sinks.publish import current
+from fieldlake.registry import QUERIES, all_queries
+from fieldlake.sinks.files import child_names
+from fieldlake.sinks.publish import PublishError, current
+from fieldlake.sinks.settle import Owner, settle, shared_dir
 from fieldlake.sources.derived import derive_feed
 from fieldlake.sources.feeds import FEED_FILES
 from fieldlake.sources.tables import load_tables
@@ -64,6 +66,46 @@ def test_views_and_log(spark, published):
     assert log.count() == 10 and log.where("passed = 'false'").first().check_id == "soil_ph_range"
 
 
+def test_planted_duplicates_leave_the_old_set(spark, small_dir, tmp_path, monkeypatch):
+    feeds = {name: derive_feed(spark, small_dir, name) for name in FEED_FILES}
+    target = str(tmp_path / "out")
+    pipeline.refresh(feeds, target)
+    before = current(spark, target).path
+    build = model.build_star
+
+    def twice(*args):
+        star = build(*args)
+        star["fact_crop_yield"] = star["fact_crop_yield"].unionByName(star["fact_crop_yield"].limit(2))
+        return star
+
+    monkeypatch.setattr(model, "build_star", twice)
+    with pytest.raises(PublishError, match="unique_keys"):
+        pipeline.refresh(feeds, target, log_path=f"{target}-log")
+    assert current(spark, target).path == before
+    log = spark.read.option("header", True).csv(f"{target}-log")
+    assert log.where("check_id = 'unique_keys' and passed = 'false'").count() == 1
+
+
+def test_settled_tables_have_an_owner(spark, small_dir):
+    settings_before = dict(spark.sparkContext.getConf().getAll()), spark.conf.get("spark.checkpoint.dir")
+    folder, lake = shared_dir(spark), Lake(spark, small_dir)
+    before = set(child_names(spark, folder))
+    tables = {t.name for t in spark.catalog.listTables()}
+    first = lake.answer("profit_trend", lambda it: QUERIES["profit_trend_by_land_area"](it))
+    stored = set(child_names(spark, folder))
+    assert stored > before and first.count() > 0
+    assert lake.answer("profit_trend", QUERIES["profit_trend_by_land_area"]) is first
+    assert set(child_names(spark, folder)) == stored
+    lake.close()
+    assert set(child_names(spark, folder)) == before
+    assert {t.name for t in spark.catalog.listTables()} == tables
+    with Owner(spark):
+        settle(spark.range(3), "mine")
+        assert len(child_names(spark, folder)) == len(before) + 1
+    assert set(child_names(spark, folder)) == before
+    assert settings_before == (dict(spark.sparkContext.getConf().getAll()), spark.conf.get("spark.checkpoint.dir"))
+
+
 def test_matches_cover_all_tiers(spark, small_dir):
     counts = dict(rows(all_queries()["match_type_counts"](spark, small_dir)))
     assert counts == {"Exact District Match": 355, "Nearest In State": 808, "Unresolved": 337}

@@ -1,11 +1,14 @@
+import logging
 import os
+import threading
 
 import pytest
 
 from conftest import plan, rows
 from fieldlake.contracts import PUBLISH_ORDER
 from fieldlake.sinks.database import write_options
-from fieldlake.sinks.publish import PublishError, current, publish, require_clean_contracts
+from fieldlake.sinks.files import next_pointer
+from fieldlake.sinks.publish import PublishError, current, publish, require_clean_contracts, retire
 from fieldlake.sinks.small import create_view, write_log, write_summary
 from fieldlake.sources.tables import (
     Database, Files, MissingTableError, Split, jdbc_options, load_tables, read_table,
@@ -26,6 +29,46 @@ def test_readers_follow_the_pointer(spark, tmp_path):
     assert read_table(spark, current(spark, target), "dim_weather_stations").count() == 1
 
 
+def test_a_reader_never_fails_during_switches(spark, tmp_path):
+    target = str(tmp_path)
+    publish(spark, {"dim_weather_stations": stations(spark)}, target)
+    seen, errors, done = set(), [], threading.Event()
+
+    def read():
+        while not done.is_set():
+            try:
+                seen.add(current(spark, target).path)
+            except Exception as error:
+                errors.append(error)
+
+    reader = threading.Thread(target=read)
+    reader.start()
+    for i in range(20):
+        next_pointer(spark, f"{target}/CURRENT", f"run{i}")
+    done.set()
+    reader.join()
+    assert not errors and current(spark, target).path.endswith("run=run19") and len(seen) > 1
+
+
+def test_pointers_that_say_nothing_are_not_followed(spark, tmp_path):
+    target = str(tmp_path)
+    (tmp_path / "CURRENT").mkdir()
+    (tmp_path / "CURRENT" / "000000000001-").touch()
+    (tmp_path / "CURRENT" / "note").touch()
+    with pytest.raises(MissingTableError):
+        current(spark, target)
+
+
+def test_superseded_runs_are_retired(spark, tmp_path):
+    target = str(tmp_path)
+    runs = [publish(spark, {"dim_weather_stations": stations(spark)}, target) for _ in range(3)]
+    assert retire(spark, target, 2) == runs[:1]
+    assert sorted(f for f in os.listdir(target) if f.startswith("run=")) == sorted(f"run={r}" for r in runs[1:])
+    assert current(spark, target).path.endswith(runs[2])
+    with pytest.raises(ValueError):
+        retire(spark, target, 0)
+
+
 def test_failed_run_leaves_the_old_tables(spark, tmp_path):
     target = str(tmp_path)
     publish(spark, {"dim_weather_stations": stations(spark, "old")}, target)
@@ -41,14 +84,17 @@ def test_extra_column_breaks_the_contract(spark):
         require_clean_contracts({"dim_weather_stations": stations(spark).selectExpr("*", "1 as extra")})
 
 
-def test_missing_table_and_fallback(spark, tmp_path):
+def test_missing_table_and_fallback(spark, tmp_path, caplog):
     source = Files(str(tmp_path))
     with pytest.raises(MissingTableError):
         load_tables(spark, source, ["dim_weather_stations"])
     stations(spark).write.parquet(f"{tmp_path}/dim_weather_stations")
     nowhere = Database("jdbc:nosuch://nowhere/db", {"driver": "no.such.Driver"})
-    found = load_tables(spark, nowhere, ["dim_weather_stations"], fallback=source)
-    assert found["dim_weather_stations"].count() == 1
+    with caplog.at_level(logging.WARNING):
+        found = load_tables(spark, nowhere, ["dim_weather_stations"], fallback=source)
+    assert found["dim_weather_stations"].count() == 1 and "cannot be reached" in caplog.text
+    with pytest.raises(Exception, match="No suitable driver"):  # a mistake is no reason to read older data
+        load_tables(spark, Database("jdbc:x"), ["dim_weather_stations"], fallback=source)
 
 
 def test_database_options():
