@@ -154,16 +154,17 @@ def take(docs: DataFrame, quality: DataFrame | None = None, **options) -> DataFr
         .where(F.col("_copies") > 0)
         .alias("m")
     )
-    sized = docs.withColumn("_size", word_count(F.col("text"))).alias("d")
+    whole = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc"))
+    sized = whole.withColumn("size", word_count(F.col("doc.text"))).alias("d")
     same = (
-        F.col("d.doc_id").eqNullSafe(F.col("m.doc_id"))
-        & F.col("d.source").eqNullSafe(F.col("m.source"))
-        & (F.col("d._size") == F.col("m.size"))
+        F.col("d.doc.doc_id").eqNullSafe(F.col("m.doc_id"))
+        & F.col("d.doc.source").eqNullSafe(F.col("m.source"))
+        & (F.col("d.size") == F.col("m.size"))
     )
-    repeated = sized.join(chosen, same).withColumn(
-        "_again", F.explode(F.array_repeat(F.lit(0), F.col("_copies").cast("int")))
+    repeated = sized.join(chosen, same).select(
+        "doc", F.explode(F.array_repeat(F.lit(0), F.col("_copies").cast("int"))).alias("again")
     )
-    return repeated.select(*[F.col(f"d.`{c}`") for c in docs.columns])
+    return repeated.select("doc.*")
 
 
 #: DuckDB SQL for the mix of `documents` with the labels' quality.
