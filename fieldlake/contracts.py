@@ -43,6 +43,8 @@ _TYPES = {
 def _field(text: str) -> StructField:
     """One column of a contract: `name TYPE`, `name TYPE(n)`, optionally NOT NULL."""
     name, declared, *rest = text.split(maxsplit=2)
+    if rest not in ([], ["NOT NULL"]):
+        raise ContractError(f"not understood in a contract: {text}")
     kind, *sizes = re.findall(r"\w+", declared)
     return StructField(name, _TYPES[kind](*map(int, sizes)), nullable=rest != ["NOT NULL"])
 

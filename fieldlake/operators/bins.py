@@ -58,7 +58,11 @@ def quantile_trend(
     """
     steps = [i / bins for i in range(bins + 1)]
     find = exact_quantiles if exact else approximate_quantiles
-    usable = df.where(F.col(column).isNotNull()).withColumn("_x", F.col(column).cast("double"))
+    # Read twice, for the edges and for the bins, so the plan behind `df` runs once.
+    usable = settle(
+        df.where(F.col(column).isNotNull()).select(group, F.col(column).cast("double").alias("_x"), F.col(value).alias("_value")),
+        "points",
+    ).withColumnRenamed("_value", value)
     edges = settle(
         find(usable, "_x", steps, [group])
         .select(F.col(group).alias("_group"), F.array_distinct("quantiles").alias("_edges"))

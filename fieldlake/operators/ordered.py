@@ -14,9 +14,10 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import DecimalType
 
-from fieldlake.sinks.settle import settle
+from fieldlake.sinks.settle import settle, stored_bytes
 
 _PART = "_part"
+_RANGE_BYTES = 64 << 20
 
 
 def running_totals(
@@ -25,14 +26,18 @@ def running_totals(
     """Add to each row the sum of each measure over all rows up to and including it.
 
     `order` must identify a row. The range number of each row is written down
-    once, so both passes below see the same ranges. The per-range totals have at
-    most as many rows as there are shuffle partitions, which bounds both the
-    unpartitioned window over them and their broadcast.
+    once, so both passes below see the same ranges. There are as many ranges as
+    shuffle partitions, or more if the files behind `df` are large, since a range
+    is sorted by one task; the per-range totals have one row each, which bounds
+    both the unpartitioned window over them and their broadcast.
     """
     # Ranges sort nulls first, as the windows below do.
+    spark = df.sparkSession
+    wanted = -(-stored_bytes(spark, df) // _RANGE_BYTES)
+    more = [wanted] if wanted > int(spark.conf.get("spark.sql.shuffle.partitions")) else []
     ranged = (
         df.select("*", *[value.alias(f"_of_{name}") for name, value in measures.items()])
-        .repartitionByRange(*[F.col(name) for name in order])
+        .repartitionByRange(*more, *[F.col(name) for name in order])
         .withColumn(_PART, F.spark_partition_id())
     )
     rows = settle(ranged, "ranges")
@@ -106,7 +111,8 @@ def exact_quantiles(
         .groupBy(*by, F.col(value).cast("double").alias("_value"))
         .agg(F.count(F.lit(1)).alias("_times"))
     )
-    ranked = running_totals(counts, [*by, "_value"], {"_end": F.col("_times")})
+    # Ranks serve both the groups' extents and the picks.
+    ranked = settle(running_totals(counts, [*by, "_value"], {"_end": F.col("_times")}), "ranks")
     extent = settle(
         ranked.groupBy(*by).agg(
             F.min(F.col("_end") - F.col("_times")).alias("_base"), F.sum("_times").alias("n")

@@ -13,8 +13,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from fieldlake.contracts import DIM_FARMS, FACT_CLIMATE, FACT_WEATHER, FACT_YIELD
+from fieldlake.contracts import DIM_FARMS, FACT_CLIMATE, FACT_WEATHER, FACT_YIELD, ROLLUPS
 from fieldlake.plans import model
+from fieldlake.plans.rollups import build_rollups
 from fieldlake.sinks.settle import Owner, bucket_count, settle, settle_table, source_state
 from fieldlake.sources.derived import DERIVED, derive_feed
 
@@ -106,6 +107,16 @@ class Lake:
             "fact_global_climate_environment": self.fact_climate,
         }
 
+    @property
+    def rollups(self) -> dict[str, DataFrame]:
+        """The rollups as stored, with their surrogate keys."""
+        if not all(name in self._frames for name in ROLLUPS):
+            with self.owner.open():
+                plans = build_rollups(self.star())
+            for name in ROLLUPS:
+                self._once(name, lambda name=name: plans[name])
+        return {name: self._frames[name] for name in ROLLUPS}
+
     # Storage ----------------------------------------------------------------
 
     def _once(self, name: str, build) -> DataFrame:

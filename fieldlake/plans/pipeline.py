@@ -11,7 +11,7 @@ from fieldlake.plans import analysis, model, quality
 from fieldlake.plans.rollups import build_rollups
 from fieldlake.sinks.database import reload_database
 from fieldlake.sinks.publish import PublishError, Snapshot, current, require_clean_contracts
-from fieldlake.sinks.settle import Owner, settle
+from fieldlake.sinks.settle import Owner, bucket_count, settle
 from fieldlake.sinks.small import create_view, write_log
 from fieldlake.sources.feeds import counted, read_feeds
 from fieldlake.sources.tables import Database, load_tables
@@ -57,8 +57,9 @@ def refresh(
         farms = clean["feed_farms"]
         snapshot = Snapshot(spark, target)
         star_plans = model.build_star(farms, clean["feed_stations"], clean["feed_climate"])
+        buckets = bucket_count(spark, farms)
         for name, df in star_plans.items():
-            snapshot.write(name, df)
+            snapshot.write(name, df, buckets)
         star = snapshot.tables()
         for name, df in build_rollups(star).items():
             snapshot.write(name, df)

@@ -6,10 +6,13 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import DecimalType
 
-from fieldlake.contracts import ROLLUP_CLIMATE_RISK, ROLLUP_ENVIRONMENT, ROLLUP_YIELD_WEATHER
+from fieldlake.contracts import ROLLUP_CLIMATE_RISK, ROLLUP_ENVIRONMENT, ROLLUP_YIELD_WEATHER, ROLLUPS
 from fieldlake.functions import half_away, is_yes, mean, rate, same_text
+from fieldlake.functions.exact import share
 from fieldlake.operators.joins import star_join
+from fieldlake.sinks.settle import settle
 
 # Exposure labels of the climate-risk rollup.
 ALERT = "Flood/Cyclone Alert"
@@ -33,31 +36,62 @@ def alerted() -> Column:
     return is_yes("flood_warning") | is_yes("cyclone_alert")
 
 
-def ratio_of_means_percent(part: Column, whole: Column) -> Column:
+def farm_sums(joined: DataFrame) -> DataFrame:
+    """Sums and counts per state, crop and exposure: both farm rollups follow from them.
+
+    The star join then runs once, and what is left is a few rows per key.
+    """
+    measures = {
+        "gap": F.col("farm_reported_rainfall_mm") - F.col("rainfall_mm"),
+        "rainfall": F.col("rainfall_mm"),
+        "profit": F.col("profit_loss_inr"),
+        "yield_gap": F.col("yield_gap_tonnes"),
+        "health": F.col("crop_health_score"),
+        "sustainability": F.col("sustainability_score"),
+    }
+    exposure = F.when(alerted(), ALERT).otherwise(NO_ALERT)
+    return joined.groupBy("state", "crop", exposure.alias("exposure_flag")).agg(
+        *[F.sum(value).alias(f"sum_{name}") for name, value in measures.items()],
+        *[F.count(value).alias(f"n_{name}") for name, value in measures.items()],
+        F.count(F.lit(1)).alias("farms"),
+        F.count_if(is_yes("pest_attack")).alias("pests"),
+    )
+
+
+def _total(sums: DataFrame, name: str) -> Column:
+    """The exact sum of a measure over the rows of a group of sums."""
+    total, kind = F.sum(f"sum_{name}"), sums.schema[f"sum_{name}"].dataType
+    # Sums of sums are no wider than one sum over all rows.
+    return total.cast(kind) if isinstance(kind, DecimalType) else total
+
+
+def _average(sums: DataFrame, name: str, places: int = 2) -> Column:
+    return F.round(F.try_divide(_total(sums, name), F.sum(f"n_{name}")), places).cast("double")
+
+
+def _ratio_of_means_percent(sums: DataFrame, part: str, whole: str) -> Column:
     """100 * mean(part) / mean(whole); null when the second mean is 0."""
-    def average(value: Column) -> Column:
-        return F.try_divide(F.sum(value).cast("double"), F.count(value).cast("double"))
+    def average(name: str) -> Column:
+        return F.try_divide(_total(sums, name).cast("double"), F.sum(f"n_{name}").cast("double"))
 
     return half_away(F.try_divide(average(part), average(whole)) * 100)
 
 
-def yield_weather(joined: DataFrame) -> DataFrame:
+def yield_weather(sums: DataFrame) -> DataFrame:
     """State x crop: how far farm-reported rain is off, mean profit, mean yield gap."""
-    gap = F.col("farm_reported_rainfall_mm") - F.col("rainfall_mm")
-    return joined.groupBy("state", "crop").agg(
-        ratio_of_means_percent(gap, F.col("rainfall_mm")).alias("rainfall_reporting_gap_pct"),
-        mean("profit_loss_inr").alias("avg_profit_loss_inr"),
-        mean("yield_gap_tonnes").alias("avg_yield_gap_tonnes"),
+    return sums.groupBy("state", "crop").agg(
+        _ratio_of_means_percent(sums, "gap", "rainfall").alias("rainfall_reporting_gap_pct"),
+        _average(sums, "profit").alias("avg_profit_loss_inr"),
+        _average(sums, "yield_gap").alias("avg_yield_gap_tonnes"),
     )
 
 
-def climate_risk(joined: DataFrame) -> DataFrame:
+def climate_risk(sums: DataFrame) -> DataFrame:
     """State x crop x exposure: share of farms with pests, mean scores."""
-    exposure = F.when(alerted(), ALERT).otherwise(NO_ALERT)
-    return joined.groupBy("state", "crop", exposure.alias("exposure_flag")).agg(
-        rate(is_yes("pest_attack")).alias("pest_attack_rate_pct"),
-        mean("crop_health_score").alias("avg_crop_health_score"),
-        mean("sustainability_score").alias("avg_sustainability_score"),
+    return sums.groupBy("state", "crop", "exposure_flag").agg(
+        share(F.sum("pests"), F.sum("farms")).alias("pest_attack_rate_pct"),
+        _average(sums, "health").alias("avg_crop_health_score"),
+        _average(sums, "sustainability").alias("avg_sustainability_score"),
     )
 
 
@@ -77,16 +111,21 @@ def number_rows(rollup: DataFrame, keys: Sequence[str], name: str) -> DataFrame:
     return rollup.select(F.row_number().over(order).cast("long").alias(name), "*")
 
 
-def build_rollups(star: dict[str, DataFrame]) -> dict[str, DataFrame]:
+def rollup_bodies(star: dict[str, DataFrame]) -> dict[str, DataFrame]:
+    """The rollups without their surrogate keys; the farm sums are stored once for two of them."""
     joined = farm_weather(
         star["fact_crop_yield"], star["dim_farms"], star["fact_weather_observations"]
     )
-    bodies = [
-        (ROLLUP_YIELD_WEATHER, yield_weather(joined)),
-        (ROLLUP_CLIMATE_RISK, climate_risk(joined)),
-        (ROLLUP_ENVIRONMENT, environment(star["fact_global_climate_environment"])),
-    ]
+    sums = settle(farm_sums(joined), "farm-sums")
+    return {
+        ROLLUP_YIELD_WEATHER.name: yield_weather(sums),
+        ROLLUP_CLIMATE_RISK.name: climate_risk(sums),
+        ROLLUP_ENVIRONMENT.name: environment(star["fact_global_climate_environment"]),
+    }
+
+
+def build_rollups(star: dict[str, DataFrame]) -> dict[str, DataFrame]:
     return {
-        contract.name: number_rows(body, contract.key, contract.columns[0])
-        for contract, body in bodies
+        name: number_rows(body, ROLLUPS[name].key, ROLLUPS[name].columns[0])
+        for name, body in rollup_bodies(star).items()
     }

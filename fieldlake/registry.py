@@ -15,7 +15,7 @@ from fieldlake.operators.dedup import first_per_key
 from fieldlake.operators.stats import attribute_spread, preview, stable_sample
 from fieldlake.plans import analysis, charts, model, quality
 from fieldlake.plans.lake import Lake
-from fieldlake.plans.rollups import build_rollups, farm_weather
+from fieldlake.plans.rollups import farm_weather
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -267,22 +267,22 @@ def highest_yield_crop(lake):
 
 @query
 def rollup_yield_weather(lake):
-    return build_rollups(lake.star())["yield_weather_correlation"].drop("correlation_id")
+    return lake.rollups["yield_weather_correlation"].drop("correlation_id")
 
 
 @query
 def rollup_climate_risk(lake):
-    return build_rollups(lake.star())["climate_risk_farms"].drop("risk_id")
+    return lake.rollups["climate_risk_farms"].drop("risk_id")
 
 
 @query
 def rollup_environment(lake):
-    return build_rollups(lake.star())["global_environment_summary"].drop("summary_id")
+    return lake.rollups["global_environment_summary"].drop("summary_id")
 
 
 @query
 def rollup_surrogate_key(lake):
-    numbered = build_rollups(lake.star())["climate_risk_farms"]
+    numbered = lake.rollups["climate_risk_farms"]
     return numbered.select("risk_id", "state", "crop", "exposure_flag")
 
 
@@ -530,7 +530,7 @@ def dq_summary(lake):
 @query
 def contract_violations(lake):
     star = lake.star()
-    tables = {**star, **build_rollups(star)}
+    tables = {**star, **lake.rollups}
     contracts = {**STAR, **ROLLUPS}
     return quality.union_all(
         [quality.contract_violations(tables[name], contracts[name]) for name in contracts]

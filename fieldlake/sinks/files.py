@@ -48,6 +48,12 @@ def remove(spark: SparkSession, path: str) -> None:
     fs.delete(target, True)
 
 
+def create_empty(spark: SparkSession, path: str) -> None:
+    """Create an empty file that was not there."""
+    target, fs = _resolve(spark, path)
+    fs.create(target, False).close()
+
+
 def next_pointer(spark: SparkSession, folder: str, value: str) -> None:
     """Make `value` the newest pointer of a folder.
 
@@ -61,7 +67,7 @@ def next_pointer(spark: SparkSession, folder: str, value: str) -> None:
         target, fs = _resolve(spark, f"{folder}/{number:012d}-{value}")
         if number in {n for n, _ in pointers(spark, folder)}:
             continue
-        fs.create(target, False).close()
+        create_empty(spark, f"{folder}/{number:012d}-{value}")
         if [v for n, v in pointers(spark, folder) if n == number] == [value]:
             return
         # Two writers took one number: this one moves on and is the newer.

@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from fieldlake.contracts import PUBLISH_ORDER, ROLLUPS, STAR
 from fieldlake.plans.quality import contract_violations, same_columns, union_all
 from fieldlake.sinks.files import next_pointer, pointers, remove
-from fieldlake.sources.tables import Files, MissingTableError, read_table
+from fieldlake.sources.tables import Files, Layout, MissingTableError, forget_layouts, note_layout, read_table
 
 _POINTER = "CURRENT"
 
@@ -37,12 +37,26 @@ class Snapshot:
     def files(self) -> Files:
         return Files(f"{self.target}/run={self.run}")
 
-    def write(self, name: str, df: DataFrame) -> DataFrame:
-        """Store a table and return it as stored."""
+    def write(self, name: str, df: DataFrame, buckets: int | None = None) -> DataFrame:
+        """Store a table and return it as stored.
+
+        With `buckets` a table whose contract names a bucket column is stored in
+        that many: tables of one run with the same number join without a shuffle,
+        because readers find the layout noted beside the tables.
+        """
         contract = STAR.get(name)
         partition = contract.partition_by if contract else None
+        key = contract.bucket_by if contract and buckets else None
         path = f"{self.files.path}/{name}"
-        if partition:
+        if key:
+            table = f"fieldlake_write_{name}_{uuid.uuid4().hex[:12]}"
+            writer = df.repartition(buckets, key).write.format("parquet").option("path", path)
+            writer = writer.partitionBy(partition) if partition else writer
+            writer.bucketBy(buckets, key).sortBy(key).saveAsTable(table)
+            # The table's files stay: they are outside the catalog.
+            self.spark.sql(f"DROP TABLE {table}")
+            note_layout(self.spark, self.files, Layout(name, key, buckets, partition))
+        elif partition:
             # Splits dominant partition values over several files, merges tiny ones.
             df.hint("rebalance", partition).write.partitionBy(partition).parquet(path)
         else:
@@ -102,6 +116,7 @@ def retire(spark: SparkSession, target: str, keep: int) -> list[str]:
     folder = f"{target.rstrip('/')}/{_POINTER}"
     old = pointers(spark, folder)[:-keep]
     for number, run in old:
+        forget_layouts(spark, Files(f"{target.rstrip('/')}/run={run}"))
         remove(spark, f"{folder}/{number:012d}-{run}")
         remove(spark, f"{target.rstrip('/')}/run={run}")
     return [run for _, run in old]

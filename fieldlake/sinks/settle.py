@@ -146,9 +146,13 @@ def settle_table(
 
 def bucket_count(spark: SparkSession, stored: DataFrame, bucket_bytes: int = 128 << 20) -> int:
     """Buckets of about `bucket_bytes` of a stored frame, at least a few to share the work."""
-    size, _, _ = zip(*[file_state(spark, path) for path in _folders(stored)])
     least = min(8, spark.sparkContext.defaultParallelism)
-    return max(least, min(-(-sum(size) // bucket_bytes), 50_000))
+    return max(least, min(-(-stored_bytes(spark, stored) // bucket_bytes), 50_000))
+
+
+def stored_bytes(spark: SparkSession, df: DataFrame) -> int:
+    """Bytes of the folders whose files a frame reads; 0 if it reads none."""
+    return sum(file_state(spark, path)[0] for path in _folders(df))
 
 
 def source_state(spark: SparkSession, paths: list[str]) -> tuple:

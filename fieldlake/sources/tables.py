@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 import logging
 from collections.abc import Sequence
 from dataclasses import dataclass, field
@@ -10,6 +11,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 
 from fieldlake.contracts import STAR
+from fieldlake.sinks.files import child_names, create_empty
 
 _LOG = logging.getLogger(__name__)
 
@@ -25,6 +27,62 @@ class Files:
     path: str
 
 
+@dataclass(frozen=True)
+class Layout:
+    """How a table's files are bucketed; Parquet files do not say so themselves."""
+
+    table: str
+    key: str
+    buckets: int
+    partition: str | None = None
+
+
+_LAYOUTS = "LAYOUT"
+
+
+def note_layout(spark: SparkSession, source: Files, layout: Layout) -> None:
+    """Note a layout as the name of an empty file, which is there whole or not at all."""
+    note = f"{layout.table}.{layout.key}.{layout.buckets}.{layout.partition or ''}"
+    create_empty(spark, f"{source.path.rstrip('/')}/{_LAYOUTS}/{note}")
+
+
+def layouts(spark: SparkSession, source: Files) -> dict[str, Layout]:
+    found = {}
+    for note in child_names(spark, f"{source.path.rstrip('/')}/{_LAYOUTS}"):
+        table, key, buckets, partition = note.split(".")
+        found[table] = Layout(table, key, int(buckets), partition or None)
+    return found
+
+
+def _entry(path: str) -> str:
+    return f"fieldlake_read_{hashlib.md5(path.encode()).hexdigest()}"
+
+
+def forget_layouts(spark: SparkSession, source: Files) -> None:
+    """Drop the session's catalog entries of a source's bucketed tables."""
+    for table in layouts(spark, source):
+        spark.sql(f"DROP TABLE IF EXISTS {_entry(source.path.rstrip('/') + '/' + table)}")
+
+
+def _bucketed(spark: SparkSession, source: Files, layout: Layout, found: DataFrame) -> DataFrame:
+    """The table through an entry in the session's catalog, which is where Spark keeps bucketing."""
+    path = f"{source.path.rstrip('/')}/{layout.table}"
+    name = _entry(path)
+    if not spark.catalog.tableExists(name):
+        columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in found.schema)
+        spark.sql(
+            f"CREATE TABLE {name} ({columns}) USING parquet"
+            + (f" PARTITIONED BY (`{layout.partition}`)" if layout.partition else "")
+            + f" CLUSTERED BY (`{layout.key}`) SORTED BY (`{layout.key}`) INTO {layout.buckets} BUCKETS"
+            + f" LOCATION '{path}'"
+        )
+        if layout.partition:
+            spark.catalog.recoverPartitions(name)
+        # Without statistics a partitioned table counts as infinitely large.
+        spark.sql(f"ANALYZE TABLE {name} COMPUTE STATISTICS NOSCAN")
+    return spark.table(name)
+
+
 @dataclass(frozen=True)
 class Split:
     """How a parallel database read divides a table: a number or date column and its range."""
@@ -65,6 +123,9 @@ def read_table(spark: SparkSession, source: Files | Database, table: str) -> Dat
         found = spark.read.parquet(f"{source.path.rstrip('/')}/{table}")
     except AnalysisException as error:
         raise MissingTableError(f"no table {table} under {source.path}") from error
+    layout = layouts(spark, source).get(table)
+    if layout:
+        found = _bucketed(spark, source, layout, found)
     contract = STAR.get(table)
     # Partition columns come back last; return the declared order.
     if contract and set(contract.columns) == set(found.columns):

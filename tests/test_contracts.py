@@ -18,6 +18,17 @@ def test_shape_selects_declared_columns_in_order(spark):
         c.shape(df.drop("district"), c.DIM_STATIONS)
 
 
+@pytest.mark.parametrize("suffix", ["", " NOT NULL"])
+def test_columns_are_read_with_their_suffix(suffix):
+    assert c.Contract("t", f"a BIGINT{suffix}", ("a",)).schema["a"].nullable is (suffix == "")
+
+
+@pytest.mark.parametrize("suffix", [" not null", " NOTNULL", " NOT NULL UNIQUE", " DEFAULT 1"])
+def test_unknown_suffixes_are_errors(suffix):
+    with pytest.raises(c.ContractError, match="not understood"):
+        c.Contract("t", f"a BIGINT{suffix}", ("a",)).schema
+
+
 def test_lake_types_hold_more_than_declared(spark):
     assert c.lake_type(DecimalType(3, 1)) == DecimalType(18, 1)
 

@@ -1,7 +1,7 @@
 import pytest
 
 from conftest import plan, rows
-from fieldlake.plans import model, pipeline, quality
+from fieldlake.plans import model, pipeline, quality, rollups
 from fieldlake.plans.lake import Lake
 from fieldlake.registry import QUERIES, all_queries
 from fieldlake.sinks.files import child_names
@@ -119,6 +119,26 @@ def test_bucketed_star_joins_without_a_shuffle(spark, small_dir, settings):
     assert "SortMergeJoin" in plan(joined) and "Exchange" not in plan(joined)
 
 
+def test_published_star_joins_without_a_shuffle(spark, published, settings):
+    settings(spark__sql__autoBroadcastJoinThreshold="-1")
+    star = load_tables(spark, current(spark, published[0]))
+    joined = star["fact_crop_yield"].select("farm_id", "profit_loss_inr").join(
+        star["dim_farms"].select("farm_id", "state"), "farm_id")
+    assert "SortMergeJoin" in plan(joined) and "Exchange" not in plan(joined)
+    text = plan(star["fact_crop_yield"].where("season = 'Rabi'").select("farm_id"))
+    assert "PartitionFilters: [isnotnull(season" in text
+
+
+def test_rollups_join_the_star_once(spark, small_dir, monkeypatch):
+    star, joins = Lake.of(spark, small_dir).star(), []
+    join = rollups.farm_weather
+    monkeypatch.setattr(rollups, "farm_weather", lambda *tables: joins.append(1) or join(*tables))
+    bodies = rollups.rollup_bodies(star)
+    assert len(joins) == 1
+    for name in ("yield_weather_correlation", "climate_risk_farms"):
+        assert "Join" not in plan(bodies[name])
+
+
 def test_season_filter_prunes_partitions(spark, small_dir):
     text = plan(Lake.of(spark, small_dir).fact_yield.where("season = 'Rabi'").select("farm_id"))
     assert "PartitionFilters: [isnotnull(season" in text

@@ -45,7 +45,7 @@ def star(spark):
 
 
 def test_flags_count_whatever_their_case(star):
-    got = rows(rollups.climate_risk(rollups.farm_weather(*star)))
+    got = rows(rollups.climate_risk(rollups.farm_sums(rollups.farm_weather(*star))))
     assert [r[2:4] for r in got] == [("Flood/Cyclone Alert", 50.0), ("No Alert", 0.0)]
 
 
@@ -57,8 +57,9 @@ def test_pest_rate_among_known_flags_differs_from_rate_of_all(star):
 
 def test_three_gap_definitions(spark, star):
     joined = rollups.farm_weather(*star)
+    sums = rollups.farm_sums(joined)
     # ratio of means: (0 + 20 + 4) / (10 + 10 + 0)
-    assert rollups.yield_weather(joined).first().rainfall_reporting_gap_pct == 120.0
+    assert rollups.yield_weather(sums).first().rainfall_reporting_gap_pct == 120.0
     # mean of row ratios leaves the dry station out: (0 % + 200 %) / 2
     assert analysis.rainfall_gap_by_state(*star).first().avg_gap_percentage == 100.0
     assert charts.rainfall_gap_signed(joined).first().rainfall_gap_mm == 8.0
@@ -67,7 +68,7 @@ def test_three_gap_definitions(spark, star):
 def test_dry_stations_only_give_no_ratio(spark):
     fact, dim = facts(spark, ("a", "s", "C", 10.0, 5.0, "Yes", 40, 70))
     dry = (fact, dim, weather(spark, ("s", 0.0, "No", "No")))
-    assert rollups.yield_weather(rollups.farm_weather(*dry)).first().rainfall_reporting_gap_pct is None
+    assert rollups.yield_weather(rollups.farm_sums(rollups.farm_weather(*dry))).first().rainfall_reporting_gap_pct is None
     assert analysis.rainfall_gap_by_state(*dry).first().avg_gap_percentage is None
 
 
