@@ -18,6 +18,7 @@ import sys
 import types
 import zlib
 from collections.abc import Iterator
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -46,7 +47,7 @@ class Encoder:
     token's string, are encoded whole. Beyond `limit` parts, those used once are forgotten.
     """
 
-    def __init__(self, path: str, limit: int = 300_000):
+    def __init__(self, path: str, limit: int = 600_000):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
@@ -150,10 +151,12 @@ class Encoder:
         starts, ends = starts[stays], ends[stays]
         keys = word_hashes(data, starts, ends, None)
         found, at, which = np.unique(keys, return_index=True, return_inverse=True)
-        missing = np.fromiter((k not in self.known for k in found.tolist()), bool, len(found))
-        at = at[missing]
-        self._learn(found[missing], whole, starts[at], ends[at])
-        number = np.fromiter(map(self.known.__getitem__, found.tolist()), np.int64, len(found))
+        number = np.fromiter(map(self.known.get, found.tolist(), repeat(-1)), np.int64, len(found))
+        missing = number < 0
+        if missing.any():
+            at = at[missing]
+            self._learn(found[missing], whole, starts[at], ends[at])
+            number[missing] = np.fromiter(map(self.known.__getitem__, found[missing].tolist()), np.int64, len(at))
         self.hits[number] += np.bincount(which, minlength=len(found))
         parts = np.zeros(int(sizes.sum()), dtype=np.int64)
         bounds = np.concatenate([[0], np.cumsum(sizes)])
