@@ -7,6 +7,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from fieldlake.sinks.files import remove
 from fieldlake.sinks.settle import shared_dir
 
 DOCUMENT_COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
@@ -24,22 +25,38 @@ class Scratch:
     """Tables of one operator call in the folder that `spark.checkpoint.dir` names.
 
     `put` computes a frame once and reads it back, which cuts its lineage: tables survive
-    lost executors. `drop` deletes a table that no later frame reads.
+    lost executors. `keep_only` deletes those that no later frame reads.
     """
 
     def __init__(self, spark: SparkSession, label: str):
         self.spark = spark
         self.path = f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex[:12]}"
+        self.names: list[str] = []
+        self.tables: list[str] = []
 
     def put(self, df: DataFrame, name: str, compression: str = "zstd") -> DataFrame:
         path = f"{self.path}/{name}"
+        self.names.append(name)
         df.write.option("compression", compression).parquet(path)
         return self.spark.read.schema(df.schema).parquet(path)
 
-    def drop(self, name: str) -> None:
-        target = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{self.path}/{name}")
-        configuration = self.spark.sparkContext._jsc.hadoopConfiguration()
-        target.getFileSystem(configuration).delete(target, True)
+    def put_bucketed(self, df: DataFrame, name: str, key: str) -> DataFrame:
+        """Like `put`, in as many buckets as a shuffle has partitions: joins and groups on the key stay in place."""
+        table = f"scratch_{name}_{uuid.uuid4().hex[:12]}"
+        buckets = int(self.spark.conf.get("spark.sql.shuffle.partitions"))
+        self.names.append(name)
+        self.tables.append(table)
+        writer = df.repartition(buckets, key).write.format("parquet").option("path", f"{self.path}/{name}")
+        writer.option("compression", "zstd").bucketBy(buckets, key).sortBy(key).saveAsTable(table)
+        return self.spark.table(table)
+
+    def keep_only(self, *names: str) -> None:
+        """Delete all tables but those that frames still to be computed read."""
+        for table in self.tables:
+            self.spark.sql(f"DROP TABLE IF EXISTS {table}")
+        for name in set(self.names) - set(names):
+            remove(self.spark, f"{self.path}/{name}")
+        self.names, self.tables = list(names), []
 
 
 def fold_of(key: str, folds: int) -> F.Column:

@@ -8,18 +8,20 @@ from pyspark.sql import functions as F
 from fieldlake.llm.common import Scratch
 
 
-def components(edges: DataFrame, scratch: Scratch, label: str = "components") -> DataFrame:
-    """(node, component) of an edge table (a, b); the component is its smallest node.
+def components(
+    edges: DataFrame, scratch: Scratch, label: str = "components", most: int | None = None
+) -> DataFrame:
+    """(node, component) of a stored edge table (a, b); the component is its smallest node.
 
     Every round sends each node to the smallest of itself and its neighbours, moves the edges
     along and drops those inside a node. A star or a clique is gone after one round; a path
-    shrinks by a constant factor. Minima combine before their shuffle, so a hub costs no more
+    shrinks by a constant factor. After `most` rounds what is found is returned, which may be parts
+    of components. Minima combine before their shuffle, so a hub costs no more
     than its edges. Nodes without an edge are not listed.
     """
     edges = edges.select("a", "b").where(F.col("a") != F.col("b"))
-    edges = scratch.put(edges, f"{label}-edges-0")
     found, step = None, 0
-    while not edges.isEmpty():
+    while (most is None or step < most) and not edges.isEmpty():
         both = edges.union(edges.select("b", "a"))
         least = both.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("_m"))
         least = scratch.put(least.select("node", F.least("node", "_m").alias("to")), f"{label}-to-{step}")
@@ -31,11 +33,8 @@ def components(edges: DataFrame, scratch: Scratch, label: str = "components") ->
             found = least.select("node", F.col("to").alias("component"))
         else:
             next_to = least.select(F.col("node").alias("component"), "to")
-            found = scratch.put(
-                found.join(next_to, "component", "left").select(
-                    "node", F.coalesce("to", "component").alias("component")
-                ),
-                f"{label}-found-{step}",
+            found = found.join(next_to, "component", "left").select(
+                "node", F.coalesce("to", "component").alias("component")
             )
         step += 1
     if found is None:

@@ -3,13 +3,16 @@
 Two documents link when 100 * |intersection| >= percent * |union|. The steps:
 
 1. Equal sets are one node; all that follows works on nodes.
-2. Shingles are ordered rare first. A table of the most frequent ones, bounded in size, sets
-   the order; any order that all documents share gives the same links.
+2. Shingles are ordered rare first: those that no two nodes were seen to share, those that
+   some share, and those of a table of the most frequent ones. Table and set are bounded in
+   size; any order that all documents share gives the same links. So what many documents have
+   in common, such as a passage, makes candidates only of documents that have little else.
 3. A node's short inverted lists are those of its first shingles in that order: as many as it
    must share one of with any partner. Lists with one node are dropped before they are built.
-4. Each list compares its members with one of them. Linked nodes are contracted, and lists
-   that still hold several components compare the members of different components. So a
-   group of copies costs its size, not its square, and no link between components is lost.
+4. In rounds, each node is compared with one node of another component: of the nodes that head
+   its lists, the one that heads most. Linked nodes are contracted, so a group of copies costs
+   its size, not its square. When few pairs of different components are left in the lists, or
+   a round finds no link, all those pairs are compared: no link between components is lost.
 5. Comparing is DivideSkip: for one query node and a block of candidates, counts from merged
    short lists, then binary probes into the long lists for those still in reach.
 
@@ -29,8 +32,8 @@ from fieldlake.llm.common import Scratch
 from fieldlake.llm.graph import components
 from fieldlake.llm.words import U64, grams, mixed, signed, text_words
 
-_BLOCK = 256
-_RUN_BYTES = 4 << 20
+_BLOCK = 512
+_RUN_BYTES = 1 << 20
 
 
 class Sets:
@@ -60,9 +63,10 @@ class Sets:
 
 
 class Order:
-    """Rare shingles first: those that are not in the table by hash, then the table's by count."""
+    """Rare shingles first: by hash those that are not `seen`, then those that are, then the table's by count."""
 
-    def __init__(self, shingles: np.ndarray, counts: np.ndarray):
+    def __init__(self, shingles: np.ndarray, counts: np.ndarray, seen: "Bits | None" = None):
+        self.seen = seen
         order = np.argsort(shingles)
         self.shingles, self.counts = shingles[order], counts[order]
         self.bits = np.zeros(1 << 20, dtype=bool)
@@ -80,15 +84,23 @@ class Order:
         """First shingles of each distinct set: (text index, shingle, position in the order)."""
         chosen = sets.distinct()
         often = self.frequent(sets.values)
-        rare_before = np.concatenate([[0], np.cumsum(~often)])
+        seen = ~often & self.seen.may_hold(sets.values) if self.seen else np.zeros(len(often), dtype=bool)
         owner = np.repeat(np.arange(len(sets.sizes)), sets.sizes)
-        place = rare_before[:-1] - rare_before[sets.starts[:-1]][owner]
+
+        def counted(mark: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+            """Of each set's marked shingles: how many stand before each shingle, and how many there are."""
+            before = np.concatenate([[0], np.cumsum(mark)])
+            return before[:-1] - before[sets.starts[:-1]][owner], before[sets.starts[1:]] - before[sets.starts[:-1]]
+
+        new_before, new_size = counted(~often & ~seen)
+        seen_before, seen_size = counted(seen)
+        place = np.where(seen, new_size[owner] + seen_before, new_before)
         length = prefix_length(sets.sizes, percent)
         wanted = np.zeros(len(sets.sizes), dtype=bool)
         wanted[chosen] = True
         rare = ~often & wanted[owner] & (place < length[owner])
         owners, values, places = [owner[rare]], [sets.values[rare]], [place[rare]]
-        rare_size = rare_before[sets.starts[1:]] - rare_before[sets.starts[:-1]]
+        rare_size = new_size + seen_size
         for i in np.flatnonzero(wanted & (rare_size < length)):
             own = slice(sets.starts[i], sets.starts[i + 1])
             rest = sets.values[own][often[own]]
@@ -145,7 +157,7 @@ def divide_skip(query: np.ndarray, sets: list[np.ndarray], needs: np.ndarray, mu
     return out
 
 
-def shingle_sets(docs: DataFrame, n: int = 5, common_run: int = 2_000_000) -> DataFrame:
+def shingle_sets(docs: DataFrame, n: int = 5, common_run: int = 1_000_000) -> DataFrame:
     """doc_id, n_shingles, digest of the set, and shingles that several texts of a run share.
 
     `common` stands at the first text of each run of about `common_run` shingles: those that
@@ -249,60 +261,152 @@ def _postings(docs: DataFrame, order: Order, shared: Bits, n: int, percent: int)
 
 
 def _may_link(a: str, b: str, percent: int) -> F.Column:
-    """By size, and by what can follow the first shingle that both have."""
+    """By component, by size, and by what can follow the first shingle that both have."""
     size_a, size_b = F.col(f"{a}.size"), F.col(f"{b}.size")
     need = F.ceil(F.lit(percent) * (size_a + size_b) / F.lit(100 + percent))
     ahead = F.least(size_a - F.col(f"{a}.at"), size_b - F.col(f"{b}.at"))
-    return (F.least(size_a, size_b) * 100 >= F.greatest(size_a, size_b) * percent) & (ahead >= need)
+    fits = (F.least(size_a, size_b) * 100 >= F.greatest(size_a, size_b) * percent) & (ahead >= need)
+    return fits & (F.col(f"{a}.component") != F.col(f"{b}.component"))
 
 
-def _compare(pairs: DataFrame, texts: DataFrame, n: int, percent: int) -> DataFrame:
-    """Links (a, b) among the candidate pairs (a, b): texts (node, text) meet in blocks of one `a`."""
+def _open_lists(lists: DataFrame, merged: DataFrame) -> DataFrame:
+    """The postings of lists with several components, with components."""
+    own = lists.join(merged, "node", "left").withColumn("component", F.coalesce("component", "node"))
+    several = own.groupBy("shingle").agg(F.min("component").alias("_a"), F.max("component").alias("_b"))
+    return own.join(several.where("_a < _b").select("shingle"), "shingle")
 
-    def test(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        query, query_set, found = None, None, []
+
+def _pairs_left(lists: DataFrame) -> tuple[int, int]:
+    """Pairs of different components over all lists, and postings."""
+    # One exchange, by list, serves both groupings.
+    sizes = lists.repartition("shingle").groupBy("shingle", "component").agg(F.count("*").alias("n"))
+    sizes = sizes.groupBy("shingle").agg(F.sum("n").alias("n"), F.sum(F.col("n") * F.col("n")).alias("own"))
+    row = sizes.agg(F.sum((F.col("n") * F.col("n") - F.col("own")) / 2), F.sum("n")).first()
+    return int(row[0] or 0), int(row[1] or 0)
+
+
+def _met_heads(lists: DataFrame, turn: int) -> DataFrame:
+    """Every posting (y) with the head (x) of its list in this turn, but for the head itself."""
+    heads = lists.groupBy("shingle").agg(
+        F.min(F.struct(F.xxhash64(F.col("node"), F.lit(turn)).alias("_turn"), "node", "component", "size", "at")).alias("h")
+    )
+    met = lists.alias("y").join(heads.select("shingle", "h.*").alias("x"), "shingle")
+    return met.where(F.col("x.node") != F.col("y.node"))
+
+
+def _head_pairs(lists: DataFrame, turn: int, percent: int) -> DataFrame:
+    """Heads and members (a, b), with the number of their common lists in which they may link."""
+    return _met_heads(lists, turn).groupBy(F.col("x.node").alias("a"), F.col("y.node").alias("b")).agg(
+        F.count_if(_may_link("x", "y", percent)).alias("n")
+    )
+
+
+def _one_each(pairs: DataFrame) -> DataFrame:
+    """For every node at most one candidate (a, b): the head of most of its lists."""
+    best = pairs.where(F.col("n") > 0).groupBy("b").agg(F.max(F.struct("n", "a")).alias("best"))
+    return best.select("best.a", "b", F.col("best.a").alias("place"))
+
+
+def _still_open(lists: DataFrame, pairs: DataFrame, merged: DataFrame, scratch: Scratch) -> DataFrame:
+    """The lists that may still hold several components after the first turn, whole.
+
+    A list does if a member is not in its head's component. Those pairs are known from the
+    first turn; a bounded set of bits finds their lists without moving the postings.
+    """
+    a, b = (merged.select(F.col("node").alias(x), F.col("component").alias(f"_{x}")) for x in "ab")
+    crossing = pairs.join(a, "a", "left").join(b, "b", "left")
+    crossing = crossing.where(F.coalesce("_a", "a") != F.coalesce("_b", "b"))
+    crossing = scratch.put(crossing.select(F.xxhash64("a", "b").alias("shingle")), "crossing")
+    wanted = Bits(crossing, crossing.count())
+
+    def choose(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            keys = list(zip(*(batch.column(i).to_pylist() for i in range(4))))
-            for first, words, places in text_words(batch.column(4), most=_RUN_BYTES):
-                sets = Sets(words, places, n)
-                waiting: list[int] = []
-
-                def flush() -> None:
-                    nonlocal waiting
-                    if waiting:
-                        own = [sets.of(i) for i in waiting]
-                        needs = least_overlap(len(query_set), sets.sizes[waiting], percent)
-                        for i, overlap in zip(waiting, divide_skip(query_set, own, needs)):
-                            if overlap and query[0] != keys[first + i][3]:
-                                found.append((query[0], keys[first + i][3]))
-                    waiting = []
-
-                for i in range(len(sets.sizes)):
-                    a, block, member, _ = keys[first + i]
-                    if not member:
-                        flush()
-                        query, query_set = (a, block), sets.of(i).copy()
-                    elif query == (a, block):
-                        waiting.append(i)
-                flush()
-            yield pa.RecordBatch.from_arrays(
+            kept = wanted.may_hold(batch.column(1).to_numpy().view(np.uint64))
+            yield batch.select([0]).filter(pa.array(kept))
+
+    keyed = _met_heads(lists, 0).select("shingle", F.xxhash64("x.node", "y.node").alias("pair"))
+    found = keyed.mapInArrow(choose, "shingle long").distinct()
+    return lists.join(found, "shingle", "left_semi").drop("component")
+
+
+def _every(lists: DataFrame, percent: int) -> DataFrame:
+    """All candidates (a, b) of different components, each with one list (place) in which they meet."""
+    met = lists.alias("x").join(lists.alias("y"), "shingle").where(_may_link("x", "y", percent))
+    met = met.where(F.col("x.component") < F.col("y.component"))
+    return met.groupBy(F.col("x.node").alias("a"), F.col("y.node").alias("b")).agg(F.min("shingle").alias("place"))
+
+
+def _hop(links: DataFrame) -> DataFrame:
+    """(node, component) after the first turn: a node's head, or that head's own head."""
+    heads = links.select(F.col("b").alias("node"), F.col("a").alias("head"))
+    above = heads.select(F.col("node").alias("head"), F.col("head").alias("_above"))
+    return heads.join(above, "head", "left").select("node", F.coalesce("_above", "head").alias("component"))
+
+
+def _only(texts: DataFrame, wanted: Bits) -> DataFrame:
+    """The texts of nodes that may be wanted; fewer texts then move to a join."""
+
+    def choose(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield batch.filter(pa.array(wanted.may_hold(batch.column(0).to_numpy().view(np.uint64))))
+
+    return texts.mapInArrow(choose, texts.schema)
+
+
+def _compare(pairs: DataFrame, texts: DataFrame, n: int, percent: int, scratch: Scratch, label: str) -> DataFrame:
+    """Links (a, b) among the candidate pairs (a, b, place).
+
+    Pairs of one place meet in blocks of about `_BLOCK` pairs, where each text comes once,
+    however many pairs it is in.
+    """
+
+    def test(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        here, sets, asked = None, {}, {}
+
+        def links() -> pa.RecordBatch:
+            found = []
+            for a, others in asked.items():
+                own = [sets[b] for b in others]
+                needs = least_overlap(len(sets[a]), np.array([len(x) for x in own]), percent)
+                found += [(a, b) for b, overlap in zip(others, divide_skip(sets[a], own, needs)) if overlap]
+            return pa.RecordBatch.from_arrays(
                 [pa.array([x[0] for x in found], pa.int64()), pa.array([x[1] for x in found], pa.int64())],
                 names=["a", "b"],
             )
-            found = []
 
-    sizes = pairs.groupBy("a").agg(F.count("*").alias("_n"))
-    placed = pairs.join(sizes, "a").select(
-        "a", "b", F.pmod(F.xxhash64("b"), F.ceil(F.col("_n") / _BLOCK)).cast("int").alias("block")
+        for batch in batches:
+            place, block, node, other = (batch.column(i).to_pylist() for i in range(4))
+            runs = [(first, Sets(words, places, n)) for first, words, places in text_words(batch.column(4), most=_RUN_BYTES)]
+            found = ((sets_of, i) for first, sets_of in runs for i in range(len(sets_of.sizes)))
+            for row, (sets_of, i) in enumerate(found):
+                if (place[row], block[row]) != here:
+                    if asked:
+                        yield links()
+                    here, sets, asked = (place[row], block[row]), {}, {}
+                if other[row] is None:
+                    sets[node[row]] = sets_of.of(i).copy()
+                else:
+                    asked.setdefault(node[row], []).append(other[row])
+        if asked:
+            yield links()
+
+    sizes = pairs.groupBy("place").agg(F.count("*").alias("_n"))
+    placed = pairs.join(sizes, "place").select(
+        "place", F.pmod(F.xxhash64("b"), F.ceil(F.col("_n") / _BLOCK)).cast("int").alias("block"), "a", "b"
     )
-    members = placed.select("a", "block", F.lit(1).alias("member"), F.col("b").alias("node"))
-    queries = placed.groupBy("a", "block").agg(F.lit(0).alias("member")).withColumn("node", F.col("a"))
-    rows = members.unionByName(queries).join(texts, "node").select("a", "block", "member", "node", "text")
-    ordered = rows.repartition("a", "block").sortWithinPartitions("a", "block", "member")
+    placed = scratch.put(placed, f"{label}-pairs")
+    node = F.explode(F.array("a", "b")).alias("node")
+    needed = scratch.put(placed.select("place", "block", node).distinct(), f"{label}-nodes")
+    held = _only(texts, Bits(needed.select(F.col("node").alias("shingle")), needed.count()))
+    whole = needed.hint("merge").join(held, "node").select("place", "block", "node", F.lit(None).cast("long").alias("other"), "text")
+    only = placed.select("place", "block", F.col("a").alias("node"), F.col("b").alias("other"), F.lit(None).cast("string").alias("text"))
+    rows = whole.unionByName(only).repartition("place", "block")
+    # A block's texts come before its pairs.
+    ordered = rows.sortWithinPartitions("place", "block", F.col("other").asc_nulls_first())
     return ordered.mapInArrow(test, "a long, b long")
 
 
-def link_components(docs: DataFrame, *, n: int = 5, percent: int = 75) -> DataFrame:
+def link_components(docs: DataFrame, *, n: int = 5, percent: int = 75, rounds: int = 6) -> DataFrame:
     """doc_id, n_shingles and component_id (smallest doc_id reachable by links) of every document.
 
     Null and empty texts, and texts of white space, have no shingles and link with nothing: each
@@ -315,47 +419,56 @@ def link_components(docs: DataFrame, *, n: int = 5, percent: int = 75) -> DataFr
     docs = docs.select("doc_id", "text")
     sets = scratch.put(shingle_sets(docs, n), "sets")
     order = frequent_shingles(sets)
-    shared = _prefix_counts(docs, order, n, percent).groupBy("shingle").agg(F.sum("n").alias("n"))
-    shared = scratch.put(shared.where(F.col("n") > 1).select("shingle"), "shared")
+    for turn in ("seen", "shared"):
+        counts = _prefix_counts(docs, order, n, percent).groupBy("shingle").agg(F.sum("n").alias("n"))
+        shared = scratch.put(counts.where(F.col("n") > 1).select("shingle"), turn)
+        if turn == "seen":
+            order = Order(order.shingles, order.counts, Bits(shared, shared.count()))
     postings = _postings(docs, order, Bits(shared, shared.count()), n, percent)
     # Different tasks may have posted copies of one set.
-    lists = scratch.put(postings.join(shared, "shingle").distinct(), "lists")
+    lists = scratch.put_bucketed(postings.join(shared, "shingle").distinct(), "lists", "shingle")
 
     nodes = sets.where(F.col("n_shingles") > 0).groupBy("digest").agg(F.min("doc_id").alias("doc_id"))
+    nodes = scratch.put(nodes, "nodes")
     wanted = nodes.join(lists.select(F.col("node").alias("digest")).distinct(), "digest", "left_semi")
-    wanted = scratch.put(wanted.select("doc_id").distinct(), "wanted")
-    held = docs.alias("d").join(wanted.alias("w"), F.col("d.doc_id").eqNullSafe(F.col("w.doc_id")), "left_semi")
-    texts = scratch.put(_digested(held, n), "texts")
-
-    heads = lists.groupBy("shingle").agg(F.min(F.struct("node", "size", "at")).alias("h"))
-    heads = heads.select("shingle", "h.*").alias("x")
-    first = lists.alias("y").join(heads, "shingle").where(F.col("x.node") != F.col("y.node"))
-    first = first.where(_may_link("x", "y", percent))
-    pairs = scratch.put(first.select(F.col("x.node").alias("a"), F.col("y.node").alias("b")).distinct(), "pairs-1")
-    links = scratch.put(_compare(pairs, texts, n, percent), "links-1")
-    merged = components(links, scratch, "merged-1")
-
-    left = lists.join(merged, "node", "left").withColumn("component", F.coalesce("component", "node"))
-    several = left.groupBy("shingle").agg(F.min("component").alias("_a"), F.max("component").alias("_b"))
-    left = scratch.put(left.join(several.where("_a < _b").select("shingle"), "shingle"), "left")
-    across = left.alias("x").join(left.alias("y"), "shingle")
-    across = across.where(F.col("x.component") < F.col("y.component")).where(_may_link("x", "y", percent))
-    across = across.select(F.col("x.node").alias("a"), F.col("y.node").alias("b")).distinct()
-    across = across.join(pairs, ["a", "b"], "left_anti")
-    across = across.join(pairs.select(F.col("b").alias("a"), F.col("a").alias("b")), ["a", "b"], "left_anti")
-    more = _compare(scratch.put(across, "pairs-2"), texts, n, percent)
+    wanted = scratch.put(wanted.select(F.xxhash64("doc_id").alias("shingle")), "wanted")
+    texts = scratch.put(_digested(docs, Bits(wanted, wanted.count()), n), "texts")
+
+    links, merged, own = None, None, lists.withColumn("component", F.col("node"))
+    for turn in range(rounds + 1):
+        last = False
+        if turn:
+            own = scratch.put(_open_lists(own.drop("component"), merged), f"open-{turn}")
+            pairs, size = _pairs_left(own)
+            if not pairs:
+                break
+            last = turn == rounds or pairs <= 16 * size
+        if last or not rounds:
+            chosen = scratch.put(_every(own, percent), f"every-{turn}")
+        else:
+            met = scratch.put(_head_pairs(own, turn, percent), f"met-{turn}")
+            chosen = scratch.put(_one_each(met), f"pairs-{turn}")
+        more = scratch.put(_compare(chosen, texts, n, percent, scratch, f"compare-{turn}"), f"links-{turn}")
+        links = more if links is None else links.unionByName(more)
+        if last:
+            break
+        # Nodes of one component that are not known to be may cost a comparison, never a link.
+        merged = components(links, scratch, f"merged-{turn}", most=2) if turn else scratch.put(_hop(links), "merged-0")
+        if not turn and rounds:
+            own = _still_open(own, met, merged, scratch)
     # A document with several rows joins the links of all its sets.
     again = sets.where(F.col("n_shingles") > 0).groupBy("doc_id").agg(
         F.min("digest").alias("a"), F.max("digest").alias("b")
     )
     several_sets = again.where("doc_id is not null and a <> b").select("doc_id", "a")
     joined = sets.where(F.col("n_shingles") > 0).join(several_sets, "doc_id").select("a", F.col("digest").alias("b"))
-    merged = components(links.unionByName(more).unionByName(joined), scratch, "merged-2")
+    merged = components(links.unionByName(joined), scratch, "merged")
 
     labels = nodes.join(merged.withColumnRenamed("node", "digest"), "digest", "left")
     labels = labels.withColumn("component", F.coalesce("component", "digest"))
     smallest = labels.groupBy("component").agg(F.min("doc_id").alias("component_id"))
     labels = scratch.put(labels.join(smallest, "component").select("digest", "component_id"), "labels")
+    scratch.keep_only("sets", "labels")
     return (
         sets.join(labels, "digest", "left")
         .select(
@@ -365,15 +478,19 @@ def link_components(docs: DataFrame, *, n: int = 5, percent: int = 75) -> DataFr
     )
 
 
-def _digested(docs: DataFrame, n: int) -> DataFrame:
+def _digested(docs: DataFrame, wanted: Bits, n: int) -> DataFrame:
+    """(node, text) of the documents whose ids may be wanted."""
+
     def digest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
+            batch = batch.filter(pa.array(wanted.may_hold(batch.column(0).to_numpy().view(np.uint64))))
             for first, words, places in text_words(batch.column(1), most=_RUN_BYTES):
                 sets = Sets(words, places, n)
-                own = batch.column(1).slice(first, len(sets.sizes)).take(pa.array(sets.distinct()))
-                yield pa.RecordBatch.from_arrays([pa.array(signed(sets.digests[sets.distinct()])), own], names=["node", "text"])
+                chosen = sets.distinct()
+                own = batch.column(1).slice(first, len(sets.sizes)).take(pa.array(chosen))
+                yield pa.RecordBatch.from_arrays([pa.array(signed(sets.digests[chosen])), own], names=["node", "text"])
 
-    return docs.select("doc_id", "text").mapInArrow(digest, "node long, text string")
+    return docs.select(F.xxhash64("doc_id").alias("key"), "text").mapInArrow(digest, "node long, text string")
 
 
 def keep_one(docs: DataFrame, *, n: int = 5, percent: int = 75) -> DataFrame:
