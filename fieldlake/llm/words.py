@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import sys
+import types
 from collections.abc import Iterator
 
 import numpy as np
@@ -10,7 +12,6 @@ import pyarrow as pa
 U64 = np.uint64
 _BASE = 0x9E3779B97F4A7C15 | 1
 _INVERSE = pow(_BASE, -1, 1 << 64)
-_POWERS: dict[str, np.ndarray] = {}
 _PIECE_BYTES = 1 << 20
 
 
@@ -41,12 +42,18 @@ def mixed(x: np.ndarray) -> np.ndarray:
 _VALUES = mixed(np.arange(1, 257, dtype=np.uint64) * U64(_BASE))
 
 
+def process_cache() -> dict:
+    """Values that live as long as the process; no job carries them along, unlike a module's own globals."""
+    return vars(sys.modules.setdefault("fieldlake_process", types.ModuleType("fieldlake_process")))
+
+
 def _powers(name: str, factor: int, size: int) -> np.ndarray:
-    known = _POWERS.get(name)
+    cache = process_cache()
+    known = cache.get(name)
     if known is None or len(known) < size:
         steps = np.full(max(size, _PIECE_BYTES), factor, dtype=np.uint64)
         steps[0] = 1
-        known = _POWERS[name] = np.multiply.accumulate(steps)
+        known = cache[name] = np.multiply.accumulate(steps)
     return known[:size]
 
 
