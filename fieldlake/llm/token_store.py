@@ -14,8 +14,6 @@ lost executor safe and any file system will do.
 from __future__ import annotations
 
 import os
-import sys
-import types
 import zlib
 from collections.abc import Iterator
 from itertools import repeat
@@ -27,7 +25,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from fieldlake.llm.common import Scratch
-from fieldlake.llm.words import U64, mixed, pieces, word_hashes
+from fieldlake.llm.words import U64, mixed, pieces, process_cache, word_hashes
 
 MAGIC, VERSION = 0x464C5453, 1
 SHARD_SCHEMA = "part int, seq int, n_docs int, n_ids long, doc_ids array<bigint>, shard binary"
@@ -173,10 +171,10 @@ class Encoder:
 
 def encoder(path: str) -> Encoder:
     """The worker's encoder of a file: it outlives the task, whose own globals do not."""
-    kept = sys.modules.setdefault("fieldlake_worker", types.ModuleType("fieldlake_worker"))
-    if path not in vars(kept):
-        setattr(kept, path, Encoder(path))
-    return getattr(kept, path)
+    cache = process_cache()
+    if path not in cache:
+        cache[path] = Encoder(path)
+    return cache[path]
 
 
 def key_hashes(doc_ids: list[int | None]) -> np.ndarray:
