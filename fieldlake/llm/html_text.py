@@ -11,6 +11,7 @@ from __future__ import annotations
 import html
 import re
 import zlib
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
@@ -22,23 +23,26 @@ from pyspark.sql import functions as F
 from fieldlake.llm.words import PLAIN, U64, text_words
 
 # Fixed values of HTML: elements without an end tag, elements within a line, elements whose
-# content is no text, and elements that end another of their kind.
+# content is no markup and no text, other elements whose content is no text, and elements that
+# end another of their kind.
 VOID = set("area base br col embed hr img input link meta param source track wbr".split())
 INLINE = set(
     "a abbr acronym b bdi bdo big br cite code data dfn em font i img kbd label mark q s samp small span strike strong "
     "sub sup time tt u var wbr".split()
 )
-SILENT = "script|style|noscript|template|svg|math|iframe|object|canvas|audio|video|textarea|select|button"
+RAW = "script|style|textarea"
+SILENT = set("noscript template svg math iframe object canvas audio video select button".split())
 ENDS_OWN = {"p": {"p"}, "li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"},
             "th": {"td", "th"}, "option": {"option"}}
 HOLDS = set("ul ol dl table article section div main aside nav header footer body form".split())
 
 _TOKEN = re.compile(
-    r"<!--.*?(?:-->|\Z)|<(?P<silent>" + SILENT + r")\b(?:[^>\"']|\"[^\"]*\"|'[^']*')*>.*?(?:</(?P=silent)\s*>|\Z)"
+    r"<!--.*?(?:-->|\Z)|<(?P<raw>" + RAW + r")(?=[\s/>])(?:[^>\"']|\"[^\"]*\"|'[^']*')*>.*?(?:</(?P=raw)(?=[\s/>])[^>]*>|\Z)"
     r"|<(?P<close>/?)(?P<tag>[a-zA-Z][a-zA-Z0-9:-]*)(?P<attrs>(?:[^>\"']|\"[^\"]*\"|'[^']*')*)>"
     r"|<[!?/][^>]*>|(?P<text>[^<]+|<)",
     re.S | re.I,
 )
+_HAS_SILENT = re.compile("<(?:" + "|".join(sorted(SILENT)) + r")[\s/>]", re.I)
 _NAMES = re.compile(r"(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
 _PARTS = re.compile(r"[A-Z]?[a-z]+|[A-Z]+|[0-9]+")
 
@@ -50,8 +54,40 @@ class Leaf:
     linked: float
 
 
+def silent_parts(page: str) -> dict[int, int]:
+    """Start and end of the silent elements that are closed by an end tag of their own.
+
+    An element that its holder's end tag or the end of the page closes is not among them: what
+    follows its start tag is read as text.
+    """
+    found: dict[int, int] = {}
+    if not _HAS_SILENT.search(page):
+        return found
+    stack: list[tuple[str, int]] = []
+    opened: Counter[str] = Counter()
+    for match in _TOKEN.finditer(page):
+        tag = match["tag"]
+        if tag is None:
+            continue
+        tag = tag.lower()
+        if match["close"]:
+            while opened[tag]:
+                name, start = stack.pop()
+                opened[name] -= 1
+                if name == tag:
+                    if tag in SILENT:
+                        found[start] = match.end()
+                    break
+        # Only svg and math, and what they hold, can be closed within the start tag.
+        elif tag not in VOID and not (match["attrs"].endswith("/") and tag not in SILENT - {"svg", "math"}):
+            stack.append((tag, match.start()))
+            opened[tag] += 1
+    return found
+
+
 def leaves(page: str) -> list[Leaf]:
     """Leaf blocks of a page in order; white space within a block is one space, references are decoded."""
+    silent, until = silent_parts(page), 0
     out: list[Leaf] = []
     stack: list[tuple[str, tuple[str, ...]]] = []
     text: list[str] = []
@@ -67,6 +103,8 @@ def leaves(page: str) -> list[Leaf]:
         text, path, linked = [], None, 0
 
     for match in _TOKEN.finditer(page):
+        if match.start() < until:
+            continue
         piece = match["text"]
         if piece is not None:
             if path is None and not piece.isspace():
@@ -79,6 +117,9 @@ def leaves(page: str) -> list[Leaf]:
         if tag is None:
             continue
         tag = tag.lower()
+        if tag in SILENT:
+            until = silent.get(match.start(), 0)
+            continue
         if tag not in INLINE:
             flush()
         elif tag == "br":

@@ -23,6 +23,19 @@ def test_leaves_of_broken_markup():
     assert texts(deep) == ["x"]
 
 
+def test_no_text_is_lost_around_silent_elements():
+    assert texts('<article><p>One</p><p>two <svg class="i"/> three</p><p>four</p><p>five</p></article>') == ["One", "two three", "four", "five"]
+    assert texts("<article><p>One</p><object data=x><p>two</p></article><p>three") == ["One", "two", "three"]
+    assert texts("<p>one</p><iframe src=x><p>two</p>") == ["one", "two"]
+    assert texts("<style-guide><p>One</p></style-guide><button-group><p>two</p></button-group><p>rest") == ["One", "two", "rest"]
+    assert texts("<div>a <object>b<object>c</object>d</object> e</div><p>f <BUTTON>g<p>h</p></BUTTON > i") == ["a e", "f i"]
+    assert texts('<p>a <svg><title>t</title><path d="m"/></svg> b</p><noscript>c</noscript>d</svg>e') == ["a b", "de"]
+    assert texts("<div><object>a</div><div>b</div><object>c</object>d") == ["a", "b", "d"]
+    assert texts("a<script>b</scripts>c</script >d<textarea>e") == ["ad"]
+    deep = "<object>" * 3000 + "x" + "</object>" * 3000 + "y"
+    assert texts(deep) == ["y"]
+
+
 def page(k):
     """A page in one of several layouts, and its main text."""
     body = [prose(10 * k + j, 8 + (k * 7 + j * 13) % 60).capitalize() + "." for j in range(3 + k % 6)]
