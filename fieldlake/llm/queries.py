@@ -26,7 +26,7 @@ def op2_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op3_spotsigs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spotsigs.fingerprints(documents(spark, sf_dir))
+    return spotsigs.fingerprints(documents(spark, sf_dir), spotsigs.even_signatures)
 
 
 def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -1,13 +1,17 @@
 """SpotSigs fingerprints: chains of content words that follow common words. DataFrame functions only.
 
 Every common word (anchor) opens a chain with the next two content words; at most eight common
-words may stand between them. A text with few anchors takes every word as one. The set of
-chains, hashed, is the fingerprint. Sets are compared by Jaccard similarity, and only if their
-lengths allow the similarity that is asked for.
+words may stand between them. Where no anchor stands, every three content words in a row are a
+signature too (`even_signatures`), so that any text has enough and a small edit changes only the
+signatures around it; `signatures` instead takes all triples of a text with few anchors. The set
+of signatures, hashed, is the fingerprint. Sets are compared by Jaccard similarity, and only if
+their lengths allow the similarity that is asked for.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -25,6 +29,8 @@ _COMMON = "|".join(COMMON_WORDS)
 _SKIP = f"(?:(?:{_COMMON}) ){{0,8}}+"
 _SPOTS = f"(?<= )(?=((?:{_COMMON}) {_SKIP}[^ ]+ {_SKIP}[^ ]+) )"
 _TRIPLES = "(?<= )(?=([^ ]+ [^ ]+ [^ ]+) )"
+_CONTENT = f"(?!(?:{_COMMON}) )[^ ]+"
+_EVEN = f"(?<= )(?=((?:{_COMMON}) {_SKIP}[^ ]+ {_SKIP}[^ ]+|{_CONTENT} {_CONTENT} {_CONTENT}) )"
 
 
 def signatures(text: Column, least: int = 4) -> Column:
@@ -33,11 +39,6 @@ def signatures(text: Column, least: int = 4) -> Column:
     Only a text without letters and digits, or null, has no chain at all: it gives the hash of
     the text itself, an empty or null text an empty array.
     """
-    plain = F.concat(F.lit(" "), F.trim(F.regexp_replace(F.lower(text), r"[^\p{L}\p{N}]+", " ")), F.lit(" "))
-
-    def hashed(chains: Column) -> Column:
-        drop = rf"(?<= )(?:(?:{_COMMON}) )+"
-        return F.array_sort(F.array_distinct(F.transform(chains, lambda x: F.hash(F.regexp_replace(x, F.lit(drop), F.lit(""))))))
 
     def choose(p: Column) -> Column:
         spots = F.regexp_extract_all(p, F.lit(_SPOTS), F.lit(1))
@@ -46,10 +47,37 @@ def signatures(text: Column, least: int = 4) -> Column:
 
         def by_spots(s: Column) -> Column:
             by_words = F.when(F.size(triples) > 0, F.array_sort(F.array_distinct(F.transform(triples, lambda x: F.hash(x)))))
-            return F.when(F.size(s) >= least, hashed(s)).otherwise(F.coalesce(by_words, F.array(F.hash(whole))))
+            return F.when(F.size(s) >= least, _hashed(s)).otherwise(F.coalesce(by_words, F.array(F.hash(whole))))
 
         return _once(spots, by_spots)
 
+    return _of_plain(text, choose)
+
+
+def even_signatures(text: Column) -> Column:
+    """Sorted distinct hashes of a text's chains and of its triples of content words, by one rule for every text.
+
+    A text without any, of at most three content words, gives the hash of the whole text; so
+    does a text without letters and digits. An empty or null text gives an empty array.
+    """
+
+    def choose(p: Column) -> Column:
+        whole = F.when(F.trim(p) == "", text).otherwise(p)
+        found = F.regexp_extract_all(p, F.lit(_EVEN), F.lit(1))
+        return _once(found, lambda s: F.when(F.size(s) > 0, _hashed(s)).otherwise(F.array(F.hash(whole))))
+
+    return _of_plain(text, choose)
+
+
+def _hashed(chains: Column) -> Column:
+    """Sorted distinct hashes; common words but the first and the last of a chain are no part of it."""
+    drop = rf"(?<= )(?:(?:{_COMMON}) )+"
+    return F.array_sort(F.array_distinct(F.transform(chains, lambda x: F.hash(F.regexp_replace(x, F.lit(drop), F.lit(""))))))
+
+
+def _of_plain(text: Column, choose) -> Column:
+    """`choose` of the text's words, each between single spaces; an empty array for an empty or null text."""
+    plain = F.concat(F.lit(" "), F.trim(F.regexp_replace(F.lower(text), r"[^\p{L}\p{N}]+", " ")), F.lit(" "))
     empty = F.coalesce(F.length(text), F.lit(0)) == 0
     return F.when(empty, F.array().cast("array<int>")).otherwise(_once(plain, choose))
 
@@ -96,32 +124,32 @@ def in_order(docs: DataFrame, scratch: Scratch) -> DataFrame:
     return placed.select("doc_id", "_h", F.coalesce("_before", "_end").alias("_before"))
 
 
-def fingerprints(docs: DataFrame) -> DataFrame:
+def fingerprints(docs: DataFrame, signatures: Callable[[Column], Column] = signatures) -> DataFrame:
     """Per document: doc_id, n_chars, edited_sha256, fingerprint, edited_fingerprint, near_edited, near_next.
 
     The edited text has its last quarter replaced by the first as many characters, or all, of
     the next document's; documents follow each other by id (null first, equal ids by a hash of
     the text), and the first follows the last. Rows with equal id and text are one document in
     that order and get equal results. Null text counts as empty, whose fingerprint is empty.
-    Other columns are ignored.
+    Other columns are ignored. `signatures` is the rule, this module's or another.
     """
     scratch = Scratch(docs.sparkSession, "spotsigs")
     docs = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
     order = in_order(docs, scratch)
-    own = docs.withColumn("_h", F.xxhash64("text")).withColumn("_sigs", signatures(F.col("text"))).alias("d")
+    own = docs.withColumn("_h", F.xxhash64("text")).alias("d")
     placed = own.join(
         order.alias("o"), F.col("d.doc_id").eqNullSafe(F.col("o.doc_id")) & (F.col("d._h") == F.col("o._h"))
     ).select("d.*", "_before")
     gives = placed.select(
         F.col("_before.doc_id").alias("doc_id"), F.col("_before._h").alias("_h"),
-        F.expr("left(text, cast(_before._quarter as int))").alias("_head"), F.col("_sigs").alias("_next"),
+        F.expr("left(text, cast(_before._quarter as int))").alias("_head"), signatures(F.col("text")).alias("_next"),
     ).dropDuplicates(["doc_id", "_h"])
     met = own.join(
         gives.alias("g"), F.col("d.doc_id").eqNullSafe(F.col("g.doc_id")) & (F.col("d._h") == F.col("g._h"))
     ).select("d.*", "_head", "_next")
     edited = F.concat(F.expr("left(text, cast(length(text) - floor(length(text) / 4) as int))"), F.col("_head"))
     met = met.withColumn("_edited", edited)
-    met = met.withColumn("_edited_sigs", signatures(F.col("_edited")))
+    met = met.withColumn("_sigs", signatures(F.col("text"))).withColumn("_edited_sigs", signatures(F.col("_edited")))
     return met.select(
         "doc_id", F.length("text").cast("long").alias("n_chars"), F.sha2("_edited", 256).alias("edited_sha256"),
         fingerprint(F.col("_sigs")).alias("fingerprint"), fingerprint(F.col("_edited_sigs")).alias("edited_fingerprint"),
@@ -130,7 +158,7 @@ def fingerprints(docs: DataFrame) -> DataFrame:
     )
 
 
-def near_pairs(docs: DataFrame, least: float = 0.75) -> DataFrame:
+def near_pairs(docs: DataFrame, least: float = 0.75, signatures: Callable[[Column], Column] = signatures) -> DataFrame:
     """Pairs (a, b, likeness) of distinct signature sets that are alike, named by their smallest doc_id.
 
     Sets are divided by length so that only equal or neighbouring divisions can reach `least`;

@@ -4,7 +4,7 @@ import pytest
 import regex
 from pyspark.sql import functions as F
 
-from fieldlake.llm import spotsigs
+from fieldlake.llm import queries, spotsigs
 from helpers import SCHEMA, no_documents, odd_documents, odd_texts, prose, read
 
 COMMON = set(spotsigs.COMMON_WORDS)
@@ -117,3 +117,33 @@ def test_near_pairs_as_by_brute_force(spark):
     expected = {frozenset((a, b)) for a, x in own for b, y in own if a < b and jaccard(x, y) >= 0.75}
     got = {frozenset((r.a, r.b)) for r in spotsigs.near_pairs(docs).collect()}
     assert got == expected and expected
+
+
+def even(text):
+    """The signatures of the rule without a switch, word by word."""
+    if not text:
+        return set()
+    words = regex.sub(r"[^\p{L}\p{N}]+", " ", text.lower()).split()
+    triples = {" ".join(words[k : k + 3]) for k in range(len(words) - 2) if not COMMON & set(words[k : k + 3])}
+    anchored = chains(text, 0) if COMMON & set(words) and len(words) > 2 else set()
+    return triples | anchored or {" ".join(words) or text}
+
+
+def test_query_keeps_copies_whose_anchors_cross_a_count(spark, tmp_path):
+    texts = []
+    for k in range(12):
+        words = prose(40 + k, 240).split()
+        for j in range(1 + k % 6):
+            words[7 + 35 * j] = "the"
+        texts.append((k, " ".join(words)))
+    texts += [(100, None), (101, ""), (102, "..."), (103, "the of"), (104, "one two"), (105, "one the two")]
+    docs = spark.createDataFrame([(i, t, None, None, None) for i, t in texts], SCHEMA)
+    docs.write.parquet(str(tmp_path / "documents.parquet"))
+    rows = sorted(queries.op3_spotsigs(spark, str(tmp_path)).collect(), key=lambda r: r.doc_id)
+    for k, r in enumerate(rows):
+        text, following = texts[k][1] or "", texts[(k + 1) % len(texts)][1] or ""
+        quarter = len(text) // 4
+        edited = text[: len(text) - quarter] + following[:quarter]
+        assert r.near_edited == pytest.approx(jaccard(even(text), even(edited))), k
+        assert r.near_next == pytest.approx(jaccard(even(text), even(following))), k
+        assert k > 11 or r.near_edited > 0.5
