@@ -1,14 +1,16 @@
 """Language of texts by cross-parsing with suffix automata.
 
-Each language has a suffix automaton of a bounded amount of labelled text. A text is cut into
-the longest phrases that occur in a language's text; the language that needs the fewest
+Each language has a suffix automaton of a bounded number of labelled documents, taken whole. A
+text is cut into the longest phrases that occur in a language's text; the language that needs the fewest
 phrases, normalised by the logarithm of its text's length, wins.
 """
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -16,56 +18,108 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from fieldlake.llm.common import fold_of
-from fieldlake.llm.words import pieces
+from fieldlake.llm.words import U64, pieces
 
 UNKNOWN = "und"
 _SEGMENT = 1024
 
 
-def suffix_automaton(symbols: np.ndarray, alphabet: int) -> np.ndarray:
-    """Transitions (state, symbol) -> state of the suffix automaton of a sequence, -1 for none."""
-    size = 2 * len(symbols) + 2
-    steps = np.full((size, alphabet), -1, dtype=np.int32)
-    link, length = [-1] * size, [0] * size
-    last, used = 0, 1
+def transitions(symbols: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, int]:
+    """Suffix automaton of a sequence: (state, symbol, next state) of each transition, and the number of states.
+
+    There are at most two states and three transitions a symbol, whatever the alphabet.
+    """
+    steps: list[dict[int, int]] = [{}]
+    link, length = [-1], [0]
+    last = 0
     for symbol in symbols.tolist():
-        new, used = used, used + 1
-        length[new] = length[last] + 1
+        new = len(steps)
+        steps.append({})
+        link.append(0)
+        length.append(length[last] + 1)
         at = last
-        while at != -1 and steps[at, symbol] < 0:
-            steps[at, symbol] = new
+        while at != -1 and symbol not in steps[at]:
+            steps[at][symbol] = new
             at = link[at]
-        if at == -1:
-            link[new] = 0
-        else:
-            to = int(steps[at, symbol])
+        if at != -1:
+            to = steps[at][symbol]
             if length[at] + 1 == length[to]:
                 link[new] = to
             else:
-                copy, used = used, used + 1
-                length[copy], link[copy] = length[at] + 1, link[to]
-                steps[copy] = steps[to]
-                while at != -1 and steps[at, symbol] == to:
-                    steps[at, symbol] = copy
+                copy = len(steps)
+                steps.append(dict(steps[to]))
+                link.append(link[to])
+                length.append(length[at] + 1)
+                while at != -1 and steps[at].get(symbol) == to:
+                    steps[at][symbol] = copy
                     at = link[at]
                 link[to] = link[new] = copy
         last = new
-    return steps[:used]
+    sizes = np.fromiter(map(len, steps), np.int64, len(steps))
+    total = int(sizes.sum())
+    by = np.fromiter(chain.from_iterable(steps), np.int64, total)
+    to = np.fromiter(chain.from_iterable(x.values() for x in steps), np.int64, total)
+    return np.repeat(np.arange(len(steps)), sizes), by, to, len(steps)
+
+
+def suffix_automaton(symbols: np.ndarray, alphabet: int) -> np.ndarray:
+    """Transitions (state, symbol) -> state of the suffix automaton of a sequence, -1 for none."""
+    state, symbol, to, n = transitions(symbols)
+    steps = np.full((n, alphabet), -1, dtype=np.int32)
+    steps[state, symbol] = to
+    return steps
+
+
+class Lookup:
+    """Non-negative integer keys -> state, -1 for others, by open addressing in tables at most half full."""
+
+    def __init__(self, keys: np.ndarray, values: np.ndarray):
+        self.power = max(4, int(2 * len(keys)).bit_length())
+        self.keys = np.full(1 << self.power, -1, dtype=np.int64)
+        self.values = np.full(1 << self.power, -1, dtype=np.int32)
+        left, slot = np.arange(len(keys)), self._slot(keys)
+        while len(left):
+            free = self.keys[slot] < 0
+            self.keys[slot[free]] = keys[left[free]]
+            lost = self.keys[slot] != keys[left]
+            self.values[slot[~lost]] = values[left[~lost]]
+            left, slot = left[lost], (slot[lost] + 1) & (len(self.keys) - 1)
+
+    def _slot(self, keys: np.ndarray) -> np.ndarray:
+        return (keys.view(np.uint64) * U64(0x9E3779B97F4A7C15) >> U64(64 - self.power)).view(np.int64)
+
+    def find(self, keys: np.ndarray) -> np.ndarray:
+        slot = self._slot(keys)
+        there = self.keys[slot]
+        out = self.values[slot]
+        left = np.flatnonzero(there != keys)
+        out[left] = -1
+        left = left[there[left] >= 0]
+        slot = slot[left]
+        while len(left):
+            slot = (slot + 1) & (len(self.keys) - 1)
+            there = self.keys[slot]
+            hit = there == keys[left]
+            out[left[hit]] = self.values[slot[hit]]
+            on = ~hit & (there >= 0)
+            left, slot = left[on], slot[on]
+        return out
 
 
 @dataclass
 class Parser:
-    """Automata of all languages in one table; states are multiples of the alphabet's size."""
+    """Automata of all languages in one table by state * alphabet + symbol; `first` has the steps from each root."""
 
     languages: list[str]
     symbol_of: np.ndarray
     alphabet: int
-    steps: np.ndarray
+    steps: Lookup
     roots: np.ndarray
+    first: np.ndarray
     scale: np.ndarray
 
     def symbols(self, points: np.ndarray) -> np.ndarray:
-        return self.symbol_of[np.minimum(points, len(self.symbol_of) - 1)]
+        return self.symbol_of[points]
 
     def phrases(self, segments: np.ndarray, lengths: np.ndarray) -> np.ndarray:
         """Phrases of each segment in each language; segments are columns, longest first."""
@@ -78,12 +132,12 @@ class Parser:
                 break
             symbol = segments[t, :n]
             own = state[:, :n]
-            following = self.steps[own + symbol]
+            following = self.steps.find((own * self.alphabet + symbol).ravel()).reshape(own.shape)
             ended = following < 0
             count[:, :n] += ended
             if ended.any():
                 lang, column = np.nonzero(ended)
-                again = self.steps[self.roots[lang] + symbol[column]]
+                again = self.first[lang, symbol[column]]
                 following[lang, column] = np.where(again < 0, self.roots[lang], again)
             state[:, :n] = following
         return count + 1
@@ -98,8 +152,6 @@ class Parser:
             symbols = self.symbols(points)
             owner = np.repeat(np.arange(len(offsets) - 1), np.diff(starts))
             letter = symbols > 0
-            for point in np.unique(points[points >= len(self.symbol_of)]):
-                letter[points == point] = chr(point).isalpha()
             own = np.bincount(owner[letter], minlength=len(offsets) - 1) > 0
             letters[first : first + len(own)] = own
             # Runs of what is no letter count as one space.
@@ -140,59 +192,55 @@ class Parser:
         return [self.languages[b] if ok else UNKNOWN for b, ok in zip(best, letters)], np.where(letters, score, 0.0)
 
 
-def parser_of(texts: dict[str, list[str]], *, most_chars: int = 24_000, all_chars: int = 200_000, letters: int = 47) -> Parser:
-    """Automata of at most `most_chars` characters a language and `all_chars` in all.
+def parser_of(texts: dict[str, list[str]]) -> Parser:
+    """Automata of all of the texts.
 
-    The alphabet has the `letters` most frequent letters in lower case, one symbol for all
-    other letters, and the space.
+    The alphabet has every letter of the texts in lower case, one symbol for all other
+    letters, and the space.
     """
     languages = sorted(texts)
-    share = min(most_chars, all_chars // max(1, len(languages)))
-    joined = {x: "\n".join(texts[x]).lower()[:share] for x in languages}
-    counts: dict[str, int] = {}
-    for x in joined.values():
-        for c in x:
-            if c.isalpha():
-                counts[c] = counts.get(c, 0) + 1
-    chosen = sorted(counts, key=lambda c: (-counts[c], c))[:letters]
-    number = {c: i + 2 for i, c in enumerate(chosen)}
-    symbol_of = np.zeros((1 << 16) + 1, dtype=np.int64)
-    for point in range(1 << 16):
+    joined = {x: "\n".join(texts[x]).lower() for x in languages}
+    number = {c: i + 2 for i, c in enumerate(sorted({c for x in joined.values() for c in set(x) if c.isalpha()}))}
+    symbol_of = np.zeros(sys.maxunicode + 1, dtype=np.int32)
+    for point in range(sys.maxunicode + 1):
         c = chr(point)
         if c.isalpha():
             symbol_of[point] = number.get(c.lower()[:1], 1)
-    alphabet = len(chosen) + 2
-    tables, roots, at = [], [], 0
-    for x in languages:
-        points = np.frombuffer(joined[x].encode("utf-32-le"), np.uint32)
-        symbols = symbol_of[np.minimum(points, 1 << 16)]
+    alphabet = len(number) + 2
+    keys, values, roots, at = [], [], [], 0
+    first = np.full((len(languages), alphabet), -1, dtype=np.int32)
+    for k, x in enumerate(languages):
+        symbols = symbol_of[np.frombuffer(joined[x].encode("utf-32-le", "surrogatepass"), np.uint32)]
         keep = np.ones(len(symbols), dtype=bool)
         keep[1:] = (symbols[1:] > 0) | (symbols[:-1] > 0)
-        steps = suffix_automaton(symbols[keep], alphabet)
-        tables.append(np.where(steps < 0, -1, (steps + at) * alphabet).astype(np.int32).ravel())
-        roots.append(at * alphabet)
-        at += len(steps)
+        state, symbol, to, n = transitions(symbols[keep])
+        keys.append((state + at) * alphabet + symbol)
+        values.append(to + at)
+        first[k, symbol[state == 0]] = to[state == 0] + at
+        roots.append(at)
+        at += n
     scale = np.array([np.log2(max(2, len(joined[x]))) for x in languages])
-    steps = np.concatenate(tables) if tables else np.zeros(0, np.int32)
-    return Parser(languages, symbol_of, alphabet, steps, np.array(roots, dtype=np.int64), scale)
+    none = [np.zeros(0, np.int64)]
+    steps = Lookup(np.concatenate(keys or none), np.concatenate(values or none))
+    return Parser(languages, symbol_of, alphabet, steps, np.array(roots, dtype=np.int64), first, scale)
 
 
-def fit(docs: DataFrame, *, folds: int = 3, held: int = 1, per_language: int = 60, longest: int = 4000, **options) -> Parser:
+def fit(docs: DataFrame, *, folds: int = 3, held: int = 1, per_language: int = 60, longest: int = 4000) -> Parser:
     """Learn from at most `per_language` whole documents of each language, never of the held-out fold.
 
-    The documents are those of up to `longest` characters whose ids hash smallest; without
-    any of that size a language learns from its longer ones.
+    The documents are those of up to `longest` characters whose ids hash smallest; a language
+    with fewer of that size learns from longer ones too, which are also taken whole.
     """
     known = docs.where(F.col("lang").isNotNull() & F.col("text").isNotNull() & (fold_of("doc_id", folds) != held))
     long = F.length("text") > longest
     known = known.select("lang", "doc_id", F.when(long, 1).otherwise(0).alias("_long"), F.xxhash64("doc_id").alias("_h"), "text")
     first = Window.partitionBy("lang").orderBy("_long", "_h", "doc_id", "text")
     chosen = known.withColumn("_n", F.row_number().over(first)).where(F.col("_n") <= per_language)
-    rows = chosen.select("lang", "_n", F.substring("text", 1, 8 * longest).alias("text")).toPandas()
+    rows = chosen.select("lang", "_n", "text").toPandas()
     texts: dict[str, list[str]] = {}
     for row in rows.sort_values(["lang", "_n"]).itertuples():
         texts.setdefault(row.lang, []).append(row.text)
-    return parser_of(texts, **options)
+    return parser_of(texts)
 
 
 def identify(docs: DataFrame, parser: Parser) -> DataFrame:

@@ -81,3 +81,30 @@ def test_no_rows_and_few_languages(spark, labels):
     assert language.identify(no_documents(spark), parser).count() == 0
     found = {r.lang_pred for r in language.identify(odd_documents(spark), parser).collect()}
     assert found == {"und", *labels}
+
+
+def test_languages_of_many_letters_are_told_apart():
+    """Letters beyond the most frequent ones, and above U+FFFF, are symbols of their own."""
+    alphabets = {
+        "el": range(0x3B1, 0x3C9), "ja": range(0x3041, 0x3090), "ko": range(0xAC00, 0xAE00), "ru": range(0x430, 0x450),
+        "zh": range(0x4E00, 0x5200), "old": range(0x10400, 0x10428),
+    }
+
+    def text(name, seed):
+        rng = np.random.default_rng(seed)
+        points = list(alphabets[name])
+        words = ["".join(chr(points[i]) for i in np.random.default_rng(k).integers(len(points), size=4)) for k in range(60)]
+        return " ".join(words[i] for i in rng.integers(60, size=200))
+
+    parser = language.parser_of({x: [text(x, 1)] for x in alphabets} | {"en": ["the quick brown fox jumps over lazy dogs " * 9]})
+    for name in alphabets:
+        assert parser.predict(language.pa.array([text(name, 2)]))[0] == [name]
+
+
+def test_learns_from_whole_documents_of_every_language():
+    rng = np.random.default_rng(4)
+    texts = {f"l{k:02}": ["".join("abcdefghij "[i] for i in rng.integers(11, size=30_000))] for k in range(12)}
+    parser = language.parser_of(texts)
+    for name, (own,) in texts.items():
+        # The end of each text is known as well as its beginning.
+        assert parser.predict(language.pa.array([own[-400:].strip()]))[0] == [name]
