@@ -4,7 +4,10 @@
    documents. Passages are windows of words; each window is two neighbouring half-windows.
 2. A randomised SVD of the TF-IDF windows of a bounded sample of documents and of the
    benchmark gives the latent basis; Spark adds up the products of its power iterations.
-3. Every window of every document is projected and compared with every item by cosine.
+3. Every window of every document is projected and compared by cosine with every item, as a
+   whole and with each of its own windows if it is longer than one. Where an item's rarest word
+   stands in a document with the item's first and last word in their places, the item is a
+   candidate whatever its cosine, so no copy word for word is missed.
 4. A candidate is a leak if the longest common subsequence of words with the item is long, or
    is fairly long and the item's answer, its rarest words, is there too.
 
@@ -55,6 +58,18 @@ class Vocabulary:
         return out
 
 
+@dataclass
+class Marks:
+    """Items by the feature of their rarest word (`items` within `bounds`); its first place, and size, first and last word by item."""
+
+    items: np.ndarray
+    bounds: np.ndarray
+    place: np.ndarray
+    size: np.ndarray
+    first: np.ndarray
+    last: np.ndarray
+
+
 @dataclass
 class Items:
     """A block of benchmark items: ids, word hashes of each, and what scores them."""
@@ -65,7 +80,9 @@ class Items:
     idf: np.ndarray | None = None
     basis: np.ndarray | None = None
     vectors: np.ndarray | None = None
+    owners: np.ndarray | None = None
     answers: list[np.ndarray] | None = None
+    marks: Marks | None = None
 
 
 def items_of(ids: list, texts: list[str | None]) -> Items:
@@ -225,15 +242,49 @@ def prepare(docs: DataFrame, items: Items, rules: Rules, *, sample_docs: int = 2
     basis = latent_basis(sample, items, half=rules.half, rank=rank)
     items.basis = basis * items.idf[:, None]
     vectors = np.stack([items.basis[items.vocabulary.features(x)].sum(axis=0) for x in items.words])
+    parts, owners = [vectors], [np.arange(len(vectors))]
+    for i, x in enumerate(items.words):
+        if len(x) > 2 * rules.half:
+            bounds, known, first_half = half_windows(items.vocabulary.features(x), np.array([0, len(x)]), rules.half)
+            # The last half-window has no next one and is part of the window before it.
+            parts.append(windows_of(sums_of(items.basis, known, bounds), first_half)[:-1])
+            owners.append(np.full(len(parts[-1]), i))
+    vectors, items.owners = np.concatenate(parts), np.concatenate(owners)
     items.vectors = vectors / np.maximum(np.linalg.norm(vectors, axis=1, keepdims=True), 1e-9)
     items.answers = []
     for x in items.words:
         own = np.unique(x)
         rarest = np.argsort(-items.idf[items.vocabulary.features(own)], kind="stable")[: rules.answer]
         items.answers.append(own[rarest])
+    rarest = np.array([items.vocabulary.features(x[:1])[0] for x in items.answers])
+    order = np.argsort(rarest, kind="stable")
+    items.marks = Marks(
+        order, np.searchsorted(rarest[order], np.arange(len(items.idf) + 1)),
+        np.array([np.flatnonzero(x == a[0])[0] for x, a in zip(items.words, items.answers)]),
+        np.array([len(x) for x in items.words]), np.array([x[0] for x in items.words]), np.array([x[-1] for x in items.words]),
+    )
     return items
 
 
+def copies(items: Items, words: np.ndarray, features: np.ndarray, places: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Places (first word, item) whose first and last word and rarest word are the item's: all copies word for word are there."""
+    marks = items.marks
+    at = np.flatnonzero(features >= 0)
+    count = np.diff(marks.bounds)[features[at]]
+    at, count = at[count > 0], count[count > 0]
+    low = marks.bounds[features[at]]
+    nth = np.arange(int(count.sum())) - np.repeat(np.cumsum(count) - count, count)
+    item = marks.items[np.repeat(low, count) + nth]
+    at = np.repeat(at, count)
+    begin = at - marks.place[item]
+    end = begin + marks.size[item]
+    text = np.searchsorted(places, at, "right") - 1
+    inside = (begin >= places[text]) & (end <= places[text + 1])
+    begin, end, item = begin[inside], end[inside], item[inside]
+    same = (words[begin] == marks.first[item]) & (words[end - 1] == marks.last[item])
+    return begin[same], item[same]
+
+
 def find(items: Items, rules: Rules, texts: pa.Array) -> list[tuple[int, int, float, float, int]]:
     """Leaks in a batch: (row, item number, cosine, share of the item in order, first word of the window)."""
     found: dict[tuple[int, int], tuple[float, float, int]] = {}
@@ -242,9 +293,15 @@ def find(items: Items, rules: Rules, texts: pa.Array) -> list[tuple[int, int, fl
         bounds, known, first_half = half_windows(features, places, rules.half)
         windows = windows_of(sums_of(items.basis, known, bounds), first_half)
         norms = np.maximum(np.linalg.norm(windows, axis=1), 1e-9)
-        window, item = np.nonzero(windows @ items.vectors.T >= rules.cosine * norms[:, None])
-        if not len(window):
+        window, vector = np.nonzero(windows @ items.vectors.T >= rules.cosine * norms[:, None])
+        begin, copied = copies(items, words, features, places)
+        own_text = np.searchsorted(places, begin, "right") - 1
+        begin = first_half[own_text] + (begin - places[own_text]) // rules.half
+        # An item and a window meet once, though several of its vectors may match.
+        met = np.unique(np.concatenate([window, begin]) * len(items.ids) + np.concatenate([items.owners[vector], copied]))
+        if not len(met):
             continue
+        window, item = np.divmod(met, len(items.ids))
         text = np.searchsorted(first_half, window, "right") - 1
         for w, i, t in zip(window.tolist(), item.tolist(), text.tolist()):
             own = items.words[i]

@@ -107,3 +107,36 @@ def test_no_rows(spark):
     none, no_items = no_documents(spark), bench.limit(0)
     assert decontaminate.leaks(none, bench).count() == 0 == decontaminate.leaks(docs, no_items).count()
     assert decontaminate.keep_clean(docs, no_items).count() == docs.count() and decontaminate.keep_clean(none, bench).count() == 0
+
+
+def test_verbatim_items_of_any_length_are_found(spark):
+    """Items of 5 to 1,000 words, whole, at every place of a half-window, among words of other items."""
+    lengths = [5, 6, 8, 12, 20, 31, 32, 33, 48, 64, 100, 128, 200, 300, 400, 500, 700, 850, 1000]
+    items = [(k, prose(3000 + k, n)) for k, n in enumerate(lengths)]
+    common = " ".join(t for _, t in items).split()
+    rng = np.random.default_rng(8)
+    rows = []
+    for k, text in items:
+        around = [" ".join(rng.choice(common, 60 + 5 * k)), " ".join(rng.choice(common, 90))]
+        rows += [(10 * k, f"{around[0]} {text} {around[1]}"), (10 * k + 1, text), (10 * k + 2, around[0])]
+    docs = spark.createDataFrame([(i, t, None, None, None) for i, t in rows], SCHEMA)
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    got = {(r.doc_id, r.item_id): r for r in decontaminate.leaks(docs, bench).collect()}
+    expected = {(10 * k + j, k) for k in range(len(items)) for j in range(2)}
+    assert expected <= set(got)
+    assert all(got[x].share == 1.0 for x in expected)
+    kept = {r.doc_id for r in decontaminate.keep_clean(docs, bench).collect()}
+    assert not kept & {d for d, _ in expected}
+
+
+def test_long_items_are_met_by_their_windows(spark):
+    """Each window of a long item is compared, so a reworded copy of it is found where cosine with the whole is low."""
+    docs, _ = planted(spark, 2)
+    items = decontaminate.items_of([1, 2], [prose(4000, 500), prose(4001, 20)])
+    rules = decontaminate.Rules()
+    decontaminate.prepare(docs, items, rules)
+    assert np.bincount(items.owners).tolist() == [1 + 31, 1]
+    # The mark is taken away by the edit: every sixth word is another.
+    words = ["q" + w if j % 6 == 3 or j == 0 else w for j, w in enumerate(prose(4000, 500).split())]
+    text = f"{prose(4100, 200)} {' '.join(words)} {prose(4101, 150)}"
+    assert [r[:2] for r in decontaminate.find(items, rules, pa.array([text]))] == [(0, 0)]
