@@ -10,7 +10,8 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 from fieldlake.llm import (
-    context_mixing, decontaminate, html_text, jaccard_join, language, licenses, mixing, spotsigs, token_store, toxicity,
+    bit_whitening, context_mixing, decontaminate, html_text, jaccard_join, language, licenses, mixing, monoid_bpe, spotsigs,
+    token_store, toxicity,
 )
 from fieldlake.llm.common import documents, fold_of, table
 
@@ -64,6 +65,20 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score(docs, net).select("doc_id", held, "score", "predicted")
 
 
+def op11_monoid_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ranks, pattern = public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN
+    found = monoid_bpe.decode(monoid_bpe.encode(documents(spark, sf_dir), ranks, pattern), ranks, pattern)
+    return found.select(
+        "doc_id", (F.octet_length("ids") / 4).cast("long").alias("n_tokens"), F.sha2("ids", 256).alias("ids_sha256"),
+        F.sha2("bytes", 256).alias("decoded_sha256"),
+    )
+
+
+def op12_bit_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = bit_whitening.whiten(table(spark, sf_dir, "embeddings"))
+    return found.withColumn("deviation", F.expr("try_cast(deviation AS long)"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_context_mixing": op1_context_mixing,
     "op2_token_store": op2_token_store,
@@ -75,6 +90,8 @@ QUERIES: dict[str, Query] = {
     "op8_html_text": op8_html_text,
     "op9_jaccard_join": op9_jaccard_join,
     "op10_toxicity": op10_toxicity,
+    "op11_monoid_bpe": op11_monoid_bpe,
+    "op12_bit_whitening": op12_bit_whitening,
     "pipeline": corpus_pipeline.run,
 }
 
