@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 import corpus_pipeline
 from fieldlake.llm import (
     bit_whitening, context_mixing, decontaminate, html_text, jaccard_join, language, licenses, mixing, monoid_bpe, spotsigs,
-    token_store, toxicity,
+    token_alignment, token_store, toxicity,
 )
 from fieldlake.llm.common import documents, fold_of, table
 
@@ -79,6 +79,11 @@ def op12_bit_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.withColumn("deviation", F.expr("try_cast(deviation AS long)"))
 
 
+def op13_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    a, b = public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model")
+    return token_alignment.align(documents(spark, sf_dir), a, b)
+
+
 QUERIES: dict[str, Query] = {
     "op1_context_mixing": op1_context_mixing,
     "op2_token_store": op2_token_store,
@@ -92,6 +97,7 @@ QUERIES: dict[str, Query] = {
     "op10_toxicity": op10_toxicity,
     "op11_monoid_bpe": op11_monoid_bpe,
     "op12_bit_whitening": op12_bit_whitening,
+    "op13_token_alignment": op13_token_alignment,
     "pipeline": corpus_pipeline.run,
 }
 
