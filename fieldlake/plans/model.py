@@ -22,24 +22,24 @@ from fieldlake.operators.dedup import first_per_key, latest_per_key
 from fieldlake.operators.resolve import resolve_tiers
 
 
-def clean_farms(feed: DataFrame) -> DataFrame:
-    """One row per farm, places and crop in capitals, dates parsed."""
-    unique = first_per_key(feed, FARM_FEED.key)
+def clean_farms(feed: DataFrame, unique: bool = False) -> DataFrame:
+    """One row per farm, places and crop in capitals, dates parsed. A `unique` feed has one row per key already."""
+    rows = feed if unique else first_per_key(feed, FARM_FEED.key)
     return parse_dates(
-        upper_columns(unique, ["state", "district", "crop"]), ["sowing_date", "harvesting_date"]
+        upper_columns(rows, ["state", "district", "crop"]), ["sowing_date", "harvesting_date"]
     )
 
 
-def clean_stations(feed: DataFrame) -> DataFrame:
+def clean_stations(feed: DataFrame, unique: bool = False) -> DataFrame:
     """One row per station and day, places in capitals, date parsed."""
-    unique = first_per_key(feed, STATION_FEED.key)
-    return parse_dates(upper_columns(unique, ["state", "district"]), ["observation_date"])
+    rows = feed if unique else first_per_key(feed, STATION_FEED.key)
+    return parse_dates(upper_columns(rows, ["state", "district"]), ["observation_date"])
 
 
-def clean_climate(feed: DataFrame) -> DataFrame:
+def clean_climate(feed: DataFrame, unique: bool = False) -> DataFrame:
     """One row per observation, country and zone in capitals, date parsed."""
-    unique = first_per_key(feed, CLIMATE_FEED.key)
-    return parse_dates(upper_columns(unique, ["country", "climate_zone"]), ["date"])
+    rows = feed if unique else first_per_key(feed, CLIMATE_FEED.key)
+    return parse_dates(upper_columns(rows, ["country", "climate_zone"]), ["date"])
 
 
 def dim_farms(farms: DataFrame) -> DataFrame:

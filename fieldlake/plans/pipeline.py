@@ -38,6 +38,7 @@ def refresh(
     strict: bool = True,
     blocking: Collection[str] = BLOCKING_CHECKS,
     keep: int | None = None,
+    unique: bool = False,
 ) -> dict[str, int]:
     """Rebuild and publish everything from the feeds; returns rows read per feed.
 
@@ -45,14 +46,15 @@ def refresh(
     The quality suite runs on the new tables before they become current, and is
     logged either way. With `strict` they become current only if they keep their
     contracts and pass the `blocking` checks; other checks report. `keep` bounds
-    the published runs that stay. Intermediate tables go when the job ends.
+    the published runs that stay. Intermediate tables go when the job ends. `unique` says that
+    every feed has one row per key, which saves shuffling it for that.
     """
     spark = next(iter(feeds.values())).sparkSession
     with Owner(spark):
         clean, seen = {}, {}
         for name, cleaner in _CLEANERS.items():
             feed, seen[name] = counted(feeds[name], name)
-            clean[name] = settle(cleaner(feed), f"clean-{name}")
+            clean[name] = settle(cleaner(feed, unique), f"clean-{name}")
 
         farms = clean["feed_farms"]
         snapshot = Snapshot(spark, target)

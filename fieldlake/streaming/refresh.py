@@ -4,23 +4,28 @@ A file stream notices each file once. Its rows land in a Parquet folder, one
 sub-folder per micro-batch; a batch that runs again after a failure overwrites
 its own sub-folder, and a file delivered twice only adds rows that the
 per-key resolution removes. So repeats change nothing downstream.
+
+Landed batches are merged into a snapshot of each feed, one row per key, so that
+a refresh reads the snapshot and never the history.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from fieldlake.contracts import FEEDS, Contract
 from fieldlake.operators.dedup import first_per_key
 from fieldlake.plans.pipeline import refresh
-from fieldlake.sinks.files import child_names, read_text, write_text
+from fieldlake.sinks.files import read_text, write_text
 from fieldlake.sources.feeds import FEED_FILES
+from fieldlake.streaming.snapshots import KeyedSnapshot
 
 _ARRIVED, _FILE, _BATCH = "_arrived", "_file", "_batch"
+_METADATA = f"{_ARRIVED} TIMESTAMP, {_FILE} STRING, {_BATCH} BIGINT"
 
 Handler = Callable[[DataFrame, int], None]
 
@@ -51,12 +56,19 @@ def land(batch: DataFrame, batch_id: int, landing: str) -> None:
     batch.write.mode("overwrite").parquet(f"{landing.rstrip('/')}/{_BATCH}={batch_id}")
 
 
+def newest_first() -> list[Column]:
+    return [F.col(_ARRIVED).desc_nulls_last(), F.col(_BATCH).desc_nulls_last()]
+
+
 def landed(spark: SparkSession, landing: str, contract: Contract) -> DataFrame:
-    """One row per key from all landed files: the newest file wins."""
-    schema = f"{contract.ddl}, {_ARRIVED} TIMESTAMP, {_FILE} STRING, {_BATCH} BIGINT"
-    rows = spark.read.schema(schema).parquet(landing)
-    newest = [F.col(_ARRIVED).desc_nulls_last(), F.col(_BATCH).desc_nulls_last()]
-    return first_per_key(rows, contract.key, newest).select(*contract.columns)
+    """One row per key from all landed files: the newest file wins. Reads the whole history."""
+    rows = spark.read.schema(f"{contract.ddl}, {_METADATA}").parquet(landing)
+    return first_per_key(rows, contract.key, newest_first()).select(*contract.columns)
+
+
+def feed_snapshot(spark: SparkSession, path: str, contract: Contract, **options) -> KeyedSnapshot:
+    """The snapshot that holds the same rows as `landed`, merged batch by batch."""
+    return KeyedSnapshot(spark, path, contract, _METADATA, newest_first(), **options)
 
 
 def refresh_stream(
@@ -78,15 +90,17 @@ def refresh_stream(
 
 
 def refresh_on_arrival(
-    spark: SparkSession, raw_dir: str, landing: str, checkpoint: str, target: str, **options
+    spark: SparkSession, raw_dir: str, landing: str, checkpoint: str, target: str, keep_landed: bool = False, **options
 ) -> dict[str, int] | None:
-    """Land all new feed files, then rebuild and publish the model if anything changed.
+    """Land all new feed files, merge them, then rebuild and publish the model if anything changed.
 
     A feed's files are those whose name starts like its usual file. Nothing is
-    published before every feed has landed once. What was landed is noted after
-    publication, so a run that stops half-way is made up for by the next one.
+    published before every feed has landed once. Which snapshots were published is
+    noted after publication, so a run that stops half-way is made up for by the next one.
+    Landed batches go once they are merged, but the last of each feed, unless `keep_landed`.
     Returns the rows read per feed, or None if there was nothing to do.
     """
+    snapshots = {}
     for name, file in FEED_FILES.items():
         folder = f"{landing.rstrip('/')}/{name}"
         refresh_stream(
@@ -97,13 +111,16 @@ def refresh_on_arrival(
             lambda batch, batch_id, folder=folder: land(batch, batch_id, folder),
             pattern=file.replace(".csv", "*.csv"),
         ).awaitTermination()
+        snapshots[name] = feed_snapshot(spark, f"{landing.rstrip('/')}/_snapshots/{name}", FEEDS[name])
+        snapshots[name].merge(folder)
+        if not keep_landed:
+            snapshots[name].drop_covered(folder)
 
     note = f"{target.rstrip('/')}/LANDED"
-    batches = {name: child_names(spark, f"{landing.rstrip('/')}/{name}") for name in FEED_FILES}
-    state = " ".join(f"{name}:{len(found)}:{max(found, default='')}" for name, found in batches.items())
-    if not all(batches.values()) or read_text(spark, note) == state:
+    versions = {name: snapshot.version() for name, snapshot in snapshots.items()}
+    state = " ".join(f"{name}:{version}" for name, version in versions.items())
+    if not all(versions.values()) or read_text(spark, note) == state:
         return None
-    feeds = {name: landed(spark, f"{landing.rstrip('/')}/{name}", FEEDS[name]) for name in FEED_FILES}
-    counts = refresh(feeds, target, **options)
+    counts = refresh({name: snapshot.rows() for name, snapshot in snapshots.items()}, target, unique=True, **options)
     write_text(spark, note, state)
     return counts
