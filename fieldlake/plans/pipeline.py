@@ -46,7 +46,8 @@ def refresh(
     The quality suite runs on the new tables before they become current, and is
     logged either way. With `strict` they become current only if they keep their
     contracts and pass the `blocking` checks; other checks report. `keep` bounds
-    the published runs that stay. Intermediate tables go when the job ends. `unique` says that
+    the published runs that stay. Partitions that are as the current run has them are not
+    written again. Intermediate tables go when the job ends. `unique` says that
     every feed has one row per key, which saves shuffling it for that.
     """
     spark = next(iter(feeds.values())).sparkSession
@@ -57,7 +58,7 @@ def refresh(
             clean[name] = settle(cleaner(feed, unique), f"clean-{name}")
 
         farms = clean["feed_farms"]
-        snapshot = Snapshot(spark, target)
+        snapshot = Snapshot(spark, target, carry=True)
         star_plans = model.build_star(farms, clean["feed_stations"], clean["feed_climate"])
         buckets = bucket_count(spark, farms)
         for name, df in star_plans.items():

@@ -12,6 +12,8 @@ from pyspark.sql import DataFrame, SparkSession
 
 from fieldlake.contracts import STAR
 from fieldlake.sinks.files import child_names, create_empty
+from fieldlake.sinks.manifest import FOLDER as MANIFESTS
+from fieldlake.sinks.manifest import TableManifest, part_path, read_manifest
 
 _LOG = logging.getLogger(__name__)
 
@@ -59,8 +61,9 @@ def _entry(path: str) -> str:
 
 
 def forget_layouts(spark: SparkSession, source: Files) -> None:
-    """Drop the session's catalog entries of a source's bucketed tables."""
-    for table in layouts(spark, source):
+    """Drop the session's catalog entries of a source's bucketed and assembled tables."""
+    noted = child_names(spark, f"{source.path.rstrip('/')}/{MANIFESTS}")
+    for table in {*layouts(spark, source), *noted}:
         spark.sql(f"DROP TABLE IF EXISTS {_entry(source.path.rstrip('/') + '/' + table)}")
 
 
@@ -83,6 +86,34 @@ def _bucketed(spark: SparkSession, source: Files, layout: Layout, found: DataFra
     return spark.table(name)
 
 
+def _assembled(spark: SparkSession, source: Files, manifest: TableManifest) -> DataFrame:
+    """A table whose partitions may lie in several runs, through an entry in the session's catalog."""
+    target = source.path.rstrip("/").rpartition("/")[0]
+    name = _entry(f"{source.path.rstrip('/')}/{manifest.table}")
+    if not spark.catalog.tableExists(name):
+        columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in manifest.columns)
+        # A whole table is where its one part is; partitions say so each for itself.
+        place = f"{source.path.rstrip('/')}/{manifest.table}"
+        if not manifest.partition and manifest.parts:
+            place = part_path(spark, target, manifest, manifest.parts[0])
+        spark.sql(
+            f"CREATE TABLE {name} ({columns}) USING parquet"
+            + (f" PARTITIONED BY (`{manifest.partition}`)" if manifest.partition else "")
+            + (f" CLUSTERED BY (`{manifest.key}`) SORTED BY (`{manifest.key}`) INTO {manifest.buckets} BUCKETS" if manifest.key else "")
+            + f" LOCATION '{place}'"
+        )
+        if manifest.partition:
+            for part in manifest.parts:
+                value = "null" if part.value is None else "'" + part.value.replace("\\", "\\\\").replace("'", "\\'") + "'"
+                spark.sql(
+                    f"ALTER TABLE {name} ADD PARTITION (`{manifest.partition}`={value})"
+                    f" LOCATION '{part_path(spark, target, manifest, part)}'"
+                )
+        # Without statistics a partitioned table counts as infinitely large.
+        spark.sql(f"ANALYZE TABLE {name} COMPUTE STATISTICS NOSCAN")
+    return spark.table(name)
+
+
 @dataclass(frozen=True)
 class Split:
     """How a parallel database read divides a table: a number or date column and its range."""
@@ -119,6 +150,11 @@ def jdbc_options(source: Database, table: str) -> dict[str, str]:
 def read_table(spark: SparkSession, source: Files | Database, table: str) -> DataFrame:
     if isinstance(source, Database):
         return spark.read.format("jdbc").options(**jdbc_options(source, table)).load()
+    contract = STAR.get(table)
+    manifest = read_manifest(spark, source.path, table)
+    if manifest:
+        found = _assembled(spark, source, manifest)
+        return found.select(*contract.columns) if contract and set(contract.columns) == set(found.columns) else found
     try:
         found = spark.read.parquet(f"{source.path.rstrip('/')}/{table}")
     except AnalysisException as error:
@@ -126,7 +162,6 @@ def read_table(spark: SparkSession, source: Files | Database, table: str) -> Dat
     layout = layouts(spark, source).get(table)
     if layout:
         found = _bucketed(spark, source, layout, found)
-    contract = STAR.get(table)
     # Partition columns come back last; return the declared order.
     if contract and set(contract.columns) == set(found.columns):
         return found.select(*contract.columns)
