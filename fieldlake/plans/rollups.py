@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -20,13 +20,19 @@ NO_ALERT = "No Alert"
 
 
 def farm_weather(
-    fact_yield: DataFrame, dim_farms: DataFrame, fact_weather: DataFrame
+    fact_yield: DataFrame,
+    dim_farms: DataFrame,
+    fact_weather: DataFrame,
+    between: Callable[[DataFrame], DataFrame] | None = None,
 ) -> DataFrame:
     """Yield facts with their farm and the reading of their station.
 
-    Columns that both facts have carry `_station` on the weather side.
+    Columns that both facts have carry `_station` on the weather side. `between`
+    is applied to the facts with their farm, before they meet the readings.
     """
     with_farm = star_join(fact_yield, dim_farms, "farm_id", "farm_id", "_farm")
+    if between:
+        with_farm = between(with_farm)
     return star_join(
         with_farm, fact_weather, "matched_station_code", "station_code", "_station"
     )
@@ -36,26 +42,61 @@ def alerted() -> Column:
     return is_yes("flood_warning") | is_yes("cyclone_alert")
 
 
+#: Farm measures of the rollups by the names of their sums.
+_MEASURES = {
+    "profit": "profit_loss_inr",
+    "yield_gap": "yield_gap_tonnes",
+    "health": "crop_health_score",
+    "sustainability": "sustainability_score",
+}
+
+
+def station_sums(farms: DataFrame) -> DataFrame:
+    """Sums and counts of farm measures per state, crop and station, farms without a station left out.
+
+    The farm join stays in place, as both tables are bucketed by farm; what the readings
+    meet afterwards is one row per state, crop and station, also where one
+    station serves most farms.
+    """
+    measures = {"reported": "farm_reported_rainfall_mm", **_MEASURES}
+    matched = farms.where(F.col("matched_station_code").isNotNull())
+    return matched.groupBy("state", "crop", "matched_station_code").agg(
+        *[F.sum(column).alias(f"sum_{name}") for name, column in measures.items()],
+        *[F.count(column).alias(f"n_{name}") for name, column in measures.items()],
+        F.count(F.lit(1)).alias("farms"),
+        F.count_if(is_yes("pest_attack")).alias("pests"),
+    )
+
+
 def farm_sums(joined: DataFrame) -> DataFrame:
-    """Sums and counts per state, crop and exposure: both farm rollups follow from them.
+    """From `station_sums` with the readings: sums and counts per state, crop and exposure: both farm rollups follow from them.
 
-    The star join then runs once, and what is left is a few rows per key.
+    A station's rain counts once for each of its farms: with n farms that reported
+    rain, the sum of the gaps is the sum of what they reported less n times the
+    station's rain. All of it in decimals, so the sums are those of the row by row join.
     """
-    measures = {
-        "gap": F.col("farm_reported_rainfall_mm") - F.col("rainfall_mm"),
-        "rainfall": F.col("rainfall_mm"),
-        "profit": F.col("profit_loss_inr"),
-        "yield_gap": F.col("yield_gap_tonnes"),
-        "health": F.col("crop_health_score"),
-        "sustainability": F.col("sustainability_score"),
+    rain, measured = F.col("rainfall_mm"), F.col("rainfall_mm").isNotNull()
+
+    def times(count: str) -> Column:
+        return rain * F.col(count).cast(DecimalType(18, 0))
+
+    totals = {
+        # Of no value there is no sum, as in a sum over rows.
+        "gap": (F.when(measured, F.col("sum_reported") - times("n_reported")), F.when(measured, F.col("n_reported"))),
+        "rainfall": (times("farms"), F.when(measured, F.col("farms"))),
+        **{name: (F.col(f"sum_{name}"), F.col(f"n_{name}")) for name in _MEASURES},
     }
     exposure = F.when(alerted(), ALERT).otherwise(NO_ALERT)
-    return joined.groupBy("state", "crop", exposure.alias("exposure_flag")).agg(
-        *[F.sum(value).alias(f"sum_{name}") for name, value in measures.items()],
-        *[F.count(value).alias(f"n_{name}") for name, value in measures.items()],
-        F.count(F.lit(1)).alias("farms"),
-        F.count_if(is_yes("pest_attack")).alias("pests"),
+    sums = joined.groupBy("state", "crop", exposure.alias("exposure_flag")).agg(
+        *[F.sum(total).alias(f"sum_{name}") for name, (total, _) in totals.items()],
+        *[F.coalesce(F.sum(n), F.lit(0)).alias(f"n_{name}") for name, (_, n) in totals.items()],
+        F.sum("farms").alias("farms"),
+        F.sum("pests").alias("pests"),
     )
+    # Sums of sums and products are no wider than one sum over all rows.
+    kind = {"gap": DecimalType(29, 2), **{name: DecimalType(28, 2) for name in ("rainfall", *_MEASURES)}}
+    narrow = [name for name in totals if isinstance(sums.schema[f"sum_{name}"].dataType, DecimalType)]
+    return sums.withColumns({f"sum_{name}": F.col(f"sum_{name}").cast(kind[name]) for name in narrow})
 
 
 def _total(sums: DataFrame, name: str) -> Column:
@@ -114,7 +155,7 @@ def number_rows(rollup: DataFrame, keys: Sequence[str], name: str) -> DataFrame:
 def rollup_bodies(star: dict[str, DataFrame]) -> dict[str, DataFrame]:
     """The rollups without their surrogate keys; the farm sums are stored once for two of them."""
     joined = farm_weather(
-        star["fact_crop_yield"], star["dim_farms"], star["fact_weather_observations"]
+        star["fact_crop_yield"], star["dim_farms"], star["fact_weather_observations"], station_sums
     )
     sums = settle(farm_sums(joined), "farm-sums")
     return {
