@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from fieldlake.functions import mean
 from fieldlake.operators.groups import labelled
-from fieldlake.operators.ordered import approximate_quantiles, exact_quantiles
+from fieldlake.operators.quantiles import approximate_quantiles, exact_quantiles
 from fieldlake.sinks.settle import settle
 
 

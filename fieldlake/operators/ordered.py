@@ -1,4 +1,4 @@
-"""Operators that need one global order: running totals and exact quantiles.
+"""Operators that need one global order: running totals and averages. Quantiles need none, see `quantiles`.
 
 A window without PARTITION BY sends every row to one task, and one with it
 sends a whole group there. Here the rows are range-partitioned on the order
@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import DecimalType
 
+from fieldlake.operators.quantiles import approximate_quantiles, exact_quantiles  # noqa: F401
 from fieldlake.sinks.settle import settle, stored_bytes
 
 _PART = "_part"
@@ -94,72 +95,3 @@ def running_average(
     )
     average = F.try_divide(F.col("_total"), F.col("_rows"))
     return totals.select(*df.columns, F.round(average, places).cast("double").alias(output))
-
-
-def exact_quantiles(
-    df: DataFrame, value: str, probabilities: Sequence[float], by: Sequence[str] = ()
-) -> DataFrame:
-    """Linearly interpolated quantiles of `value` per group, one array per group.
-
-    Works on the counts of distinct values in global (group, value) order, so a
-    group is never gathered in one task. Adds `quantiles` (in the order of
-    `probabilities`) and `n`, the number of values.
-    """
-    by = list(by)
-    counts = (
-        df.where(F.col(value).isNotNull())
-        .groupBy(*by, F.col(value).cast("double").alias("_value"))
-        .agg(F.count(F.lit(1)).alias("_times"))
-    )
-    # Ranks serve both the groups' extents and the picks.
-    ranked = settle(running_totals(counts, [*by, "_value"], {"_end": F.col("_times")}), "ranks")
-    extent = settle(
-        ranked.groupBy(*by).agg(
-            F.min(F.col("_end") - F.col("_times")).alias("_base"), F.sum("_times").alias("n")
-        ),
-        "groups",
-    )
-    if by:
-        same = [F.col(f"r.{name}").eqNullSafe(F.col(f"g.{name}")) for name in by]
-        placed = ranked.alias("r").join(extent.alias("g"), same)
-    else:
-        placed = ranked.alias("r").withColumns(
-            {"_base": F.lit(0), "n": extent.select("n").scalar()}
-        )
-    first = F.col("_end") - F.col("_times") - F.col("_base")
-    last = F.col("_end") - F.col("_base")
-
-    def at(position: Column) -> Column:
-        return F.max(F.when((first <= position) & (position < last), F.col("_value")))
-
-    picks = []
-    for i, p in enumerate(probabilities):
-        position = F.lit(float(p)) * (F.col("n") - 1)
-        picks += [
-            at(F.floor(position)).alias(f"_low_{i}"),
-            at(F.ceil(position)).alias(f"_high_{i}"),
-        ]
-
-    def interpolated(i: int, p: float) -> Column:
-        position = F.lit(float(p)) * (F.col("n") - 1)
-        low, high = F.col(f"_low_{i}"), F.col(f"_high_{i}")
-        return low + (high - low) * (position - F.floor(position))
-
-    group = [F.col(f"r.{name}") for name in by]
-    return placed.groupBy(*group, "n").agg(*picks).select(
-        *by,
-        "n",
-        F.array(*[interpolated(i, p) for i, p in enumerate(probabilities)]).alias("quantiles"),
-    )
-
-
-def approximate_quantiles(
-    df: DataFrame, value: str, probabilities: Sequence[float], by: Sequence[str] = ()
-) -> DataFrame:
-    """Like `exact_quantiles` from one pass with a bounded sketch per group."""
-    return df.where(F.col(value).isNotNull()).groupBy(*by).agg(
-        F.count(F.lit(1)).alias("n"),
-        F.percentile_approx(
-            F.col(value).cast("double"), [float(p) for p in probabilities], 10_000
-        ).alias("quantiles"),
-    )

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from fieldlake.functions import is_yes, mean, rate, same_text
 from fieldlake.operators.bins import fixed_bins, quantile_trend
 from fieldlake.operators.groups import contrast, crosstab, means_by, ordered_means, widen
-from fieldlake.operators.ordered import exact_quantiles
+from fieldlake.operators.quantiles import exact_quantiles
 from fieldlake.operators.stats import correlation_matrix, correlations
 from fieldlake.plans.rollups import alerted
 
