@@ -7,7 +7,7 @@ from collections.abc import Collection
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fieldlake.plans import analysis, model, quality
+from fieldlake.plans import analysis, checks, model
 from fieldlake.plans.rollups import build_rollups
 from fieldlake.sinks.database import reload_database
 from fieldlake.sinks.publish import PublishError, Snapshot, current, require_clean_contracts
@@ -67,7 +67,7 @@ def refresh(
         for name, df in build_rollups(star).items():
             snapshot.write(name, df)
 
-        results = settle(quality.run_checks(star, quality.standard_checks(farms)), "checks")
+        results = settle(checks.run_standard(star, farms), "checks")
         if log_path:
             write_log(results, log_path)
 

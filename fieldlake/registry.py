@@ -13,7 +13,7 @@ from fieldlake.functions import text
 from fieldlake.operators import resolve
 from fieldlake.operators.dedup import first_per_key
 from fieldlake.operators.stats import attribute_spread, preview, stable_sample
-from fieldlake.plans import analysis, charts, model, quality
+from fieldlake.plans import analysis, charts, checks, model, quality
 from fieldlake.plans.lake import Lake
 from fieldlake.plans.rollups import farm_weather
 
@@ -523,8 +523,7 @@ def dq_row_counts(lake):
 
 @query
 def dq_summary(lake):
-    results = quality.run_checks(lake.star(), quality.standard_checks(lake.farms))
-    return quality.summarise(results)
+    return quality.summarise(checks.run_standard(lake.star(), lake.farms))
 
 
 @query
@@ -532,6 +531,4 @@ def contract_violations(lake):
     star = lake.star()
     tables = {**star, **lake.rollups}
     contracts = {**STAR, **ROLLUPS}
-    return quality.union_all(
-        [quality.contract_violations(tables[name], contracts[name]) for name in contracts]
-    )
+    return checks.contract_faults({name: tables[name] for name in contracts}, contracts)

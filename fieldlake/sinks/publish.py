@@ -20,7 +20,8 @@ from pyspark.sql import functions as F
 from fieldlake.contracts import PUBLISH_ORDER, ROLLUPS, STAR
 from fieldlake.sinks import manifest as listing
 from fieldlake.sinks.manifest import Part, TableManifest
-from fieldlake.plans.quality import contract_violations, same_columns, union_all
+from fieldlake.plans.checks import contract_faults
+from fieldlake.plans.quality import same_columns
 from fieldlake.sinks.files import child_names, create_empty, next_pointer, pointers, remove
 from fieldlake.sources.tables import Files, Layout, MissingTableError, forget_layouts, note_layout, read_table
 
@@ -205,13 +206,8 @@ def require_clean_contracts(tables: dict[str, DataFrame]) -> None:
     if shapes:
         raise PublishError(f"columns differ from the contract: {shapes}")
     # One row per declared column at most.
-    broken = (
-        union_all(
-            [contract_violations(df, contracts[n]) for n, df in tables.items() if n in contracts]
-        )
-        .where("nulls + too_long + out_of_range > 0")
-        .collect()
-    )
+    known = {n: df for n, df in tables.items() if n in contracts}
+    broken = contract_faults(known, contracts).where("nulls + too_long + out_of_range > 0").collect() if known else []
     if broken:
         found = ", ".join(f"{row.table_name}.{row.column_name}" for row in broken)
         raise PublishError(f"contract violations in {found}")
