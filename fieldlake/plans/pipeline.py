@@ -13,7 +13,7 @@ from fieldlake.sinks.database import reload_database
 from fieldlake.sinks.publish import PublishError, Snapshot, current, require_clean_contracts
 from fieldlake.sinks.settle import Owner, bucket_count, settle
 from fieldlake.sinks.small import create_view, write_log
-from fieldlake.sources.feeds import counted, read_feeds
+from fieldlake.sources.feeds import counted, read_feeds, read_feeds_with_quarantine
 from fieldlake.sources.tables import Database, load_tables
 
 # Names of the two published views.
@@ -84,9 +84,21 @@ def refresh(
         return {name: observed.get["rows"] for name, observed in seen.items()}
 
 
-def run(spark: SparkSession, raw_dir: str, target: str, **options) -> dict[str, int]:
-    """`refresh` from the CSV files in a folder."""
-    return refresh(read_feeds(spark, raw_dir), target, **options)
+def run(
+    spark: SparkSession, raw_dir: str, target: str, quarantine: str | None = None, most_rejected: int | float = 0.01, **options
+) -> dict[str, int]:
+    """`refresh` from the CSV files in a folder.
+
+    A line that does not fit its contract stops the load. With `quarantine`, a folder,
+    such lines are written there with file and reason, and only more than
+    `most_rejected` of a feed, a number or a share, stop it.
+    """
+    if quarantine is None:
+        return refresh(read_feeds(spark, raw_dir), target, **options)
+    with Owner(spark):
+        feeds, rejected = read_feeds_with_quarantine(spark, raw_dir, most_rejected)
+        rejected.write.mode("overwrite").partitionBy("feed").parquet(quarantine)
+        return refresh(feeds, target, **options)
 
 
 def open_views(spark: SparkSession, target: str) -> None:

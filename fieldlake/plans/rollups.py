@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DecimalType
 
@@ -12,6 +12,7 @@ from fieldlake.contracts import ROLLUP_CLIMATE_RISK, ROLLUP_ENVIRONMENT, ROLLUP_
 from fieldlake.functions import half_away, is_yes, mean, rate, same_text
 from fieldlake.functions.exact import share
 from fieldlake.operators.joins import star_join
+from fieldlake.operators.ordered import running_totals
 from fieldlake.sinks.settle import settle
 
 # Exposure labels of the climate-risk rollup.
@@ -147,9 +148,16 @@ def environment(climate: DataFrame) -> DataFrame:
 
 
 def number_rows(rollup: DataFrame, keys: Sequence[str], name: str) -> DataFrame:
-    """Surrogate key 1..n in key order. Only for rollups: one row per key, few keys."""
-    order = Window.orderBy(*[F.col(key).asc_nulls_last() for key in keys])
-    return rollup.select(F.row_number().over(order).cast("long").alias(name), "*")
+    """Surrogate key 1..n in key order, nulls last.
+
+    Rows are numbered within ranges of the key, after the sizes of the ranges before; only
+    one row a range meets in a task.
+    """
+    # Ranges and windows order nulls first, so a mark goes before each key.
+    marks = {f"_no_{key}": F.col(key).isNull() for key in keys}
+    order = [column for key in keys for column in (f"_no_{key}", key)]
+    numbered = running_totals(rollup.withColumns(marks), order, {name: F.lit(1).cast("long")})
+    return numbered.select(name, *rollup.columns)
 
 
 def rollup_bodies(star: dict[str, DataFrame]) -> dict[str, DataFrame]:

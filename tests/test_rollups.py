@@ -1,9 +1,10 @@
 from decimal import Decimal
 
 import pytest
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from conftest import rows
+from conftest import plan, rows
 from fieldlake.functions import is_yes
 from fieldlake.plans import rollups
 from fieldlake.plans.lake import Lake
@@ -70,3 +71,19 @@ def test_readings_meet_groups_and_not_farms(spark, star):
     total = star["fact_crop_yield"].agg(F.sum("profit_loss_inr")).first()[0]
     assert below_the_join(star).agg(F.sum("sum_profit")).first()[0] == Decimal(total)
     assert rows(below_the_join(star)) == rows(row_by_row(star))
+
+
+@pytest.mark.parametrize("partitions", ["1", "4", "13"])
+def test_numbers_follow_the_keys_without_one_task(spark, settings, partitions):
+    settings(spark__sql__shuffle__partitions=partitions)
+    df = spark.range(300).selectExpr("if(id % 41 = 0, null, concat('s', id % 17)) as state", "if(id % 37 = 0, null, id) as crop", "id")
+    df = df.dropDuplicates(["state", "crop"]).repartition(5)
+    numbered = rollups.number_rows(df, ["state", "crop"], "n")
+    order = Window.orderBy(F.col("state").asc_nulls_last(), F.col("crop").asc_nulls_last())
+    text = plan(numbered)
+    assert numbered.columns == ["n", *df.columns]
+    assert rows(numbered) == rows(df.select(F.row_number().over(order).cast("long").alias("n"), "*"))
+    assert "row_number" not in text
+    if partitions != "1":
+        assert text.count("SinglePartition") == 1 and "HashAggregate" in text[text.index("SinglePartition"):].splitlines()[1]
+    assert rollups.number_rows(df.limit(0), ["state", "crop"], "n").count() == 0
