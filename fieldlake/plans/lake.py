@@ -9,15 +9,16 @@ nothing again.
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 
 from fieldlake.contracts import DIM_FARMS, FACT_CLIMATE, FACT_WEATHER, FACT_YIELD, ROLLUPS
 from fieldlake.plans import model
 from fieldlake.plans.rollups import build_rollups
 from fieldlake.sinks.settle import Owner, bucket_count, settle, settle_table, source_state
 from fieldlake.sources.derived import DERIVED, derive_feed
+from fieldlake.sources.feeds import counted
 
 _LAKES: dict[tuple, "Lake"] = {}
 
@@ -32,6 +33,9 @@ class Lake:
         self._tables: dict[str, str] = {}
         self._frames: dict[str, DataFrame] = {}
         self._answers: dict[str, DataFrame] = {}
+        #: Rows of feeds and tables, observed while a table that comes from them was stored.
+        self._rows: dict[str, int] = {}
+        self._observing: dict[str, Observation] = {}
 
     @classmethod
     def of(cls, spark: SparkSession, source_dir: str) -> "Lake":
@@ -58,15 +62,20 @@ class Lake:
         """A raw feed; never stored."""
         return derive_feed(self.spark, self.source_dir, name)
 
+    def row_counts(self, names: Sequence[str], label: str) -> DataFrame:
+        """One row per feed or table, its name and its rows: what was counted when the star was stored."""
+        self.farms, self.stations, self.star()
+        return self.spark.createDataFrame([(name, self._rows[name]) for name in names], f"{label} string, rows long")
+
     # Clean tables -----------------------------------------------------------
 
     @property
     def farms(self) -> DataFrame:
-        return self._once("clean_farms", lambda: model.clean_farms(self.feed("feed_farms")))
+        return self._once("clean_farms", lambda: model.clean_farms(self._counted(self.feed("feed_farms"), "feed_farms")))
 
     @property
     def stations(self) -> DataFrame:
-        return self._once("clean_stations", lambda: model.clean_stations(self.feed("feed_stations")))
+        return self._once("clean_stations", lambda: model.clean_stations(self._counted(self.feed("feed_stations"), "feed_stations")))
 
     # Published star ---------------------------------------------------------
 
@@ -95,7 +104,7 @@ class Lake:
     def fact_climate(self) -> DataFrame:
         return self._table(
             FACT_CLIMATE,
-            lambda: model.fact_climate(model.clean_climate(self.feed("feed_climate"))),
+            lambda: model.fact_climate(model.clean_climate(self._counted(self.feed("feed_climate"), "feed_climate"))),
         )
 
     def star(self) -> dict[str, DataFrame]:
@@ -122,22 +131,39 @@ class Lake:
     def _once(self, name: str, build) -> DataFrame:
         if name not in self._frames:
             with self.owner.open():
-                self._frames[name] = settle(build(), name)
+                self._observing = {}
+                self._frames[name] = settle(self._counted(build(), name), name)
+            self._note_rows()
         return self._frames[name]
 
     def _table(self, contract, build) -> DataFrame:
         if contract.name not in self._tables:
             with self.owner.open():
+                self._observing = {}
                 self._tables[contract.name] = settle_table(
-                    build(),
+                    self._counted(build(), contract.name),
                     contract.name,
                     partition_by=contract.partition_by,
                     bucket_by=contract.bucket_by,
                     buckets=self._farm_buckets() if contract.bucket_by else 1,
                 )
+            self._note_rows()
         # The stored layout puts partition columns last; hand out contract order.
         return self.spark.table(self._tables[contract.name]).select(*contract.columns)
 
+    def _counted(self, df: DataFrame, name: str) -> DataFrame:
+        """`df`, its rows counted by the job that stores what comes from it."""
+        df, self._observing[name] = counted(df, f"rows-{name}")
+        return df
+
+    def _note_rows(self) -> None:
+        """Keep what the job just done has counted; an empty frame may report nothing.
+
+        A job that failed reports never, so each one starts without what was to be observed before.
+        """
+        self._rows |= {name: seen.get.get("rows", 0) for name, seen in self._observing.items()}
+        self._observing = {}
+
     def _farm_buckets(self) -> int:
         """One number for every table bucketed by farm, from the stored farm size."""
         return bucket_count(self.spark, self.farms)

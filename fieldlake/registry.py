@@ -62,8 +62,7 @@ def readings(lake: Lake) -> DataFrame:
 
 @query
 def ingest_row_counts(lake):
-    feeds = {n: lake.feed(n) for n in ("feed_farms", "feed_stations", "feed_climate")}
-    return quality.row_counts(feeds, "feed")
+    return lake.row_counts(["feed_farms", "feed_stations", "feed_climate"], "feed")
 
 
 @query
@@ -454,15 +453,8 @@ def unstable_ids(lake):
 
 @query
 def stage_row_counts(lake):
-    return quality.row_counts(
-        {
-            "feed_farms": lake.feed("feed_farms"),
-            "clean_farms": lake.farms,
-            "feed_stations": lake.feed("feed_stations"),
-            "clean_stations": lake.stations,
-            "feed_climate": lake.feed("feed_climate"),
-            **lake.star(),
-        }
+    return lake.row_counts(
+        ["feed_farms", "clean_farms", "feed_stations", "clean_stations", "feed_climate", *lake.star()], "table_name"
     )
 
 
