@@ -11,6 +11,7 @@ from fieldlake.functions import is_yes, mean, rate, same_text
 from fieldlake.operators.bins import fixed_bins, quantile_trend
 from fieldlake.operators.groups import contrast, crosstab, means_by, ordered_means, widen
 from fieldlake.operators.quantiles import exact_quantiles
+from fieldlake.operators.moments import correlations_of, moments, triangle
 from fieldlake.operators.stats import correlation_matrix, correlations
 from fieldlake.plans.rollups import alerted
 
@@ -182,8 +183,26 @@ def environment_correlations(climate: DataFrame) -> DataFrame:
     return correlation_matrix(climate, ENVIRONMENT_MEASURES, complete=True)
 
 
-def named_correlations(joined: DataFrame, fact_yield: DataFrame, climate: DataFrame) -> DataFrame:
-    """The six correlations that the findings quote."""
+#: Pairs of one fact that the findings quote.
+CLIMATE_PAIRS = [("avg_temperature_c", "evapotranspiration_mm"), ("precipitation_mm", "air_quality_index")]
+
+
+def climate_moments(climate: DataFrame) -> DataFrame:
+    """Moments by country of all environment measures and quoted pairs; the contract declares them NOT NULL."""
+    matrix = triangle(ENVIRONMENT_MEASURES)
+    known = {frozenset(pair) for pair in matrix}
+    return moments(climate, "country", [*matrix, *(p for p in CLIMATE_PAIRS if frozenset(p) not in known)], complete=True)
+
+
+def environment_correlations_of(parts: DataFrame) -> DataFrame:
+    """`environment_correlations` of the countries whose moments are given."""
+    return correlations_of(parts, triangle(ENVIRONMENT_MEASURES))
+
+
+def named_correlations(
+    joined: DataFrame, fact_yield: DataFrame, climate: DataFrame, parts: DataFrame | None = None
+) -> DataFrame:
+    """The six correlations that the findings quote; those of the climate from its moments, if given."""
     return (
         correlations(joined, [("rainfall_mm", "profit_loss_inr")])
         .unionByName(
@@ -196,15 +215,7 @@ def named_correlations(joined: DataFrame, fact_yield: DataFrame, climate: DataFr
                 ],
             )
         )
-        .unionByName(
-            correlations(
-                climate,
-                [
-                    ("avg_temperature_c", "evapotranspiration_mm"),
-                    ("precipitation_mm", "air_quality_index"),
-                ],
-            )
-        )
+        .unionByName(correlations_of(parts, CLIMATE_PAIRS) if parts else correlations(climate, CLIMATE_PAIRS))
     )
 
 

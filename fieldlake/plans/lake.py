@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 
 from fieldlake.contracts import DIM_FARMS, FACT_CLIMATE, FACT_WEATHER, FACT_YIELD, ROLLUPS
 from fieldlake.plans import model
+from fieldlake.plans.charts import climate_moments
 from fieldlake.plans.rollups import build_rollups
 from fieldlake.sinks.settle import Owner, bucket_count, settle, settle_table, source_state
 from fieldlake.sources.derived import DERIVED, derive_feed
@@ -126,6 +127,11 @@ class Lake:
                 self._once(name, lambda name=name: plans[name])
         return {name: self._frames[name] for name in ROLLUPS}
 
+    @property
+    def climate_moments(self) -> DataFrame:
+        """Moments of the climate measures by country: correlations read these and no facts."""
+        return self._once("climate_moments", lambda: climate_moments(self.fact_climate))
+
     # Storage ----------------------------------------------------------------
 
     def _once(self, name: str, build) -> DataFrame:

@@ -423,12 +423,12 @@ def bin_precip_aqi(lake):
 
 @query
 def correlation_matrix(lake):
-    return charts.environment_correlations(lake.fact_climate)
+    return charts.environment_correlations_of(lake.climate_moments)
 
 
 @query
 def named_correlations(lake):
-    return charts.named_correlations(joined(lake), lake.fact_yield, lake.fact_climate)
+    return charts.named_correlations(joined(lake), lake.fact_yield, lake.fact_climate, lake.climate_moments)
 
 
 @query
