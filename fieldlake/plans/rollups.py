@@ -52,6 +52,22 @@ _MEASURES = {
 }
 
 
+def farm_sums(joined: DataFrame) -> DataFrame:
+    """Sums and counts per state, crop and exposure of farms with their reading: both farm rollups follow from them."""
+    measures = {
+        "gap": F.col("farm_reported_rainfall_mm") - F.col("rainfall_mm"),
+        "rainfall": F.col("rainfall_mm"),
+        **{name: F.col(column) for name, column in _MEASURES.items()},
+    }
+    exposure = F.when(alerted(), ALERT).otherwise(NO_ALERT)
+    return joined.groupBy("state", "crop", exposure.alias("exposure_flag")).agg(
+        *[F.sum(value).alias(f"sum_{name}") for name, value in measures.items()],
+        *[F.count(value).alias(f"n_{name}") for name, value in measures.items()],
+        F.count(F.lit(1)).alias("farms"),
+        F.count_if(is_yes("pest_attack")).alias("pests"),
+    )
+
+
 def station_sums(farms: DataFrame) -> DataFrame:
     """Sums and counts of farm measures per state, crop and station, farms without a station left out.
 
@@ -69,8 +85,8 @@ def station_sums(farms: DataFrame) -> DataFrame:
     )
 
 
-def farm_sums(joined: DataFrame) -> DataFrame:
-    """From `station_sums` with the readings: sums and counts per state, crop and exposure: both farm rollups follow from them.
+def exposure_sums(joined: DataFrame) -> DataFrame:
+    """`farm_sums` from `station_sums` that have met the readings.
 
     A station's rain counts once for each of its farms: with n farms that reported
     rain, the sum of the gaps is the sum of what they reported less n times the
@@ -165,7 +181,7 @@ def rollup_bodies(star: dict[str, DataFrame]) -> dict[str, DataFrame]:
     joined = farm_weather(
         star["fact_crop_yield"], star["dim_farms"], star["fact_weather_observations"], station_sums
     )
-    sums = settle(farm_sums(joined), "farm-sums")
+    sums = settle(exposure_sums(joined), "farm-sums")
     return {
         ROLLUP_YIELD_WEATHER.name: yield_weather(sums),
         ROLLUP_CLIMATE_RISK.name: climate_risk(sums),

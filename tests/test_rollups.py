@@ -5,29 +5,18 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from conftest import plan, rows
-from fieldlake.functions import is_yes
 from fieldlake.plans import rollups
 from fieldlake.plans.lake import Lake
 
 
 def row_by_row(star):
     """The sums over the star joined row by row."""
-    measures = {
-        "gap": F.col("farm_reported_rainfall_mm") - F.col("rainfall_mm"), "rainfall": F.col("rainfall_mm"),
-        "profit": F.col("profit_loss_inr"), "yield_gap": F.col("yield_gap_tonnes"),
-        "health": F.col("crop_health_score"), "sustainability": F.col("sustainability_score"),
-    }
-    exposure = F.when(rollups.alerted(), rollups.ALERT).otherwise(rollups.NO_ALERT)
     joined = rollups.farm_weather(star["fact_crop_yield"], star["dim_farms"], star["fact_weather_observations"])
-    return joined.groupBy("state", "crop", exposure.alias("exposure_flag")).agg(
-        *[F.sum(value).alias(f"sum_{name}") for name, value in measures.items()],
-        *[F.count(value).alias(f"n_{name}") for name, value in measures.items()],
-        F.count(F.lit(1)).alias("farms"), F.count_if(is_yes("pest_attack")).alias("pests"),
-    )
+    return rollups.farm_sums(joined)
 
 
 def below_the_join(star):
-    return rollups.farm_sums(rollups.farm_weather(
+    return rollups.exposure_sums(rollups.farm_weather(
         star["fact_crop_yield"], star["dim_farms"], star["fact_weather_observations"], rollups.station_sums))
 
 
