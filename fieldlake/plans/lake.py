@@ -66,7 +66,8 @@ class Lake:
     def row_counts(self, names: Sequence[str], label: str) -> DataFrame:
         """One row per feed or table, its name and its rows: what was counted when the star was stored."""
         self.farms, self.stations, self.star()
-        return self.spark.createDataFrame([(name, self._rows[name]) for name in names], f"{label} string, rows long")
+        told = ", ".join(f"'{name}', {self._rows[name]}L" for name in names)
+        return self.spark.sql(f"SELECT stack({len(names)}, {told}) AS ({label}, rows)")
 
     # Clean tables -----------------------------------------------------------
 
