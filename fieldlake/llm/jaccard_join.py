@@ -11,9 +11,13 @@ Two documents link when 100 * |intersection| >= percent * |union|. The steps:
    must share one of with any partner. Lists with one node are dropped before they are built.
 4. In rounds, each node is compared with one node of another component: of the nodes that head
    its lists, the one that heads most. Linked nodes are contracted, so a group of copies costs
-   its size, not its square. When few pairs of different components are left in the lists, or
-   a round finds no link, all those pairs are compared: no link between components is lost.
-5. Comparing is DivideSkip: for one query node and a block of candidates, counts from merged
+   its size, not its square. Rounds only save work; how many there are changes no result.
+5. What is left is searched list by list, in divisions of set size and cells of bounded blocks.
+   A list is never joined with itself: a cell's task holds its members and writes only pairs of
+   different components that the order, the sizes and the parity sketches of both sets let
+   reach the overlap. The sketches differ in no more bits than the sets in shingles, so no link
+   between components is lost.
+6. Comparing is DivideSkip: for one query node and a block of candidates, counts from merged
    short lists, then binary probes into the long lists for those still in reach.
 
 The result has components, and each link that joins different components was tested exactly.
@@ -34,6 +38,8 @@ from fieldlake.llm.words import U64, grams, mixed, signed, text_words
 
 _BLOCK = 512
 _RUN_BYTES = 1 << 20
+#: Members of a list in one block; pairs that a search looks at together; bits of a sketch, as a power of two.
+_CELL, _PAIRS, _SKETCH = 2048, 1 << 18, 11
 
 
 class Sets:
@@ -62,6 +68,22 @@ class Sets:
         return full[np.sort(np.unique(self.digests[full], return_index=True)[1])]
 
 
+def sketches(sets: Sets, chosen: np.ndarray) -> np.ndarray:
+    """For each chosen set, which of 2 ** `_SKETCH` classes of hashes hold an odd number of its shingles, as bits."""
+    number = np.full(len(sets.sizes), -1)
+    number[chosen] = np.arange(len(chosen))
+    owner = np.repeat(number, sets.sizes)
+    own = owner >= 0
+    keys = (owner[own] << _SKETCH) | (sets.values[own] & U64((1 << _SKETCH) - 1)).astype(np.int64)
+    found, times = np.unique(keys, return_counts=True)
+    odd = found[times & 1 == 1]
+    out = np.zeros((len(chosen) << _SKETCH) >> 6, dtype=np.uint64)
+    if len(odd):
+        first = np.flatnonzero(np.concatenate([[True], (odd[1:] >> 6) != (odd[:-1] >> 6)]))
+        out[odd[first] >> 6] = np.bitwise_or.reduceat(U64(1) << (odd & 63).astype(np.uint64), first)
+    return out.reshape(len(chosen), -1)
+
+
 class Order:
     """Rare shingles first: by hash those that are not `seen`, then those that are, then the table's by count."""
 
@@ -226,21 +248,29 @@ def _prefix_counts(docs: DataFrame, order: Order, n: int, percent: int) -> DataF
 
 
 class Bits:
-    """Set of hashes as bits, with false positives; its size stops at 2 ** `most_power` bits."""
+    """Set of hashes as bits, with false positives; its size stops at 2 ** `most_power` bits.
+
+    Tasks get it as a broadcast of that size; `release` ends it once the tables made with it are stored.
+    """
 
     def __init__(self, hashes: DataFrame, count: int, most_power: int = 27):
         self.power = min(most_power, max(16, (8 * count).bit_length()))
-        place = F.shiftrightunsigned("shingle", 64 - self.power)
-        words = hashes.groupBy(F.shiftright(place, 5).alias("word")).agg(
-            F.expr(f"bit_or(shiftleft(1L, cast(shiftrightunsigned(shingle, {64 - self.power}) & 31 as int)))").alias("bits")
+        place = F.shiftrightunsigned("shingle", 64 - self.power) + 1
+        blocks = hashes.groupBy(F.bitmap_bucket_number(place).alias("block")).agg(
+            F.bitmap_construct_agg(F.bitmap_bit_position(place)).alias("bits")
         )
-        found = words.toPandas()
-        self.words = np.zeros(1 << (self.power - 5), dtype=np.uint32)
-        self.words[found["word"].to_numpy(np.int64)] = found["bits"].to_numpy(np.int64).astype(np.uint32)
+        words = np.zeros(1 << (self.power - 3), dtype=np.uint8)
+        for row in blocks.toLocalIterator():
+            at = (row.block - 1) * len(row.bits)
+            words[at : at + len(row.bits)] = np.frombuffer(row.bits, np.uint8)
+        self.words = hashes.sparkSession.sparkContext.broadcast(words.view(np.uint32))
 
     def may_hold(self, values: np.ndarray) -> np.ndarray:
         at = (values >> U64(64 - self.power)).astype(np.int64)
-        return (self.words[at >> 5] >> (at & 31).astype(np.uint32)) & np.uint32(1) == 1
+        return (self.words.value[at >> 5] >> (at & 31).astype(np.uint32)) & np.uint32(1) == 1
+
+    def release(self) -> None:
+        self.words.destroy()
 
 
 def _postings(docs: DataFrame, order: Order, shared: Bits, n: int, percent: int) -> DataFrame:
@@ -276,15 +306,6 @@ def _open_lists(lists: DataFrame, merged: DataFrame) -> DataFrame:
     return own.join(several.where("_a < _b").select("shingle"), "shingle")
 
 
-def _pairs_left(lists: DataFrame) -> tuple[int, int]:
-    """Pairs of different components over all lists, and postings."""
-    # One exchange, by list, serves both groupings.
-    sizes = lists.repartition("shingle").groupBy("shingle", "component").agg(F.count("*").alias("n"))
-    sizes = sizes.groupBy("shingle").agg(F.sum("n").alias("n"), F.sum(F.col("n") * F.col("n")).alias("own"))
-    row = sizes.agg(F.sum((F.col("n") * F.col("n") - F.col("own")) / 2), F.sum("n")).first()
-    return int(row[0] or 0), int(row[1] or 0)
-
-
 def _met_heads(lists: DataFrame, turn: int) -> DataFrame:
     """Every posting (y) with the head (x) of its list in this turn, but for the head itself."""
     heads = lists.groupBy("shingle").agg(
@@ -329,11 +350,97 @@ def _still_open(lists: DataFrame, pairs: DataFrame, merged: DataFrame, scratch:
     return lists.join(found, "shingle", "left_semi").drop("component")
 
 
-def _every(lists: DataFrame, percent: int) -> DataFrame:
-    """All candidates (a, b) of different components, each with one list (place) in which they meet."""
-    met = lists.alias("x").join(lists.alias("y"), "shingle").where(_may_link("x", "y", percent))
-    met = met.where(F.col("x.component") < F.col("y.component"))
-    return met.groupBy(F.col("x.node").alias("a"), F.col("y.node").alias("b")).agg(F.min("shingle").alias("place"))
+def _cells(lists: DataFrame, percent: int) -> DataFrame:
+    """The postings by cell: list, division of set size, and two blocks of the list's members there.
+
+    Sets of linked documents lie in one division or in neighbours, so a member is at home in its
+    own division and a guest in the one below. A cell holds two blocks at most.
+    """
+    size = F.col("size").cast("long")
+    # A little wider than the ratio of sizes that may link, against rounding.
+    division = F.floor(F.log("size") / F.lit(float(np.log(100 / percent)) * (1 + 1e-9))) if percent < 100 else size
+    homes = F.array(
+        F.struct(division.alias("division"), F.lit(False).alias("guest")),
+        F.struct((division - 1).alias("division"), F.lit(True).alias("guest")),
+    )
+    posted = lists.withColumn("_home", F.explode(homes)).select("shingle", "_home.*", "node", "size", "at", "component")
+    held = posted.groupBy("shingle", "division").agg(
+        F.count("*").alias("_n"), F.min("component").alias("_a"), F.max("component").alias("_b"), F.min("guest").alias("_g")
+    )
+    held = held.where(~F.col("_g") & (F.col("_a") < F.col("_b")))
+    blocks = F.ceil(F.col("_n") / _CELL).cast("int")
+    dealt = posted.join(held.select("shingle", "division", blocks.alias("_k")), ["shingle", "division"])
+    dealt = dealt.withColumn("block", F.pmod(F.xxhash64("node"), "_k").cast("int"))
+    dealt = dealt.withColumn("_other", F.explode(F.sequence(F.lit(0), F.col("_k") - 1)))
+    low, high = F.least("block", "_other").alias("low"), F.greatest("block", "_other").alias("high")
+    return dealt.select("shingle", "division", low, high, "block", "guest", "node", "size", "at", "component")
+
+
+def _searched(rows: pa.RecordBatch, percent: int) -> Iterator[pa.RecordBatch]:
+    """Candidates (a, b, place) of the whole cells in `rows`, which are ordered by cell."""
+    if not rows.num_rows:
+        return
+    shingle, division, low, high, block, node, size, at, component = (
+        rows.column(name).to_numpy() for name in ("shingle", "division", "low", "high", "block", "node", "size", "at", "component")
+    )
+    guest = rows.column("guest").to_numpy(zero_copy_only=False)
+    sketch = np.frombuffer(b"".join(rows.column("sketch").to_pylist()), np.uint64).reshape(len(node), -1)
+    size, at = size.astype(np.int64), at.astype(np.int64)
+    ends = np.append(_cell_starts(rows)[1:], len(node))
+    here = np.arange(len(node))
+    partners = ends[np.searchsorted(ends, here, "right")] - here - 1
+    before = np.concatenate([[0], np.cumsum(partners)])
+    first = 0
+    while first < len(node):
+        last = max(first + 1, int(np.searchsorted(before, before[first] + _PAIRS, "right")) - 1)
+        x = np.repeat(here[first:last], partners[first:last])
+        y = x + 1 + np.arange(len(x)) - (before[x] - before[first])
+        small, large = np.minimum(size[x], size[y]), np.maximum(size[x], size[y])
+        need = least_overlap(size[x], size[y], percent)
+        able = (component[x] != component[y]) & (small * 100 >= large * percent) & ~(guest[x] & guest[y])
+        able &= np.minimum(size[x] - at[x], size[y] - at[y]) >= need
+        able &= (low[x] == high[x]) | (block[x] != block[y])
+        x, y, need = x[able], y[able], need[able]
+        differ = np.zeros(len(x), dtype=np.int64)
+        for k in range(0, len(x), 1 << 14):
+            own = slice(k, k + (1 << 14))
+            differ[own] = np.bitwise_count(sketch[x[own]] ^ sketch[y[own]]).sum(axis=1, dtype=np.int64)
+        near = size[x] + size[y] - differ >= 2 * need
+        x, y = x[near], y[near]
+        pair = np.minimum(node[x], node[y]), np.maximum(node[x], node[y])
+        yield pa.RecordBatch.from_arrays([pa.array(v) for v in (*pair, shingle[x])], names=["a", "b", "place"])
+        first = last
+
+
+def _cell_starts(rows: pa.RecordBatch) -> np.ndarray:
+    new = np.zeros(rows.num_rows, dtype=bool)
+    new[:1] = True
+    for name in ("shingle", "division", "low", "high"):
+        values = rows.column(name).to_numpy()
+        new[1:] |= values[1:] != values[:-1]
+    return np.flatnonzero(new)
+
+
+def _search(lists: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
+    """All candidates (a, b) of different components that may link, each with one list (place) in which they meet."""
+
+    def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = None
+        for batch in batches:
+            if held is not None and held.num_rows:
+                batch = pa.concat_batches([held, batch])
+            # The last cell may go on in the next batch.
+            whole = int(_cell_starts(batch)[-1]) if batch.num_rows else 0
+            yield from _searched(batch.slice(0, whole), percent)
+            held = batch.slice(whole)
+        if held is not None:
+            yield from _searched(held, percent)
+
+    rows = _cells(lists, percent).join(texts.select("node", "sketch"), "node")
+    cell = ["shingle", "division", "low", "high"]
+    ordered = rows.repartition(*cell).sortWithinPartitions(*cell)
+    found = ordered.mapInArrow(search, "a long, b long, place long")
+    return found.groupBy("a", "b").agg(F.min("place").alias("place"))
 
 
 def _hop(links: DataFrame) -> DataFrame:
@@ -354,7 +461,7 @@ def _only(texts: DataFrame, wanted: Bits) -> DataFrame:
 
 
 def _compare(pairs: DataFrame, texts: DataFrame, n: int, percent: int, scratch: Scratch, label: str) -> DataFrame:
-    """Links (a, b) among the candidate pairs (a, b, place).
+    """Links (a, b), stored, among the candidate pairs (a, b, place).
 
     Pairs of one place meet in blocks of about `_BLOCK` pairs, where each text comes once,
     however many pairs it is in.
@@ -397,16 +504,19 @@ def _compare(pairs: DataFrame, texts: DataFrame, n: int, percent: int, scratch:
     placed = scratch.put(placed, f"{label}-pairs")
     node = F.explode(F.array("a", "b")).alias("node")
     needed = scratch.put(placed.select("place", "block", node).distinct(), f"{label}-nodes")
-    held = _only(texts, Bits(needed.select(F.col("node").alias("shingle")), needed.count()))
+    wanted = Bits(needed.select(F.col("node").alias("shingle")), needed.count())
+    held = _only(texts.select("node", "text"), wanted)
     whole = needed.hint("merge").join(held, "node").select("place", "block", "node", F.lit(None).cast("long").alias("other"), "text")
     only = placed.select("place", "block", F.col("a").alias("node"), F.col("b").alias("other"), F.lit(None).cast("string").alias("text"))
     rows = whole.unionByName(only).repartition("place", "block")
     # A block's texts come before its pairs.
     ordered = rows.sortWithinPartitions("place", "block", F.col("other").asc_nulls_first())
-    return ordered.mapInArrow(test, "a long, b long")
+    found = scratch.put(ordered.mapInArrow(test, "a long, b long"), f"{label}-links")
+    wanted.release()
+    return found
 
 
-def link_components(docs: DataFrame, *, n: int = 5, percent: int = 75, rounds: int = 6) -> DataFrame:
+def link_components(docs: DataFrame, *, n: int = 5, percent: int = 75, rounds: int = 2) -> DataFrame:
     """doc_id, n_shingles and component_id (smallest doc_id reachable by links) of every document.
 
     Null and empty texts, and texts of white space, have no shingles and link with nothing: each
@@ -424,38 +534,41 @@ def link_components(docs: DataFrame, *, n: int = 5, percent: int = 75, rounds: i
         shared = scratch.put(counts.where(F.col("n") > 1).select("shingle"), turn)
         if turn == "seen":
             order = Order(order.shingles, order.counts, Bits(shared, shared.count()))
-    postings = _postings(docs, order, Bits(shared, shared.count()), n, percent)
+    held = Bits(shared, shared.count())
+    postings = _postings(docs, order, held, n, percent)
     # Different tasks may have posted copies of one set.
     lists = scratch.put_bucketed(postings.join(shared, "shingle").distinct(), "lists", "shingle")
+    held.release()
+    order.seen.release()
 
     nodes = sets.where(F.col("n_shingles") > 0).groupBy("digest").agg(F.min("doc_id").alias("doc_id"))
     nodes = scratch.put(nodes, "nodes")
     wanted = nodes.join(lists.select(F.col("node").alias("digest")).distinct(), "digest", "left_semi")
     wanted = scratch.put(wanted.select(F.xxhash64("doc_id").alias("shingle")), "wanted")
-    texts = scratch.put(_digested(docs, Bits(wanted, wanted.count()), n), "texts")
+    held = Bits(wanted, wanted.count())
+    texts = scratch.put(_digested(docs, held, n), "texts")
+    held.release()
 
     links, merged, own = None, None, lists.withColumn("component", F.col("node"))
-    for turn in range(rounds + 1):
-        last = False
+    for turn in range(rounds):
         if turn:
             own = scratch.put(_open_lists(own.drop("component"), merged), f"open-{turn}")
-            pairs, size = _pairs_left(own)
-            if not pairs:
+            if own.isEmpty():
                 break
-            last = turn == rounds or pairs <= 16 * size
-        if last or not rounds:
-            chosen = scratch.put(_every(own, percent), f"every-{turn}")
-        else:
-            met = scratch.put(_head_pairs(own, turn, percent), f"met-{turn}")
-            chosen = scratch.put(_one_each(met), f"pairs-{turn}")
-        more = scratch.put(_compare(chosen, texts, n, percent, scratch, f"compare-{turn}"), f"links-{turn}")
+        met = scratch.put(_head_pairs(own, turn, percent), f"met-{turn}")
+        chosen = scratch.put(_one_each(met), f"pairs-{turn}")
+        more = _compare(chosen, texts, n, percent, scratch, f"compare-{turn}")
         links = more if links is None else links.unionByName(more)
-        if last:
-            break
         # Nodes of one component that are not known to be may cost a comparison, never a link.
         merged = components(links, scratch, f"merged-{turn}", most=2) if turn else scratch.put(_hop(links), "merged-0")
-        if not turn and rounds:
+        if not turn:
             own = _still_open(own, met, merged, scratch)
+    if rounds:
+        own = scratch.put(_open_lists(own.drop("component"), merged), "open")
+    if links is None or not own.isEmpty():
+        chosen = scratch.put(_search(own, texts, percent), "searched")
+        more = _compare(chosen, texts, n, percent, scratch, "compare")
+        links = more if links is None else links.unionByName(more)
     # A document with several rows joins the links of all its sets.
     again = sets.where(F.col("n_shingles") > 0).groupBy("doc_id").agg(
         F.min("digest").alias("a"), F.max("digest").alias("b")
@@ -479,7 +592,7 @@ def link_components(docs: DataFrame, *, n: int = 5, percent: int = 75, rounds: i
 
 
 def _digested(docs: DataFrame, wanted: Bits, n: int) -> DataFrame:
-    """(node, text) of the documents whose ids may be wanted."""
+    """(node, sketch, text) of the documents whose ids may be wanted."""
 
     def digest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -488,9 +601,12 @@ def _digested(docs: DataFrame, wanted: Bits, n: int) -> DataFrame:
                 sets = Sets(words, places, n)
                 chosen = sets.distinct()
                 own = batch.column(1).slice(first, len(sets.sizes)).take(pa.array(chosen))
-                yield pa.RecordBatch.from_arrays([pa.array(signed(sets.digests[chosen])), own], names=["node", "text"])
+                bits = pa.array([x.tobytes() for x in sketches(sets, chosen)], pa.binary())
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(signed(sets.digests[chosen])), bits, own], names=["node", "sketch", "text"]
+                )
 
-    return docs.select(F.xxhash64("doc_id").alias("key"), "text").mapInArrow(digest, "node long, text string")
+    return docs.select(F.xxhash64("doc_id").alias("key"), "text").mapInArrow(digest, "node long, sketch binary, text string")
 
 
 def keep_one(docs: DataFrame, *, n: int = 5, percent: int = 75) -> DataFrame:

@@ -1,10 +1,13 @@
 import itertools
 
 import numpy as np
+import pyarrow as pa
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from fieldlake.llm.jaccard_join import divide_skip, keep_one, least_overlap, link_components
+from fieldlake.llm import jaccard_join
+from fieldlake.llm.jaccard_join import Sets, divide_skip, keep_one, least_overlap, link_components, sketches
+from fieldlake.llm.words import text_words
 from helpers import SCHEMA, no_documents, odd_documents, odd_texts, prose, read, shingles
 
 
@@ -81,6 +84,30 @@ def test_groups_of_copies_chains_and_shared_passages(spark):
     assert kept == {i for i, _, c in brute(pairs) if i == c}
 
 
+def test_cells_of_small_blocks_find_the_same(spark, monkeypatch):
+    """A list over many blocks and divisions: its pairs meet in exactly those cells that hold both."""
+    monkeypatch.setattr(jaccard_join, "_CELL", 3)
+    monkeypatch.setattr(jaccard_join, "_PAIRS", 5)
+    passage = prose(6, 60)
+    pairs = [(k, prose(100 + k, 4 + k % 30) + " " + passage) for k in range(50)]
+    pairs += [(100 + k, passage + " " + prose(300 + k, 1 + k % 9)) for k in range(30)]
+    docs = spark.createDataFrame([(i, t, None, None, None) for i, t in pairs], SCHEMA).repartition(5)
+    assert ordered(link_components(docs, rounds=0).collect()) == ordered(brute(pairs))
+    assert ordered(link_components(docs, percent=100, rounds=0).collect()) == ordered(brute(pairs, 100))
+
+
+@settings(max_examples=60, deadline=None)
+@given(st.lists(st.integers(0, 400), max_size=300), st.lists(st.integers(0, 400), max_size=300))
+def test_sketches_never_differ_more_than_the_sets(a, b):
+    texts = pa.array([" ".join(f"w{x}" for x in own) for own in (a, b)])
+    (_, words, places), = text_words(texts)
+    sets = Sets(words, places, 5)
+    x, y = sketches(sets, np.array([0, 1]))
+    apart = int(np.bitwise_count(x ^ y).sum())
+    exact = len(np.setxor1d(sets.of(0), sets.of(1)))
+    assert apart <= exact and apart % 2 == exact % 2
+
+
 def test_odd_rows(spark):
     docs = odd_documents(spark)
     assert ordered(link_components(docs).collect()) == ordered(brute(odd_texts()))
