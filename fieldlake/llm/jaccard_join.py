@@ -260,7 +260,8 @@ class Bits:
             F.bitmap_construct_agg(F.bitmap_bit_position(place)).alias("bits")
         )
         words = np.zeros(1 << (self.power - 3), dtype=np.uint8)
-        for row in blocks.toLocalIterator():
+        # At most 2 ** (most_power - 15) rows of 4 kB.
+        for row in blocks.collect():
             at = (row.block - 1) * len(row.bits)
             words[at : at + len(row.bits)] = np.frombuffer(row.bits, np.uint8)
         self.words = hashes.sparkSession.sparkContext.broadcast(words.view(np.uint32))
