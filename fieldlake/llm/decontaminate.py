@@ -24,6 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from fieldlake.llm.common import Scratch
 from fieldlake.llm.words import PLAIN, U64, text_words
 
 _SLOTS = 1 << 20
@@ -227,19 +228,23 @@ class Rules:
     answer: int = 4
 
 
-def prepare(docs: DataFrame, items: Items, rules: Rules, *, sample_docs: int = 2048, rank: int = 256) -> Items:
-    """Weights from all documents, the latent basis from a sample, and the items' vectors.
+def basis_sample(docs: DataFrame, sample_docs: int = 2048) -> DataFrame:
+    """The `sample_docs` different texts that hash smallest, stored."""
+    texts = docs.where(F.col("text").isNotNull()).select("text", F.xxhash64("text").alias("_h"))
+    last = texts.select("_h").distinct().orderBy("_h").limit(sample_docs).agg(F.max("_h")).first()[0]
+    one_each = texts.where(F.col("_h") <= F.lit(last)).groupBy("_h").agg(F.first("text").alias("text"))
+    return Scratch(docs.sparkSession, "decontaminate").put(one_each.select("text"), "sample")
 
-    The sample is the `sample_docs` documents whose texts hash smallest; only the basis
-    depends on it.
+
+def prepare(docs: DataFrame, items: Items, rules: Rules, *, sample: DataFrame | None = None, sample_docs: int = 2048, rank: int = 256) -> Items:
+    """Weights from all documents, the latent basis from a `basis_sample`, and the items' vectors.
+
+    Only the basis depends on the sample. Its tasks, and so the matrices that meet on the driver, are at most four.
     """
     counts, total = document_counts(docs, items)
     items.idf = np.log((total + 1) / (counts + 1)).astype(np.float32) + 0.01
-    sample = docs.where(F.col("text").isNotNull()).select("text", F.xxhash64("text").alias("_h"))
-    chosen = sample.select("_h").distinct().orderBy("_h").limit(sample_docs)
-    last = chosen.agg(F.max("_h")).first()[0]
-    sample = sample.where(F.col("_h") <= F.lit(last)).select("text").coalesce(4)
-    basis = latent_basis(sample, items, half=rules.half, rank=rank)
+    sample = basis_sample(docs, sample_docs) if sample is None else sample
+    basis = latent_basis(sample.coalesce(4), items, half=rules.half, rank=rank)
     items.basis = basis * items.idf[:, None]
     vectors = np.stack([items.basis[items.vocabulary.features(x)].sum(axis=0) for x in items.words])
     parts, owners = [vectors], [np.arange(len(vectors))]
@@ -320,13 +325,17 @@ def find(items: Items, rules: Rules, texts: pa.Array) -> list[tuple[int, int, fl
     return [(row, i, cosine, share, at) for (row, i), (share, cosine, at) in sorted(found.items())]
 
 
-def _blocks(docs: DataFrame, benchmark: DataFrame, rules: Rules, block: int, **options) -> Iterator[Items]:
+def _blocks(
+    docs: DataFrame, benchmark: DataFrame, rules: Rules, block: int, *, sample_docs: int = 2048, **options
+) -> Iterator[Items]:
+    sample = None
     rows = benchmark.select("item_id", "text").distinct().toPandas().sort_values(["item_id", "text"])
     for at in range(0, len(rows), block):
         part = rows.iloc[at : at + block]
         items = items_of([int(x) if x == x else None for x in part["item_id"]], part["text"].tolist())
         if items.ids:
-            yield prepare(docs, items, rules, **options)
+            sample = basis_sample(docs, sample_docs) if sample is None else sample
+            yield prepare(docs, items, rules, sample=sample, **options)
 
 
 def leaks(docs: DataFrame, benchmark: DataFrame, *, rules: Rules = Rules(), block: int = 1024, **options) -> DataFrame:

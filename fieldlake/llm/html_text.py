@@ -419,14 +419,25 @@ def _reversed(x: np.ndarray, lengths: np.ndarray) -> np.ndarray:
 
 
 def fit(pages: DataFrame, *, sample: int = 240, layouts: int = 3, epochs: int = 6, seed: int = 5, longest: int = 60_000) -> Labeller:
-    """Train on at most `sample` pages, those whose html hashes smallest, each in `layouts` layouts besides its own.
+    """Train on at most `sample` different pages, each in `layouts` layouts besides its own.
 
+    They are those of up to `longest` characters whose html hashes smallest; if there are fewer,
+    longer ones follow, short ones first, so that pages of any length can teach. They are chosen
+    by length and hash; only the html of the chosen ones is read and sent to the driver.
     Without a page that has any text the labeller stays untrained; there is then nothing to label.
     """
-    some = pages.where(F.col("html").isNotNull() & (F.length("html") <= longest))
-    rows = some.select("html", F.xxhash64("html").alias("_h")).orderBy("_h", "html").limit(sample).toPandas()
+    rank = F.struct(F.greatest(F.length("html"), F.lit(longest)).alias("length"), F.xxhash64("html").alias("hash"))
+    some = pages.where(F.col("html").isNotNull() & (F.trim("html") != "")).select(rank.alias("_rank"), "html")
+    chosen = some.select("_rank").distinct().orderBy("_rank").limit(sample).collect()
+    if chosen:
+        end = chosen[-1]["_rank"]
+        last = F.struct(F.lit(end["length"]).alias("length"), F.lit(end["hash"]).alias("hash"))
+        one_each = some.where(F.col("_rank") <= last).groupBy("_rank").agg(F.first("html").alias("html"))
+        found = sorted(one_each.collect(), key=lambda r: tuple(r["_rank"]))
+    else:
+        found = []
     rng = np.random.default_rng(seed)
-    parsed = [x for x in (leaves(page) for page in rows["html"]) if x]
+    parsed = [x for x in (leaves(r["html"]) for r in found) if x]
     texts = [leaf.text for page in parsed for leaf in page if len(leaf.text) > 40] or ["text"]
     made = []
     for page in parsed:

@@ -29,8 +29,18 @@ _COMMON = "|".join(COMMON_WORDS)
 _SKIP = f"(?:(?:{_COMMON}) ){{0,8}}+"
 _SPOTS = f"(?<= )(?=((?:{_COMMON}) {_SKIP}[^ ]+ {_SKIP}[^ ]+) )"
 _TRIPLES = "(?<= )(?=([^ ]+ [^ ]+ [^ ]+) )"
-_CONTENT = f"(?!(?:{_COMMON}) )[^ ]+"
-_EVEN = f"(?<= )(?=((?:{_COMMON}) {_SKIP}[^ ]+ {_SKIP}[^ ]+|{_CONTENT} {_CONTENT} {_CONTENT}) )"
+# Common words get a mark that no word has; a pattern by first letters tries fewer of them.
+_MARK = "\x01"
+_BY_LETTER = "|".join(f"{c}(?:{'|'.join(sorted(w[1:] for w in COMMON_WORDS if w[0] == c))})" for c in sorted({w[0] for w in COMMON_WORDS}))
+_UNMARKED = f" (?=[a-z]{{1,{max(map(len, COMMON_WORDS))}}}+ )(?=(?:{_BY_LETTER}) )"
+_SKIP_MARKED = f"(?:{_MARK}[^ ]+ ){{0,8}}+"
+_CONTENT = f"[^{_MARK} ][^ ]*"
+# Each word and what it opens: a chain (groups 1 to 3), a triple of content words (group 4), or nothing.
+_WORD = (
+    f"(?:(?=({_MARK}[^ ]+) {_SKIP_MARKED}(?:{_MARK}[^ ]+|({_CONTENT})) {_SKIP_MARKED}([^ ]+) )"
+    f"|(?=({_CONTENT} {_CONTENT} {_CONTENT}) )|)[^ ]+ "
+)
+_OPENED, _NOTHING = "$1$4 $2 $3\n", "  "
 
 
 def signatures(text: Column, least: int = 4) -> Column:
@@ -58,15 +68,19 @@ def even_signatures(text: Column) -> Column:
     """Sorted distinct hashes of a text's chains and of its triples of content words, by one rule for every text.
 
     A text without any, of at most three content words, gives the hash of the whole text; so
-    does a text without letters and digits. An empty or null text gives an empty array.
+    does a text without letters and digits. An empty or null text gives an empty array. One
+    pass marks common words, one replaces each word by the signature that it opens.
     """
 
     def choose(p: Column) -> Column:
         whole = F.when(F.trim(p) == "", text).otherwise(p)
-        found = F.regexp_extract_all(p, F.lit(_EVEN), F.lit(1))
-        return _once(found, lambda s: F.when(F.size(s) > 0, _hashed(s)).otherwise(F.array(F.hash(whole))))
+        marked = F.ltrim(F.regexp_replace(p, _UNMARKED, f" {_MARK}"))
+        opened = F.split(F.regexp_replace(marked, _WORD, _OPENED), "\n")
+        none = F.array(F.xxhash64(F.lit(_NOTHING)), F.xxhash64(F.lit("")))
+        found = F.array_except(F.transform(opened, lambda x: F.xxhash64(x)), none)
+        return _once(found, lambda s: F.when(F.size(s) > 0, F.sort_array(s)).otherwise(F.array(F.xxhash64(whole))))
 
-    return _of_plain(text, choose)
+    return _of_plain(text, choose, "bigint")
 
 
 def _hashed(chains: Column) -> Column:
@@ -75,11 +89,11 @@ def _hashed(chains: Column) -> Column:
     return F.array_sort(F.array_distinct(F.transform(chains, lambda x: F.hash(F.regexp_replace(x, F.lit(drop), F.lit(""))))))
 
 
-def _of_plain(text: Column, choose) -> Column:
+def _of_plain(text: Column, choose, kind: str = "int") -> Column:
     """`choose` of the text's words, each between single spaces; an empty array for an empty or null text."""
     plain = F.concat(F.lit(" "), F.trim(F.regexp_replace(F.lower(text), r"[^\p{L}\p{N}]+", " ")), F.lit(" "))
     empty = F.coalesce(F.length(text), F.lit(0)) == 0
-    return F.when(empty, F.array().cast("array<int>")).otherwise(_once(plain, choose))
+    return F.when(empty, F.array().cast(f"array<{kind}>")).otherwise(_once(plain, choose))
 
 
 def _once(value: Column, use) -> Column:
@@ -87,8 +101,9 @@ def _once(value: Column, use) -> Column:
     return F.element_at(F.transform(F.array(value), use), 1)
 
 
-def fingerprint(sigs: Column) -> Column:
-    return F.array_join(F.transform(sigs, lambda x: F.lpad(F.hex(x.cast("long").bitwiseAND(F.lit(0xFFFFFFFF))), 8, "0")), "")
+def fingerprint(sigs: Column, digits: int = 8) -> Column:
+    """All hashes in hexadecimal, `digits` of each: 8 for 32 bits, 16 for 64."""
+    return F.array_join(F.transform(sigs, lambda x: F.right(F.lpad(F.hex(x.cast("long")), F.lit(16), F.lit("0")), F.lit(digits))), "")
 
 
 def likeness(a: Column, b: Column, least: float = 0.0) -> Column:
@@ -105,16 +120,17 @@ def likeness(a: Column, b: Column, least: float = 0.0) -> Column:
 
 
 def in_order(docs: DataFrame, scratch: Scratch) -> DataFrame:
-    """Distinct (doc_id, hash of the text), each with the row before it and a quarter of that row's length.
+    """Distinct (doc_id, hash of the text), each with the row before it: its id, hash, a quarter of its length, how many have it.
 
     The order is ascending by id, null first, then by hash; before the first stands the last.
     Rows are ordered within ranges; one row per range carries over its end.
     """
     thin = docs.select("doc_id", F.xxhash64("text").alias("_h"), F.coalesce(F.length("text"), F.lit(0)).alias("_chars"))
-    ranged = thin.distinct().repartitionByRange("doc_id", "_h").sortWithinPartitions("doc_id", "_h")
+    each = thin.groupBy("doc_id", "_h", "_chars").agg(F.count("*").alias("_n"))
+    ranged = each.repartitionByRange("doc_id", "_h").sortWithinPartitions("doc_id", "_h")
     ranged = scratch.put(ranged.withColumn("_part", F.spark_partition_id()), "order")
     within = Window.partitionBy("_part").orderBy("doc_id", "_h")
-    row = F.struct("doc_id", "_h", F.floor(F.col("_chars") / 4).alias("_quarter"))
+    row = F.struct("doc_id", "_h", F.floor(F.col("_chars") / 4).cast("int").alias("_quarter"), "_n")
     ends = ranged.withColumn("_row", row).groupBy("_part").agg(F.max_by("_row", F.struct(F.col("doc_id").isNotNull(), "doc_id", "_h")).alias("_end"))
     by_part = Window.orderBy("_part")
     everything = by_part.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
@@ -124,6 +140,11 @@ def in_order(docs: DataFrame, scratch: Scratch) -> DataFrame:
     return placed.select("doc_id", "_h", F.coalesce("_before", "_end").alias("_before"))
 
 
+def _key(doc_id: str, text_hash: str) -> list[Column]:
+    """Columns that are equal for equal ids, null or not, and equal texts."""
+    return [F.coalesce(F.col(doc_id).cast("string"), F.lit("")).alias("_id"), F.col(doc_id).isNull().alias("_none"), F.col(text_hash).alias("_h")]
+
+
 def fingerprints(docs: DataFrame, signatures: Callable[[Column], Column] = signatures) -> DataFrame:
     """Per document: doc_id, n_chars, edited_sha256, fingerprint, edited_fingerprint, near_edited, near_next.
 
@@ -132,30 +153,31 @@ def fingerprints(docs: DataFrame, signatures: Callable[[Column], Column] = signa
     the text), and the first follows the last. Rows with equal id and text are one document in
     that order and get equal results. Null text counts as empty, whose fingerprint is empty.
     Other columns are ignored. `signatures` is the rule, this module's or another.
+
+    Rows with equal id and text are worked on once and counted, so many of them are no hot key.
+    Two shuffles carry texts; signatures are made where they are compared and never move.
     """
     scratch = Scratch(docs.sparkSession, "spotsigs")
     docs = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
-    order = in_order(docs, scratch)
-    own = docs.withColumn("_h", F.xxhash64("text")).alias("d")
-    placed = own.join(
-        order.alias("o"), F.col("d.doc_id").eqNullSafe(F.col("o.doc_id")) & (F.col("d._h") == F.col("o._h"))
-    ).select("d.*", "_before")
-    gives = placed.select(
-        F.col("_before.doc_id").alias("doc_id"), F.col("_before._h").alias("_h"),
-        F.expr("left(text, cast(_before._quarter as int))").alias("_head"), signatures(F.col("text")).alias("_next"),
-    ).dropDuplicates(["doc_id", "_h"])
-    met = own.join(
-        gives.alias("g"), F.col("d.doc_id").eqNullSafe(F.col("g.doc_id")) & (F.col("d._h") == F.col("g._h"))
-    ).select("d.*", "_head", "_next")
-    edited = F.concat(F.expr("left(text, cast(length(text) - floor(length(text) / 4) as int))"), F.col("_head"))
-    met = met.withColumn("_edited", edited)
-    met = met.withColumn("_sigs", signatures(F.col("text"))).withColumn("_edited_sigs", signatures(F.col("_edited")))
-    return met.select(
-        "doc_id", F.length("text").cast("long").alias("n_chars"), F.sha2("_edited", 256).alias("edited_sha256"),
-        fingerprint(F.col("_sigs")).alias("fingerprint"), fingerprint(F.col("_edited_sigs")).alias("edited_fingerprint"),
+    order = in_order(docs, scratch).select(*_key("doc_id", "_h"), "_before")
+    key = ["_id", "_none", "_h"]
+    each = docs.withColumn("_h", F.xxhash64("text")).select(*_key("doc_id", "_h"), "text")
+    each = each.groupBy(*key).agg(F.first("text").alias("text"))
+    gives = each.join(order, key).select(*_key("_before.doc_id", "_before._h"), F.col("_before").alias("_own"), F.col("text").alias("_next"))
+    met = each.join(gives, key)
+    kept, head = F.expr("left(text, cast(length(text) as int) - _own._quarter)"), F.expr("left(_next, _own._quarter)")
+    met = met.withColumn("_edited", F.concat(kept, head))
+    for name, column in (("_sigs", "text"), ("_edited_sigs", "_edited"), ("_next_sigs", "_next")):
+        met = met.withColumn(name, signatures(F.col(column)))
+    digits = 8 if met.schema["_sigs"].dataType.elementType.typeName() == "integer" else 16
+    found = met.select(
+        F.col("_own.doc_id").alias("doc_id"), F.length("text").cast("long").alias("n_chars"),
+        F.sha2("_edited", 256).alias("edited_sha256"), fingerprint(F.col("_sigs"), digits).alias("fingerprint"),
+        fingerprint(F.col("_edited_sigs"), digits).alias("edited_fingerprint"),
         likeness(F.col("_sigs"), F.col("_edited_sigs")).alias("near_edited"),
-        likeness(F.col("_sigs"), F.col("_next")).alias("near_next"),
+        likeness(F.col("_sigs"), F.col("_next_sigs")).alias("near_next"), F.col("_own._n").alias("_n"),
     )
+    return found.withColumn("_again", F.explode(F.sequence(F.lit(1).cast("long"), "_n"))).drop("_n", "_again")
 
 
 def near_pairs(docs: DataFrame, least: float = 0.75, signatures: Callable[[Column], Column] = signatures) -> DataFrame:
