@@ -138,11 +138,17 @@ def half_windows(features: np.ndarray, places: np.ndarray, half: int):
 
 
 def sums_of(basis: np.ndarray, features: np.ndarray, bounds: np.ndarray) -> np.ndarray:
-    """Sum of the basis rows of each half-window."""
-    out = np.zeros((len(bounds) - 1, basis.shape[1]), dtype=np.float32)
-    full = np.flatnonzero(bounds[1:] > bounds[:-1])
-    if len(full):
-        out[full] = np.add.reduceat(basis[features], bounds[full], axis=0)
+    """Sum of the basis rows of each half-window: first words of all, then second words, and so on."""
+    count = np.diff(bounds)
+    order = np.argsort(-count, kind="stable")
+    first, fewer = bounds[:-1][order], -count[order]
+    total = np.zeros((len(count), basis.shape[1]), dtype=np.float32)
+    for k in range(int(count.max(initial=0))):
+        # Half-windows with more than k words come first in this order.
+        n = int(np.searchsorted(fewer, -k, "left"))
+        total[:n] += basis[features[first[:n] + k]]
+    out = np.empty_like(total)
+    out[order] = total
     return out
 
 
