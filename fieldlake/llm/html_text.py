@@ -28,10 +28,13 @@ from fieldlake.llm.words import PLAIN, U64, text_words
 VOID = set("area base br col embed hr img input link meta param source track wbr".split())
 INLINE = set(
     "a abbr acronym b bdi bdo big br cite code data dfn em font i img kbd label mark q s samp small span strike strong "
-    "sub sup time tt u var wbr".split()
+    "sub sup time tt u var wbr "
+    # Formulas are part of the line that they stand in.
+    "math semantics mrow mi mn mo ms mtext mspace msup msub msubsup mfrac msqrt mroot mover munder munderover mstyle mpadded "
+    "mphantom menclose merror mtable mtr mtd".split()
 )
 RAW = "script|style|textarea"
-SILENT = set("noscript template svg math iframe object canvas audio video select button".split())
+SILENT = set("noscript template svg annotation annotation-xml iframe object canvas audio video select button".split())
 ENDS_OWN = {"p": {"p"}, "li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"},
             "th": {"td", "th"}, "option": {"option"}}
 HOLDS = set("ul ol dl table article section div main aside nav header footer body form".split())
@@ -78,8 +81,8 @@ def silent_parts(page: str) -> dict[int, int]:
                     if tag in SILENT:
                         found[start] = match.end()
                     break
-        # Only svg and math, and what they hold, can be closed within the start tag.
-        elif tag not in VOID and not (match["attrs"].endswith("/") and tag not in SILENT - {"svg", "math"}):
+        # Of silent elements only svg can be closed within the start tag; formulas and what svg holds can, too.
+        elif tag not in VOID and not (match["attrs"].endswith("/") and tag not in SILENT - {"svg"}):
             stack.append((tag, match.start()))
             opened[tag] += 1
     return found

@@ -225,21 +225,36 @@ def parser_of(texts: dict[str, list[str]]) -> Parser:
     return Parser(languages, symbol_of, alphabet, steps, np.array(roots, dtype=np.int64), first, scale)
 
 
-def fit(docs: DataFrame, *, folds: int = 3, held: int = 1, per_language: int = 60, longest: int = 4000) -> Parser:
-    """Learn from at most `per_language` whole documents of each language, never of the held-out fold.
+def fit(
+    docs: DataFrame, *, folds: int = 3, held: int = 1, per_language: int = 60, longest: int = 4000, most: int = 1_000_000
+) -> Parser:
+    """Learn from at most `per_language` documents of each language, never of the held-out fold.
 
     The documents are those of up to `longest` characters whose ids hash smallest; a language
-    with fewer of that size learns from longer ones too, which are also taken whole.
+    with fewer of that size learns from longer ones too, short ones first, which are also taken
+    whole. Together they have at most `most` characters. A language whose shortest document has
+    more learns from 16 even pieces of it, `most` characters in all. Repeated rows count once.
+    Documents are chosen by length and hash; only the texts of the chosen ones move.
     """
     known = docs.where(F.col("lang").isNotNull() & F.col("text").isNotNull() & (fold_of("doc_id", folds) != held))
-    long = F.length("text") > longest
-    known = known.select("lang", "doc_id", F.when(long, 1).otherwise(0).alias("_long"), F.xxhash64("doc_id").alias("_h"), "text")
-    first = Window.partitionBy("lang").orderBy("_long", "_h", "doc_id", "text")
-    chosen = known.withColumn("_n", F.row_number().over(first)).where(F.col("_n") <= per_language)
-    rows = chosen.select("lang", "_n", "text").toPandas()
+    known = known.select("lang", "doc_id", "text", F.length("text").cast("long").alias("_size"), F.xxhash64("text").alias("_text"))
+    thin = known.select("lang", "doc_id", "_size", "_text", F.xxhash64("doc_id").alias("_h")).distinct()
+    first = Window.partitionBy("lang").orderBy(F.greatest("_size", F.lit(longest)), "_h", "doc_id", "_text")
+    chosen = thin.withColumn("_n", F.row_number().over(first)).where(F.col("_n") <= per_language)
+    chosen = chosen.withColumn("_sum", F.sum("_size").over(first.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
+    chosen = chosen.where((F.col("_sum") <= most) | (F.col("_n") == 1)).alias("c")
+    # A small number of rows a language.
+    same = [F.col(f"k.{x}") == F.col(f"c.{x}") for x in ("lang", "_size", "_text")]
+    found = known.alias("k").join(F.broadcast(chosen), [F.col("k.doc_id").eqNullSafe(F.col("c.doc_id")), *same])
+    size = F.col("k._size")
+    parts = [
+        F.substring(F.col("text"), (F.floor(size * k / 16) + 1).cast("int"), F.lit(max(1, most // 16))) for k in range(16)
+    ]
+    text = F.when(size > most, F.concat_ws("\n", *parts)).otherwise(F.col("text"))
+    rows = found.groupBy("c.lang", "c._n").agg(F.first(text).alias("text")).collect()
     texts: dict[str, list[str]] = {}
-    for row in rows.sort_values(["lang", "_n"]).itertuples():
-        texts.setdefault(row.lang, []).append(row.text)
+    for row in sorted(rows, key=lambda r: (r["lang"], r["_n"])):
+        texts.setdefault(row["lang"], []).append(row["text"])
     return parser_of(texts)
 
 

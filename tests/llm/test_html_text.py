@@ -1,5 +1,6 @@
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from fieldlake.llm import html_text
 from helpers import prose, read
@@ -36,6 +37,12 @@ def test_no_text_is_lost_around_silent_elements():
     assert texts(deep) == ["y"]
 
 
+def test_formulas_are_text_of_their_line():
+    formula = "<math><semantics><mrow><mi>x</mi><mo>=</mo><mn>2</mn><mspace/></mrow><annotation>x=2</annotation></semantics></math>"
+    assert texts(f"<article><p>where {formula} holds</p><p>next</p></article>") == ["where x=2 holds", "next"]
+    assert texts("<p>a <math/> b</p><p>c</p>") == ["a b", "c"]
+
+
 def page(k):
     """A page in one of several layouts, and its main text."""
     body = [prose(10 * k + j, 8 + (k * 7 + j * 13) % 60).capitalize() + "." for j in range(3 + k % 6)]
@@ -73,6 +80,21 @@ def test_same_text_as_by_the_pages_own_marks(spark, small_dir):
     assert np.mean([got[k] == expected[k] for k in expected]) > 0.95
 
 
+def test_long_pages_teach_as_well(spark, small_dir):
+    pages = read(spark, small_dir, "pages").select("page_id", "url", "html")
+    long = pages.withColumn("html", F.concat("html", F.lit("<!--" + "x" * 61_000 + "-->")))
+    got = {r.page_id: r.text for r in html_text.extract(long, html_text.fit(long)).collect()}
+    marked = {r.page_id: "\n".join(x.text for x in html_text.leaves(r.html) if "article" in x.path) for r in pages.collect()}
+    assert np.mean([got[k] == marked[k] for k in marked]) > 0.95
+
+
+def test_copies_of_a_page_are_one_of_the_sample(spark):
+    pages = spark.createDataFrame([(k, None, page(0)[0]) for k in range(300)] + [(1000 + k, None, page(k)[0]) for k in range(1, 9)], "page_id long, url string, html string")
+    net = html_text.fit(pages, sample=9, epochs=1)
+    again = html_text.fit(pages.dropDuplicates(["html"]).repartition(3), sample=9, epochs=1)
+    assert all(np.array_equal(net.values[k], again.values[k]) for k in net.values)
+
+
 def test_gradients_match_differences():
     rng = np.random.default_rng(1)
     net = html_text.Labeller(path_dim=3, word_dim=2, hidden=3).start()

@@ -83,6 +83,23 @@ def test_no_rows_and_few_languages(spark, labels):
     assert found == {"und", *labels}
 
 
+def test_learning_texts_are_bounded(spark, monkeypatch):
+    """A language of one text of 10 MB, one of many copies of a row, and whole short texts within the bound."""
+    seen = {}
+    monkeypatch.setattr(language, "parser_of", lambda texts: seen.update(texts))
+    ids = [k for k in range(90) if zlib.crc32(str(k).encode()) % 3 != 1]
+    rows = [(ids[0], "long " * 2_000_000, "aa"), *[(ids[1], "one row", "bb")] * 50, (ids[2], "other row", "bb")]
+    rows += [(k, f"text {k} " + "w" * 90, "cc") for k in ids[3:40]]
+    rows += [(None, "no id", "dd"), (ids[41], None, "cc"), (ids[42], "no lang", None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    language.fit(docs, most=1000)
+    assert 900 <= len(seen["aa"][0]) <= 1100 and len(seen["aa"]) == 1
+    assert sorted(seen["bb"]) == ["one row", "other row"]
+    assert 0 < sum(map(len, seen["cc"])) <= 1000 and set(seen["cc"]) <= {r[1] for r in rows}
+    if zlib.crc32(b"null") % 3 != 1:
+        assert seen["dd"] == ["no id"]
+
+
 def test_languages_of_many_letters_are_told_apart():
     """Letters beyond the most frequent ones, and above U+FFFF, are symbols of their own."""
     alphabets = {
