@@ -18,17 +18,15 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from fieldlake.llm.common import Scratch, fold_of
+from fieldlake.llm.common import Scratch, _packed, _unpacked, fold_of, gather_tables  # noqa: F401
 from fieldlake.llm.decontaminate import Vocabulary
 from fieldlake.llm.words import LOWER, U64, mixed, pieces, signed, text_words, word_bounds, word_hashes
 
 #: Words before that make a context: (1,) is the word before, (1, 2) the two before.
 CONTEXTS = ((1,), (1, 2), (2,), (3,))
-_BLOCKS = 16
 #: Gates: depth in the code, and how often the first two contexts were seen.
 _DEPTHS, _LEVELS = 6, (1, 4, 20)
 _GATES = _DEPTHS * (len(_LEVELS) + 1) ** 2
@@ -143,47 +141,6 @@ def steps_of(code: Code, words: np.ndarray, places: np.ndarray, block_words: int
     )
 
 
-def gather_tables(docs: DataFrame, sizes: list[int], fill) -> list[np.ndarray]:
-    """Counts in tables of fixed sizes, over the texts of all of `docs`.
-
-    `fill(tables, data, offsets)` adds a run of texts to a task's tables. Few tasks, two for
-    each core, fill one set of tables each; groups of tables are added up level by level, so
-    no task or driver sees more than a few at a time.
-    """
-    docs = docs.select("text").coalesce(2 * docs.sparkSession.sparkContext.defaultParallelism)
-
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tables = [np.zeros(size, dtype=np.uint64) for size in sizes]
-        for batch in batches:
-            for _, data, offsets in pieces(batch.column(0)):
-                fill(tables, data, offsets)
-        part = TaskContext.get().partitionId()
-        for number, table in enumerate(tables):
-            for block, own in enumerate(np.array_split(table, _BLOCKS)):
-                yield _packed(number, block, part, own)
-
-    def add(key: tuple, group: pa.Table) -> pa.Table:
-        total = np.uint64(0)
-        for data in group.column("data"):
-            total = total + _unpacked(data.as_py())
-        return pa.Table.from_batches([_packed(key[0].as_py(), key[1].as_py(), key[2].as_py(), total)])
-
-    schema = "number int, block int, part int, data binary"
-    left = docs.rdd.getNumPartitions()
-    parts = docs.mapInArrow(count, schema)
-    while True:
-        parts = parts.withColumn("part", F.floor(F.col("part") / 32).cast("int"))
-        parts = parts.groupBy("number", "block", "part").applyInArrow(add, schema)
-        left = -(-left // 32)
-        if left <= 1:
-            break
-    found = {(r.number, r.block): _unpacked(r.data) for r in parts.toLocalIterator()}
-    return [
-        np.concatenate([found[number, block] for block in range(_BLOCKS)]) if found else np.zeros(size, np.uint64)
-        for number, size in enumerate(sizes)
-    ]
-
-
 def count_tables(docs: DataFrame, code: Code) -> list[np.ndarray]:
     """Counts of both bits by hashed context, over all of `docs`: (slots, 2) for each context."""
     size = 2 << code.power
@@ -197,24 +154,6 @@ def count_tables(docs: DataFrame, code: Code) -> list[np.ndarray]:
     return [x.reshape(-1, 2) for x in gather_tables(docs, [size] * len(CONTEXTS), fill)]
 
 
-def _packed(number: int, block: int, part: int, table: np.ndarray) -> pa.RecordBatch:
-    """Counts as compressed bytes, four each where all fit, else eight."""
-    wide = int(table.max(initial=0)) >> 32 > 0
-    raw = np.asarray(table, np.uint64 if wide else np.uint32)
-    head = bytes([8 if wide else 4]) + len(raw).to_bytes(8, "little")
-    return pa.RecordBatch.from_arrays(
-        [pa.array([number], pa.int32()), pa.array([block], pa.int32()), pa.array([part], pa.int32()),
-         pa.array([head + pa.compress(raw.tobytes(), "zstd", asbytes=True)], pa.binary())],
-        names=["number", "block", "part", "data"],
-    )
-
-
-def _unpacked(data: bytes) -> np.ndarray:
-    width, n = data[0], int.from_bytes(data[1:9], "little")
-    raw = pa.decompress(data[9:], width * n, "zstd", asbytes=True)
-    return np.frombuffer(raw, np.uint64 if width == 8 else np.uint32).astype(np.uint64)
-
-
 #: Characters (bytes) before that make a context of the spelling.
 ORDERS = (0, 1, 2, 3, 5)
 _SPELL_POWER = 20
@@ -267,7 +206,12 @@ def spelling_tables(docs: DataFrame) -> list[np.ndarray]:
             for table, own in zip(tables[2 * k : 2 * k + 2], pair):
                 table += np.bincount(own, minlength=size).view(np.uint64)
 
-    return gather_tables(docs, [size] * (2 * len(ORDERS)), fill)
+    return [_narrow(x) for x in gather_tables(docs, [size] * (2 * len(ORDERS)), fill)]
+
+
+def _narrow(table: np.ndarray) -> np.ndarray:
+    """The same counts in the fewest bytes: tasks get tables by broadcast, which takes disk on driver and executors."""
+    return table.astype(np.min_scalar_type(int(table.max(initial=0))))
 
 
 def spelling_log10(tables: list[np.ndarray], data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
@@ -296,9 +240,9 @@ class Mixer:
             gate = gate * (len(_LEVELS) + 1) + level[slots]
         return np.stack(columns, axis=1), gate
 
-    def log10_probability(self, steps: Steps) -> np.ndarray:
+    def log10_probability(self, steps: Steps, inputs: tuple[np.ndarray, np.ndarray] | None = None) -> np.ndarray:
         """Of each text's symbols. Blocks of a text follow each other; texts run side by side."""
-        inputs, gate = self.inputs(steps)
+        inputs, gate = inputs or self.inputs(steps)
         n_texts = len(steps.n_tokens)
         if not self.rate:
             z = np.clip(np.einsum("ij,ij->i", inputs, self.weights[gate]), -30, 30)
@@ -324,41 +268,74 @@ class Mixer:
             np.clip(own, -1, 1, out=own)
         return total / np.log(10)
 
-    def tune(self, texts: pa.Array, rounds: int = 4, prior: float = 20.0) -> "Mixer":
-        """Fit the gated weights, and the rate, on texts that the tables do not count.
+    def tune(self, docs: DataFrame, rounds: int = 4, prior: float = 20.0) -> "Mixer":
+        """Fit the gated weights, and the rate, on all texts of `docs`, which the tables do not count.
 
         Each gate's weights are a logistic regression by Newton's method, drawn to the weights
-        at the start as `prior` bits would draw them.
+        at the start as `prior` bits would draw them. Tasks add up slopes and bends, and the
+        gains of the rates; what meets on the driver does not grow with the texts.
         """
         start = self.weights.astype(np.float64)
         n = start.shape[1]
-        for _ in range(rounds):
-            slope = prior * (start - self.weights)
-            bend = np.tile(np.eye(n) * prior, (_GATES, 1, 1))
+        upper = np.triu_indices(n)
+        # The tables go out once for all rounds; only weights change.
+        held = docs.sparkSession.sparkContext.broadcast((self.code, self.odds, self.levels))
+        weights = self.weights
+
+        def newton(texts: pa.Array) -> np.ndarray:
+            mixer = Mixer(*held.value, weights)
+            slope, bend = np.zeros((_GATES, n)), np.zeros((_GATES, len(upper[0])))
             for _, words, places in text_words(texts, most=1 << 17):
-                steps = steps_of(self.code, words, places)
-                inputs, gate = self.inputs(steps)
-                chance = 1 / (1 + np.exp(-np.clip(np.einsum("ij,ij->i", inputs, self.weights[gate]), -30, 30)))
+                steps = steps_of(mixer.code, words, places)
+                inputs, gate = mixer.inputs(steps)
+                chance = 1 / (1 + np.exp(-np.clip(np.einsum("ij,ij->i", inputs, weights[gate]), -30, 30)))
                 error, spread = steps.bit - chance, chance * (1 - chance)
                 for i in range(n):
                     slope[:, i] += np.bincount(gate, error * inputs[:, i], _GATES)
-                    for j in range(i, n):
-                        own = np.bincount(gate, spread * inputs[:, i] * inputs[:, j], _GATES)
-                        bend[:, i, j] += own
-                        if i != j:
-                            bend[:, j, i] += own
-            self.weights = (self.weights + np.linalg.solve(bend, slope[:, :, None])[:, :, 0]).astype(np.float32)
-        gains = []
-        for rate in (0.0, 0.001, 0.003, 0.01, 0.03):
-            self.rate = rate
-            gains.append((sum(
-                self.log10_probability(steps_of(self.code, words, places)).sum()
-                for _, words, places in text_words(texts, most=1 << 17)
-            ), rate))
-        self.rate = max(gains)[1]
+                for k, (i, j) in enumerate(zip(*upper)):
+                    bend[:, k] += np.bincount(gate, spread * inputs[:, i] * inputs[:, j], _GATES)
+            return np.concatenate([slope, bend], axis=1).ravel()
+
+        for _ in range(rounds):
+            found = _summed(docs, newton, _GATES * (n + len(upper[0]))).reshape(_GATES, -1)
+            slope = prior * (start - weights) + found[:, :n]
+            bend = np.zeros((_GATES, n, n))
+            bend[:, upper[0], upper[1]] = bend[:, upper[1], upper[0]] = found[:, n:]
+            bend += np.eye(n) * prior
+            weights = (weights + np.linalg.solve(bend, slope[:, :, None])[:, :, 0]).astype(np.float32)
+        rates = (0.0, 0.001, 0.003, 0.01, 0.03)
+
+        def gains(texts: pa.Array) -> np.ndarray:
+            total = np.zeros(len(rates))
+            for _, words, places in text_words(texts, most=1 << 19):
+                mixer = Mixer(*held.value, weights)
+                steps = steps_of(mixer.code, words, places)
+                inputs = mixer.inputs(steps)
+                for k, mixer.rate in enumerate(rates):
+                    total[k] += mixer.log10_probability(steps, inputs).sum()
+            return total
+
+        self.rate = max(zip(_summed(docs, gains, len(rates)).tolist(), rates))[1]
+        self.weights = weights
+        held.destroy()
         return self
 
 
+def _summed(docs: DataFrame, work, size: int) -> np.ndarray:
+    """Sum of what `work` makes, an array of `size` numbers, of all texts."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(size)
+        for batch in batches:
+            total += work(batch.column(0))
+        yield pa.RecordBatch.from_arrays([pa.array(np.arange(size)), pa.array(total)], names=["at", "value"])
+
+    out = np.zeros(size)
+    for row in docs.select("text").mapInArrow(run, "at long, value double").groupBy("at").agg(F.sum("value").alias("value")).collect():
+        out[row.at] = row.value
+    return out
+
+
 def counted_words(docs: DataFrame) -> DataFrame:
     """(word, spelling, n): every distinct word by 64-bit hash, in lower case, with its count in rows that are not `held_out`."""
 
@@ -411,12 +388,13 @@ def spelled_share(rest: DataFrame, total: int) -> float:
     return max(zip([x if x is not None else -np.inf for x in found], shares))[1]
 
 
-def fit(docs: DataFrame, counts: DataFrame, *, frequent: int = 4096, tuning: int = 1024, power: int = 20) -> Mixer:
+def fit(docs: DataFrame, counts: DataFrame, *, frequent: int = 4096, tenth: int = 10, power: int = 20) -> Mixer:
     """Learn from all rows of `docs` that are not `held_out`; `counts` are their word counts.
 
     `frequent` words are symbols. The tables' size, 2 ** `power` slots for each context, is
-    fixed. Gated weights are fitted on the documents whose ids hash smallest, a tenth but at
-    most `tuning`, which the tables leave out; of rows with equal ids one is taken.
+    fixed. Of the documents, one in `tenth` by a hash of the id, however many, is set apart: its counts
+    are no part of the tables while the gated weights are fitted on all of it, since weights fitted on
+    counted texts would trust the counts too much. Then its counts join the tables, which so hold every row.
     """
     learn = docs.where(~F.col("held_out"))
     sums = counts.where(F.col("n") > 0).agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("*")).first()
@@ -428,18 +406,20 @@ def fit(docs: DataFrame, counts: DataFrame, *, frequent: int = 4096, tuning: int
         Vocabulary(hashes), top["n"].to_numpy(np.int64)[order],
         int(sums[0]) + texts, int(sums[1]) + (texts > 0), texts, power,
     )
-    known = learn.select("text", F.xxhash64("doc_id").alias("_h"))
-    smallest = known.select("_h").distinct().orderBy("_h").limit(min(tuning, texts // 10))
-    last = smallest.agg(F.max("_h")).first()[0]
-    apart = F.coalesce(F.col("_h") <= F.lit(last), F.lit(False)) if last is not None else F.lit(False)
-    tables = count_tables(known.where(~apart).select("text"), code)
-    odds = [np.log((t[:, 1] + 0.4) / (t[:, 0] + 0.4)).astype(np.float32) for t in tables]
-    levels = [np.digitize(t.sum(axis=1), _LEVELS).astype(np.int8) for t in tables[:2]]
+    apart = F.pmod(F.xxhash64(F.coalesce(F.col("doc_id").cast("string"), F.lit("null"))), F.lit(tenth)) == 0
+    tables = count_tables(learn.where(~apart).select("text"), code)
     weights = np.zeros((_GATES, len(CONTEXTS) + 1), dtype=np.float32)
     weights[:, 0] = 1.0
-    mixer = Mixer(code, odds, levels, weights)
-    sample = known.where(apart).dropDuplicates(["_h"]).orderBy("_h").select("text").toPandas()["text"].tolist()
-    return mixer.tune(pa.array(sample, pa.large_string()))
+    tuning = learn.where(apart).select("text")
+    mixer = Mixer(code, *_read_off(tables), weights).tune(tuning)
+    tables = [own + more for own, more in zip(tables, count_tables(tuning, code))]
+    return Mixer(code, *_read_off(tables), mixer.weights, mixer.rate)
+
+
+def _read_off(tables: list[np.ndarray]) -> tuple[list[np.ndarray], list[np.ndarray]]:
+    """What the mixer reads of the counts: log odds by slot, and levels of the first two contexts."""
+    odds = [np.log((t[:, 1] + 0.4) / (t[:, 0] + 0.4)).astype(np.float32) for t in tables]
+    return odds, [np.digitize(t.sum(axis=1), _LEVELS).astype(np.int8) for t in tables[:2]]
 
 
 def score(docs: DataFrame, *, folds: int = 5, held: int = 1, **options) -> DataFrame:

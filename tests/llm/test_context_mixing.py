@@ -156,3 +156,29 @@ def test_no_rows_and_nothing_to_learn_from(spark):
     docs = spark.createDataFrame([(k, prose(k, 9), None, None, None) for k in ids], SCHEMA)
     rows = cm.score(docs).collect()
     assert len(rows) == len(ids) and all(r.n_known == 0 and r.train_tokens == 0 for r in rows)
+
+
+def test_tables_and_weights_use_every_training_document(spark):
+    """Also more documents than any sample: those set apart for the weights are all used, and counted in the end."""
+    texts = [prose(k, 6) for k in range(12_000)]
+    docs = spark.createDataFrame([(k, t, False) for k, t in enumerate(texts)], "doc_id long, text string, held_out boolean").repartition(4)
+    counts = cm.word_counts(docs, cm.spelling_tables(docs.limit(50))).cache()
+    tuned, tune = [], cm.Mixer.tune
+
+    def noted(self, own, **options):
+        tuned.append(own.count())
+        return tune(self, own, **options)
+
+    cm.Mixer.tune = noted
+    try:
+        mixer = cm.fit(docs, counts, frequent=50, power=12)
+    finally:
+        cm.Mixer.tune = tune
+    assert tuned[0] > 1024
+    whole = cm.count_tables(docs.select("text"), mixer.code)
+    assert all(np.array_equal(a, b) for a, b in zip(mixer.odds, cm._read_off(whole)[0]))
+
+
+def test_spelling_tables_travel_in_few_bytes():
+    assert cm._narrow(np.array([0, 255], np.uint64)).dtype == np.uint8
+    assert cm._narrow(np.array([0, 2**32], np.uint64)).tolist() == [0, 2**32]
