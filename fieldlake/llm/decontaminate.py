@@ -2,8 +2,8 @@
 
 1. Features are the benchmark's words, weighted by their inverse document frequency in all
    documents. Passages are windows of words; each window is two neighbouring half-windows.
-2. A randomised SVD of the TF-IDF windows of a bounded sample of documents and of the
-   benchmark gives the latent basis; Spark adds up the products of its power iterations.
+2. A randomised SVD of the TF-IDF windows of all documents and of the benchmark gives the
+   latent basis; Spark adds up the products of its power iterations.
 3. Every window of every document is projected and compared by cosine with every item, as a
    whole and with each of its own windows if it is longer than one. Where an item's rarest word
    stands in a document with the item's first and last word in their places, the item is a
@@ -24,8 +24,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from fieldlake.llm.common import Scratch
-from fieldlake.llm.words import PLAIN, U64, text_words
+from fieldlake.llm.common import gather_tables
+from fieldlake.llm.words import PLAIN, U64, text_words, word_bounds, word_hashes
 
 _SLOTS = 1 << 20
 
@@ -43,6 +43,10 @@ class Vocabulary:
             left = left[table[slots] != left]
         self.rest = dict(zip(self.hashes[left].tolist(), left.tolist()))
 
+    def __reduce__(self):
+        # Tasks make the tables anew: 8 MB that need not travel.
+        return Vocabulary, (self.hashes,)
+
     @staticmethod
     def _slot(words: np.ndarray, shift: int) -> np.ndarray:
         return ((words >> U64(shift)) & U64(_SLOTS - 1)).astype(np.int64)
@@ -163,11 +167,53 @@ def windows_of(halves: np.ndarray, first_half: np.ndarray) -> np.ndarray:
     return out
 
 
-def latent_basis(sample: DataFrame, items: Items, *, half: int, rank: int, rounds: int = 2, seed: int = 3) -> np.ndarray:
-    """Orthonormal rows-by-features basis of the TF-IDF windows of a sample and of the items.
+def window_products(features: np.ndarray, places: np.ndarray, half: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """Pairs of known words (feature, feature, times): in how many windows of the texts their places stand together.
+
+    Words of one half are together in its own window and in that of the half before it, words of
+    neighbouring halves in one. Two places with the same word count twice, once for each order.
+    """
+    bounds, known, first_half = half_windows(features, places, half)
+    which = np.repeat(np.arange(len(bounds) - 1), np.diff(bounds))
+    has_before = np.ones(len(bounds) - 1, dtype=np.uint64)
+    has_before[first_half[:-1][first_half[:-1] < len(has_before)]] = 0
+    at = np.arange(len(known))
+    for back in range(2 * half):
+        here = at[back:]
+        apart = which[here] - which[here - back]
+        near = (apart == 0) | ((apart == 1) & (has_before[which[here]] > 0))
+        if not near.any():
+            break
+        here, apart = here[near], apart[near]
+        a, b = known[here], known[here - back]
+        times = np.where(apart == 0, 1 + has_before[which[here]], np.uint64(1))
+        yield a, b, np.where((a == b) & (back > 0), 2 * times, times)
+
+
+def _cell(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Number of a pair of features in a triangle of all pairs."""
+    low, high = np.minimum(a, b).astype(np.int64), np.maximum(a, b).astype(np.int64)
+    return high * (high + 1) // 2 + low
+
 
-    Both parts count alike. Each round multiplies the basis with the windows and back, in
-    Spark for the sample, and makes it orthonormal again.
+def window_matrix(docs: DataFrame, items: Items, half: int) -> np.ndarray:
+    """Features by features, over the windows of all documents: how often both are there. Whole numbers, so any order of rows gives the same."""
+    size = len(items.vocabulary.hashes)
+
+    def fill(tables: list[np.ndarray], data: np.ndarray, offsets: np.ndarray) -> None:
+        starts, ends, places = word_bounds(data, offsets, PLAIN)
+        for a, b, times in window_products(items.vocabulary.features(word_hashes(data, starts, ends)), places, half):
+            np.add.at(tables[0], _cell(a, b), times)
+
+    return gather_tables(docs, [size * (size + 1) // 2], fill)[0]
+
+
+def latent_basis(docs: DataFrame, items: Items, *, half: int, rank: int, rounds: int = 2, seed: int = 3, cells: int = 1 << 23) -> np.ndarray:
+    """Orthonormal rows-by-features basis of the TF-IDF windows of all documents and of the items.
+
+    Both parts count alike. Each round multiplies the basis with the windows and back, and makes it
+    orthonormal again. Up to `cells` pairs of features, the documents' part is a matrix that Spark
+    adds up once; beyond, Spark multiplies in every round. Both are the same product over every document.
     """
     size = len(items.vocabulary.hashes)
     rank = min(rank, size)
@@ -182,25 +228,23 @@ def latent_basis(sample: DataFrame, items: Items, *, half: int, rank: int, round
         before = np.zeros_like(windows)
         before[1:] = windows[:-1]
         before[first_half[:-1][first_half[:-1] < len(windows)]] = 0
-        np.add.at(out, known, (windows + before)[np.repeat(np.arange(len(windows)), np.diff(bounds))])
+        windows += before
+        order = np.argsort(known, kind="stable")
+        if len(order):
+            first = np.flatnonzero(np.concatenate([[True], np.diff(known[order]) > 0]))
+            of = np.repeat(np.arange(len(windows)), np.diff(bounds))[order]
+            out[known[order][first]] = sums_of(windows, of, np.append(first, len(of)))
         return out
 
     item_words = np.concatenate(items.words)
     item_features = items.vocabulary.features(item_words)
     item_places = np.concatenate([[0], np.cumsum([len(x) for x in items.words])])
+    whole = window_matrix(docs, items, half) if size * (size + 1) // 2 <= cells else None
 
     for _ in range(rounds):
         weighted = basis * idf[:, None]
-
-        def multiply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            total = np.zeros((size, rank), dtype=np.float32)
-            for batch in batches:
-                for _, words, places in text_words(batch.column(0), PLAIN, 1 << 17):
-                    total += product(items.vocabulary.features(words), places, weighted)
-            yield pa.RecordBatch.from_arrays([pa.array([total.tobytes()], pa.binary())], names=["sum"])
-
-        parts = [np.frombuffer(r[0], np.float32).reshape(size, rank) for r in sample.mapInArrow(multiply, "sum binary").collect()]
-        corpus = sum(parts, np.zeros((size, rank), np.float32)) * idf[:, None]
+        corpus = _matrix_product(whole, weighted) if whole is not None else _multiplied(docs, items, product, weighted)
+        corpus = corpus.astype(np.float32) * idf[:, None]
         bench = product(item_features, item_places, weighted) * idf[:, None]
         scaled = [x / n for x in (corpus, bench) if (n := np.linalg.norm(x)) > 0]
         if not scaled:
@@ -209,6 +253,35 @@ def latent_basis(sample: DataFrame, items: Items, *, half: int, rank: int, round
     return basis
 
 
+def _matrix_product(triangle: np.ndarray, basis: np.ndarray, rows: int = 512) -> np.ndarray:
+    """The symmetric matrix of a `window_matrix` times the basis, some rows at a time."""
+    size = len(basis)
+    out = np.zeros(basis.shape)
+    columns = np.arange(size)
+    for first in range(0, size, rows):
+        own = np.arange(first, min(first + rows, size))
+        part = triangle[_cell(own[:, None], columns[None, :])].astype(np.float64)
+        out[own] = part @ basis
+    return out
+
+
+def _multiplied(docs: DataFrame, items: Items, product, weighted: np.ndarray) -> np.ndarray:
+    """Sum of `product` over all documents, added up in Spark by blocks of features."""
+
+    def multiply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(weighted.shape)
+        for batch in batches:
+            for _, words, places in text_words(batch.column(0), PLAIN, 1 << 17):
+                total += product(items.vocabulary.features(words), places, weighted)
+        yield pa.RecordBatch.from_arrays([pa.array(np.arange(total.size)), pa.array(total.ravel())], names=["at", "value"])
+
+    out = np.zeros(weighted.size)
+    parts = docs.select("text").coalesce(2 * docs.sparkSession.sparkContext.defaultParallelism).mapInArrow(multiply, "at long, value double")
+    found = parts.groupBy("at").agg(F.sum("value").alias("value")).toPandas()
+    out[found["at"].to_numpy(np.int64)] = found["value"].to_numpy()
+    return out.reshape(weighted.shape)
+
+
 def common_subsequence(a: np.ndarray, b: np.ndarray) -> int:
     """Length of the longest common subsequence, bit-parallel in the first argument."""
     masks: dict[int, int] = {}
@@ -234,23 +307,11 @@ class Rules:
     answer: int = 4
 
 
-def basis_sample(docs: DataFrame, sample_docs: int = 2048) -> DataFrame:
-    """The `sample_docs` different texts that hash smallest, stored."""
-    texts = docs.where(F.col("text").isNotNull()).select("text", F.xxhash64("text").alias("_h"))
-    last = texts.select("_h").distinct().orderBy("_h").limit(sample_docs).agg(F.max("_h")).first()[0]
-    one_each = texts.where(F.col("_h") <= F.lit(last)).groupBy("_h").agg(F.first("text").alias("text"))
-    return Scratch(docs.sparkSession, "decontaminate").put(one_each.select("text"), "sample")
-
-
-def prepare(docs: DataFrame, items: Items, rules: Rules, *, sample: DataFrame | None = None, sample_docs: int = 2048, rank: int = 256) -> Items:
-    """Weights from all documents, the latent basis from a `basis_sample`, and the items' vectors.
-
-    Only the basis depends on the sample. Its tasks, and so the matrices that meet on the driver, are at most four.
-    """
+def prepare(docs: DataFrame, items: Items, rules: Rules, *, rank: int = 256) -> Items:
+    """Weights and the latent basis from all documents, and the items' vectors."""
     counts, total = document_counts(docs, items)
     items.idf = np.log((total + 1) / (counts + 1)).astype(np.float32) + 0.01
-    sample = basis_sample(docs, sample_docs) if sample is None else sample
-    basis = latent_basis(sample.coalesce(4), items, half=rules.half, rank=rank)
+    basis = latent_basis(docs, items, half=rules.half, rank=rank)
     items.basis = basis * items.idf[:, None]
     vectors = np.stack([items.basis[items.vocabulary.features(x)].sum(axis=0) for x in items.words])
     parts, owners = [vectors], [np.arange(len(vectors))]
@@ -331,17 +392,13 @@ def find(items: Items, rules: Rules, texts: pa.Array) -> list[tuple[int, int, fl
     return [(row, i, cosine, share, at) for (row, i), (share, cosine, at) in sorted(found.items())]
 
 
-def _blocks(
-    docs: DataFrame, benchmark: DataFrame, rules: Rules, block: int, *, sample_docs: int = 2048, **options
-) -> Iterator[Items]:
-    sample = None
+def _blocks(docs: DataFrame, benchmark: DataFrame, rules: Rules, block: int, **options) -> Iterator[Items]:
     rows = benchmark.select("item_id", "text").distinct().toPandas().sort_values(["item_id", "text"])
     for at in range(0, len(rows), block):
         part = rows.iloc[at : at + block]
         items = items_of([int(x) if x == x else None for x in part["item_id"]], part["text"].tolist())
         if items.ids:
-            sample = basis_sample(docs, sample_docs) if sample is None else sample
-            yield prepare(docs, items, rules, sample=sample, **options)
+            yield prepare(docs, items, rules, **options)
 
 
 def leaks(docs: DataFrame, benchmark: DataFrame, *, rules: Rules = Rules(), block: int = 1024, **options) -> DataFrame:

@@ -4,6 +4,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 
 from fieldlake.llm import decontaminate
+from fieldlake.llm.words import hash_word
 from helpers import SCHEMA, no_documents, odd_documents, plain, prose, read
 
 
@@ -140,3 +141,24 @@ def test_long_items_are_met_by_their_windows(spark):
     words = ["q" + w if j % 6 == 3 or j == 0 else w for j, w in enumerate(prose(4000, 500).split())]
     text = f"{prose(4100, 200)} {' '.join(words)} {prose(4101, 150)}"
     assert [r[:2] for r in decontaminate.find(items, rules, pa.array([text]))] == [(0, 0)]
+
+
+def test_the_basis_comes_from_every_window_of_every_document(spark):
+    """Also of copies and of documents beyond any sample; the matrix and the products by rounds are the same."""
+    texts = [" ".join(f"w{(i * 7 + k * k) % 13}" for k in range(5 * i % 90)) for i in range(3000)] + [None, ""]
+    docs = spark.createDataFrame([(t,) for t in texts], "text string").repartition(5)
+    items = decontaminate.items_of([1, 2], ["w1 w2 w3 w4 w5 w6 w2", "w7 w8 w9 w1"])
+    half = 4
+    expected = np.zeros((len(items.vocabulary.hashes),) * 2)
+    for text in texts:
+        words = [hash_word(w) for w in (text or "").split()]
+        for at in range(0, len(words), half):
+            own = items.vocabulary.features(np.array(words[at : at + 2 * half], np.uint64))
+            counts = np.bincount(own[own >= 0], minlength=len(expected))
+            expected += np.outer(counts, counts)
+    found = decontaminate.window_matrix(docs, items, half)
+    assert np.array_equal(decontaminate._matrix_product(found, np.eye(len(expected))), expected)
+    items.idf = np.ones(len(expected), np.float32)
+    one = decontaminate.latent_basis(docs, items, half=half, rank=4)
+    other = decontaminate.latent_basis(docs, items, half=half, rank=4, cells=0)
+    assert np.allclose(one @ one.T, other @ other.T, atol=1e-3)
