@@ -1,6 +1,7 @@
 """Convolutional toxicity classifier: hashed word embeddings, several filter widths, max pooling.
 
-The network is trained in numpy on a bounded sample of labelled documents. A word's vector is
+The network is trained in numpy on all labelled documents: Spark deals them out in shards, each
+shard goes through an epoch from the same parameters, and the parameters are averaged. A word's vector is
 the sum of two rows chosen by two hashes of the word and of one row each for its first four
 and five bytes, which inflected forms share. What too few training documents have adds
 nothing, so that a rare word neither is learned by heart nor borrows a meaning. Thresholds
@@ -10,6 +11,7 @@ shifted so that every language's threshold is at `cut`.
 
 from __future__ import annotations
 
+import copy
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
@@ -19,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from fieldlake.llm.common import Scratch, fold_of
-from fieldlake.llm.words import PLAIN, U64, pieces, word_bounds, word_hashes
+from fieldlake.llm.words import PLAIN, U64, pieces, signed, word_bounds, word_hashes
 
 # Letters that tell languages of Latin script apart; a text without any is "other".
 LETTERS = {"de": "äöüßÄÖÜ", "fr": "éèêçàùâîôûÉÈÊÇÀ", "es": "ñíóáúÑÍÓÁÚ¿¡"}
@@ -133,79 +135,6 @@ def runs(texts: pa.Array):
         yield first, np.stack(keys, axis=1), starts, languages
 
 
-def train(texts: list[str | None], labels: np.ndarray, *, epochs: int = 12, batch: int = 64, least: int = 5,
-          rate: float = 0.1, cut: float = 0.7, seed: int = 7,
-          starts_at_most: int = 3, enough: float = 0.97, **sizes) -> Network:
-    """Fit a network and its thresholds; a fifth of the texts fits the thresholds only.
-
-    `least`: documents that must have a word for it to be learned. Training starts anew, at
-    most `starts_at_most` times, until every language's F0.5 on that fifth is `enough`; the
-    best network counts. Without both labels it is constant.
-    """
-    words, starts, languages = [], [0], []
-    for _, own, own_starts, own_languages in runs(pa.array(texts, pa.large_string())):
-        words.append(own)
-        starts.extend((own_starts[1:] + starts[-1]).tolist())
-        languages += own_languages
-    words = np.concatenate(words) if words else np.zeros((0, 1 + len(PREFIXES)), np.uint64)
-    starts = np.array(starts)
-    owner = np.repeat(np.arange(len(labels)), np.diff(starts))
-    known = [_in_documents(words[:, kind], owner, least) for kind in range(words.shape[1])]
-    net = Network(seed=seed, cut=cut, **sizes).start(np.concatenate(known))
-    if not len(labels) or labels.min() == labels.max():
-        net.out[:] = 0
-        net.out[-1] = -5.0 if not len(labels) or not labels.max() else 5.0
-        return net
-
-    held = np.random.default_rng(seed).random(len(labels)) < 0.2
-    weight = np.where(labels == 1, 0.5 / max(1, (labels == 1).sum()), 0.5 / max(1, (labels == 0).sum())) * len(labels)
-    groups = {x: held & np.array([y == x for y in languages]) for x in sorted(set(languages))}
-    best, best_f = net, -1.0
-    for turn in range(starts_at_most):
-        net = Network(seed=seed + turn, cut=cut, **sizes).start(np.concatenate(known))
-        places = net.places(words)
-        logits = _descend(net, places, starts, labels, weight, np.flatnonzero(~held), epochs, batch, rate)
-        net.thresholds = {"": _threshold(logits[held], labels[held])[0]}
-        found = []
-        for language, own in groups.items():
-            if (labels[own] == 1).sum() >= 30 and (labels[own] == 0).sum() >= 30:
-                net.thresholds[language], f = _threshold(logits[own], labels[own])
-                found.append(f)
-        # A start that misses one language's words is worth no more than its worst language.
-        worst = min(found, default=_threshold(logits[held], labels[held])[1])
-        if worst > best_f:
-            best, best_f = net, worst
-        if worst >= enough:
-            break
-    return best
-
-
-def _descend(net: Network, places, starts, labels, weight, learn, epochs: int, batch: int, rate: float) -> np.ndarray:
-    """Train on the texts `learn`; logits of all texts."""
-    rng = np.random.default_rng(net.seed)
-    squares = {"out": np.full_like(net.out, 1e-3), "tables": [np.full(net.rows + 1, 1e-3, np.float32) for _ in net.tables],
-               "kernels": [np.full_like(x, 1e-3) for x in net.kernels], "biases": [np.full_like(x, 1e-3) for x in net.biases]}
-    for _ in range(epochs):
-        for part in np.array_split(rng.permutation(learn), max(1, len(learn) // batch)):
-            own_starts = np.concatenate([[0], np.cumsum(starts[part + 1] - starts[part])])
-            at = np.concatenate([np.arange(starts[i], starts[i + 1]) for i in part])
-            _step(net, squares, [x[at] for x in places], own_starts, labels[part], weight[part], rate)
-    return np.concatenate([
-        net.raw([x[starts[i] : starts[j]] for x in places], starts[i : j + 1] - starts[i])
-        for i, j in ((k, min(k + 256, len(labels))) for k in range(0, len(labels), 256))
-    ])
-
-
-def _in_documents(keys: np.ndarray, owner: np.ndarray, least: int) -> np.ndarray:
-    """Keys that at least so many documents have."""
-    order = np.lexsort((owner, keys))
-    keys, owner = keys[order], owner[order]
-    fresh = np.ones(len(keys), dtype=bool)
-    fresh[1:] = (keys[1:] != keys[:-1]) | (owner[1:] != owner[:-1])
-    found, times = np.unique(keys[fresh], return_counts=True)
-    return found[times >= least]
-
-
 def _step(net: Network, squares: dict, places, starts, labels, weight, rate: float) -> None:
     features, best, vectors = net.pooled(places, starts, argmax=True)
     logits = features @ net.out[:-1] + net.out[-1]
@@ -244,19 +173,19 @@ def _move(value: np.ndarray, grad: np.ndarray, square: np.ndarray, rate: float)
     value -= (rate * grad / np.sqrt(square)).astype(np.float32)
 
 
-def _threshold(logits: np.ndarray, labels: np.ndarray) -> tuple[float, float]:
-    """Logit between texts at which F0.5 is best, the middle of the gap, and that F0.5.
+def _threshold(logits: np.ndarray, ones: np.ndarray, zeros: np.ndarray) -> tuple[float, float]:
+    """Logit between the rising `logits` at which F0.5 is best, the middle of the gap, and that F0.5.
 
-    F0.5 counts a clean text that is rejected more than a toxic one that stays.
+    `ones` and `zeros` count the toxic and the clean texts of each logit. F0.5 counts a clean text
+    that is rejected more than a toxic one that stays.
     """
-    order = np.argsort(-logits)
-    hits = np.cumsum(labels[order] == 1)
+    logits, hits, taken = logits[::-1], np.cumsum(ones[::-1]), np.cumsum((ones + zeros)[::-1])
     if not len(hits) or not hits[-1]:
         return float(logits.max(initial=0.0)) + 1.0, 0.0
-    f = 1.25 * hits / (np.arange(1, len(hits) + 1) + 0.25 * hits[-1])
+    f = 1.25 * hits / (taken + 0.25 * hits[-1])
     best = int(np.argmax(f))
-    below = logits[order[best + 1]] if best + 1 < len(order) else logits[order[best]] - 1.0
-    return float((logits[order[best]] + below) / 2), float(f[best])
+    below = logits[best + 1] if best + 1 < len(logits) else logits[best] - 1.0
+    return float((logits[best] + below) / 2), float(f[best])
 
 
 def training_sample(docs: DataFrame, labels: DataFrame, *, folds: int = 3, held: int = 1, per_label: int = 3000):
@@ -275,8 +204,178 @@ def training_sample(docs: DataFrame, labels: DataFrame, *, folds: int = 3, held:
     return rows["text"].tolist(), rows["toxic"].to_numpy(np.int64)
 
 
-def fit(docs: DataFrame, labels: DataFrame, *, folds: int = 3, held: int = 1, per_label: int = 3000, **options) -> Network:
-    return train(*training_sample(docs, labels, folds=folds, held=held, per_label=per_label), **options)
+def labelled(docs: DataFrame, labels: DataFrame, *, folds: int = 3, held: int = 1, shard_rows: int = 6000, scratch: Scratch | None = None) -> DataFrame:
+    """(shard, place, aside, text, toxic) of every labelled document that is not of the held-out fold, stored by shard.
+
+    Of several labels of a document the highest counts, of several texts the smallest, null first.
+    A fifth of the documents, by a hash of the id as `place` is, stands `aside` for the thresholds.
+    """
+    scratch = scratch or Scratch(docs.sparkSession, "toxic")
+    known = labels.where(F.col("toxic").isin(0, 1) & F.col("doc_id").isNotNull()).where(fold_of("doc_id", folds) != held)
+    known = known.groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
+    text = F.struct(F.col("text").isNotNull().alias("full"), "text")
+    rows = docs.select("doc_id", "text").join(known, "doc_id").groupBy("doc_id").agg(
+        F.min(text)["text"].alias("text"), F.first("toxic").cast("int").alias("toxic")
+    )
+    rows = scratch.put(rows.select(F.xxhash64("doc_id").alias("place"), "text", "toxic"), "rows")
+    shards = max(1, -(-rows.count() // shard_rows))
+    aside = F.pmod(F.shiftright("place", 32), F.lit(5)) == 0
+    return scratch.put_bucketed(
+        rows.select(F.pmod("place", F.lit(shards)).alias("shard"), "place", aside.alias("aside"), "text", "toxic"), "shards", "shard"
+    )
+
+
+def _read(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, list[str]]:
+    """Keys of words, starts of texts and languages of all texts together."""
+    words, starts, languages = [np.zeros((0, 1 + len(PREFIXES)), np.uint64)], [0], []
+    for _, own, own_starts, own_languages in runs(texts):
+        words.append(own)
+        starts.extend((own_starts[1:] + starts[-1]).tolist())
+        languages += own_languages
+    return np.concatenate(words), np.array(starts), languages
+
+
+def known_marks(rows: DataFrame, least: int) -> np.ndarray:
+    """Which of the 2 ** 20 marks belong to a key that at least so many of the documents have."""
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for _, words, starts, _ in runs(batch.column(0)):
+                owner = np.repeat(np.arange(len(starts) - 1), np.diff(starts))
+                for kind in range(words.shape[1]):
+                    own = words[:, kind]
+                    order = np.lexsort((owner, own))
+                    keys, at = own[order], owner[order]
+                    fresh = np.ones(len(keys), dtype=bool)
+                    fresh[1:] = (keys[1:] != keys[:-1]) | (at[1:] != at[:-1])
+                    found, times = np.unique(keys[fresh], return_counts=True)
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(np.full(len(found), kind, np.int32)), pa.array(signed(found)), pa.array(times)], names=["kind", "key", "n"]
+                    )
+
+    keys = rows.select("text").mapInArrow(count, "kind int, key long, n long").groupBy("kind", "key").agg(F.sum("n").alias("n"))
+    marks = keys.where(F.col("n") >= least).select(F.shiftrightunsigned("key", 44).alias("mark")).distinct()
+    out = np.zeros(1 << 20, dtype=bool)
+    # At most 2 ** 20 numbers, however many words there are.
+    out[marks.toPandas()["mark"].to_numpy(np.int64)] = True
+    return out
+
+
+def fit(docs: DataFrame, labels: DataFrame, *, folds: int = 3, held: int = 1, shard_rows: int = 6000, epochs: int = 12, batch: int = 64,
+        least: int = 5, rate: float = 0.1, cut: float = 0.7, seed: int = 7, starts_at_most: int = 3, enough: float = 0.97, **sizes) -> Network:
+    """A network, and its thresholds, from all labelled documents but those of the held-out fold; a fifth fits the thresholds only.
+
+    `least`: documents that must have a word for it to be learned. Training starts anew, at
+    most `starts_at_most` times, until every language's F0.5 on that fifth is `enough`; the
+    best network counts. Without both labels it is constant. A task holds the documents of one
+    shard, about `shard_rows`.
+    """
+    scratch = Scratch(docs.sparkSession, "toxic")
+    rows = labelled(docs, labels, folds=folds, held=held, shard_rows=shard_rows, scratch=scratch)
+    counts = {(r.toxic, r.aside): r.n for r in rows.groupBy("toxic", "aside").agg(F.count("*").alias("n")).collect()}
+    ones, zeros = (sum(n for (toxic, _), n in counts.items() if toxic == x) for x in (1, 0))
+    net = Network(seed=seed, cut=cut, **sizes).start(np.zeros(0, np.uint64))
+    if not ones or not zeros:
+        net.out[:] = 0
+        net.out[-1] = 5.0 if ones else -5.0
+        scratch.keep_only()
+        return net
+    known = known_marks(rows, least)
+    shards = rows.agg(F.max("shard")).first()[0] + 1
+    weights = np.array([0.5 / zeros, 0.5 / ones]) * (ones + zeros)
+    best, best_f = net, -1.0
+    for turn in range(starts_at_most):
+        net = Network(seed=seed + turn, cut=cut, **sizes).start(np.zeros(0, np.uint64))
+        net.known = known
+        squares = {"out": np.full_like(net.out, 1e-3), "tables": [np.full(net.rows + 1, 1e-3, np.float32) for _ in net.tables],
+                   "kernels": [np.full_like(x, 1e-3) for x in net.kernels], "biases": [np.full_like(x, 1e-3) for x in net.biases]}
+        for epoch in range(epochs):
+            _epoch(rows.where("not aside"), shards, net, squares, weights, epoch, batch, rate)
+        worst = _fit_thresholds(rows.where("aside"), net)
+        # A start that misses one language's words is worth no more than its worst language.
+        if worst > best_f:
+            best, best_f = net, worst
+        if worst >= enough:
+            break
+    scratch.keep_only()
+    return best
+
+
+def _epoch(rows: DataFrame, shards: int, net: Network, squares: dict, weights: np.ndarray, epoch: int, batch: int, rate: float) -> None:
+    """Every shard goes through its documents once from the same parameters; their mean is the new state."""
+    sent = rows.sparkSession.sparkContext.broadcast((net, squares))
+    state = _state(net, squares)
+
+    def learn(key: tuple, group: pa.Table) -> pa.Table:
+        own, squares = copy.deepcopy(sent.value)
+        group = group.sort_by("place")
+        words, starts, _ = _read(group.column("text").combine_chunks())
+        places, labels = own.places(words), group.column("toxic").to_numpy()
+        rng = np.random.default_rng([own.seed, epoch, key[0].as_py()])
+        for part in np.array_split(rng.permutation(len(labels)), max(1, len(labels) // batch)):
+            own_starts = np.concatenate([[0], np.cumsum(starts[part + 1] - starts[part])])
+            at = np.concatenate([np.arange(starts[i], starts[i + 1]) for i in part])
+            _step(own, squares, [x[at] for x in places], own_starts, labels[part], weights[labels[part]], rate)
+        return _sums(key[0].as_py(), 1, _state(own, squares))
+
+    def add(key: tuple, group: pa.Table) -> pa.Table:
+        total = sum(np.frombuffer(x.as_py(), np.float32).astype(np.float64) for x in group.column("data"))
+        return pa.table({"part": [key[0].as_py()], "block": pa.array([key[1].as_py()], pa.int32()),
+                         "n": [sum(group.column("n").to_pylist())], "data": [total.astype(np.float32).tobytes()]})
+
+    schema = "part long, block int, n long, data binary"
+    parts = rows.groupBy("shard").applyInArrow(learn, schema)
+    while shards > 1:
+        parts = parts.withColumn("part", F.floor(F.col("part") / 32)).groupBy("part", "block").applyInArrow(add, schema)
+        shards = -(-shards // 32)
+    found = sorted((r.block, r.n, r.data) for r in parts.toLocalIterator())
+    sent.destroy()
+    if found:
+        mean = np.frombuffer(b"".join(x for *_, x in found), np.float32) / np.float32(found[0][1])
+        for x, own in zip(state, np.split(mean, np.cumsum([x.size for x in state])[:-1])):
+            x[...] = own.reshape(x.shape)
+
+
+def _state(net: Network, squares: dict) -> list[np.ndarray]:
+    """All arrays that training changes."""
+    sums = [*squares["tables"], *squares["kernels"], *squares["biases"], squares["out"]]
+    return [*net.tables, *net.kernels, *net.biases, net.out, *sums]
+
+
+def _sums(part: int, n: int, state: list[np.ndarray], blocks: int = 16) -> pa.Table:
+    data = [x.tobytes() for x in np.array_split(np.concatenate([x.ravel() for x in state]), blocks)]
+    return pa.table({"part": [part] * blocks, "block": pa.array(range(blocks), pa.int32()), "n": [n] * blocks, "data": data})
+
+
+def _fit_thresholds(rows: DataFrame, net: Network, steps: int = 1 << 11) -> float:
+    """Thresholds of the languages, from counts of all rows by logit in steps of 1 / `steps`; the worst language's F0.5."""
+    sent = rows.sparkSession.sparkContext.broadcast(net)
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for first, words, starts, languages in runs(batch.column(0)):
+                logits = np.clip(sent.value.raw(sent.value.places(words), starts), -30, 30)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(languages, pa.string()), pa.array(np.rint(logits * steps).astype(np.int32)), batch.column(1).slice(first, len(languages))],
+                    names=["language", "at", "toxic"],
+                )
+
+    rows = rows.select("text", "toxic").mapInArrow(count, "language string, at int, toxic int")
+    # At most 60 * steps rows a language.
+    found = rows.groupBy("language", "at").agg(F.count_if(F.col("toxic") == 1).alias("ones"), F.count_if(F.col("toxic") == 0).alias("zeros")).toPandas()
+    sent.destroy()
+
+    def of(own) -> tuple[float, float]:
+        own = own.groupby("at")[["ones", "zeros"]].sum().sort_index()
+        return _threshold(own.index.to_numpy(np.float64) / steps, own["ones"].to_numpy(), own["zeros"].to_numpy())
+
+    net.thresholds = {"": of(found)[0]}
+    worst = []
+    for language, own in found.groupby("language"):
+        if own["ones"].sum() >= 30 and own["zeros"].sum() >= 30:
+            net.thresholds[language], f = of(own)
+            worst.append(f)
+    return min(worst, default=of(found)[1])
 
 
 def _scores(net: Network, texts: pa.Array) -> np.ndarray:

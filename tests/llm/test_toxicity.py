@@ -106,3 +106,16 @@ def test_no_rows_or_one_label_only(spark):
     assert toxicity.score(none, constant).count() == 0
     assert {r.predicted for r in toxicity.score(docs, constant).collect()} == {0}
     assert toxicity.keep_clean(docs, toxicity.fit(docs, labels.where("toxic = 0"))).count() == 30
+
+
+def test_every_labelled_document_is_learned_from(spark):
+    """A word that only documents beyond 3,000 of a label have is learned, in several shards."""
+    texts = [(k, f"good day number {'vile' if k % 2 else 'nice'} {'zzz' if k % 9 == 1 else 'plain'}", k % 2) for k in range(16_000)]
+    docs = spark.createDataFrame([(k, t, None, None, None) for k, t, _ in texts], SCHEMA).repartition(4)
+    labels = spark.createDataFrame([(k, x) for k, _, x in texts], "doc_id long, toxic int")
+    rows = toxicity.labelled(docs, labels, shard_rows=2000)
+    n = labels.where(toxicity.fold_of("doc_id", 3) != 1).count()
+    assert rows.count() == n > 10_000 and rows.select("shard").distinct().count() == -(-n // 2000)
+    net = toxicity.fit(docs, labels, shard_rows=2000, epochs=3, starts_at_most=1)
+    wrong = toxicity.score(docs, net).join(labels, "doc_id").where("predicted <> toxic").count()
+    assert wrong == 0
