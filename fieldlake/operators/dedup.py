@@ -4,10 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-_ROW = "_row_of_key"
+from fieldlake.sinks.settle import settle
+
+_ROW, _TIMES = "_row_of_key", "_times"
 
 
 def first_per_key(
@@ -28,3 +32,24 @@ def first_per_key(
 def latest_per_key(df: DataFrame, keys: Sequence[str], by: str) -> DataFrame:
     """The row with the greatest `by` of each key; rows without a `by` come last."""
     return first_per_key(df, keys, order=[F.col(by).desc_nulls_last()])
+
+
+def settled_first_per_key(
+    df: DataFrame, keys: Sequence[str], label: str, order: Sequence[Column] = (), most: int = 1_000_000
+) -> DataFrame:
+    """`first_per_key`, but only rows whose key comes more than once are sorted and shuffled.
+
+    The rows are settled first, then the keys that come more than once; the shuffle for
+    these carries keys alone. Beyond `most` such keys, too many to broadcast, all rows are ranked.
+    """
+    stored = settle(df, f"{label}-rows")
+    times = stored.groupBy(*keys).agg(F.count(F.lit(1)).alias(_TIMES))
+    repeated = settle(times.where(F.col(_TIMES) > 1).select(*keys), f"{label}-repeated")
+    if repeated.count() > most:
+        return first_per_key(stored, keys, order)
+
+    def having(how: str) -> DataFrame:
+        same = [F.col(f"r.`{k}`").eqNullSafe(F.col(f"k.`{k}`")) for k in keys]
+        return stored.alias("r").join(F.broadcast(repeated).alias("k"), reduce(Column.__and__, same), how)
+
+    return having("left_anti").unionByName(first_per_key(having("left_semi"), keys, order))

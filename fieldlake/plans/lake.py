@@ -13,7 +13,8 @@ from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 
-from fieldlake.contracts import DIM_FARMS, FACT_CLIMATE, FACT_WEATHER, FACT_YIELD, ROLLUPS
+from fieldlake.contracts import CLIMATE_FEED, DIM_FARMS, FACT_CLIMATE, FACT_WEATHER, FACT_YIELD, FARM_FEED, ROLLUPS, Contract
+from fieldlake.operators.dedup import settled_first_per_key
 from fieldlake.plans import model
 from fieldlake.plans.charts import climate_moments
 from fieldlake.plans.rollups import build_rollups
@@ -60,9 +61,13 @@ class Lake:
             del _LAKES[key]
 
     def feed(self, name: str) -> DataFrame:
-        """A raw feed; never stored."""
+        """A raw feed, computed whenever it is read."""
         return derive_feed(self.spark, self.source_dir, name)
 
+    def _unique(self, contract: Contract) -> DataFrame:
+        """One row per key of a feed, whose rows are stored for that."""
+        return settled_first_per_key(self._counted(self.feed(contract.name), contract.name), contract.key, contract.name)
+
     def row_counts(self, names: Sequence[str], label: str) -> DataFrame:
         """One row per feed or table, its name and its rows: what was counted when the star was stored."""
         self.farms, self.stations, self.star()
@@ -73,7 +78,7 @@ class Lake:
 
     @property
     def farms(self) -> DataFrame:
-        return self._once("clean_farms", lambda: model.clean_farms(self._counted(self.feed("feed_farms"), "feed_farms")))
+        return self._once("clean_farms", lambda: model.clean_farms(self._unique(FARM_FEED), unique=True))
 
     @property
     def stations(self) -> DataFrame:
@@ -106,7 +111,7 @@ class Lake:
     def fact_climate(self) -> DataFrame:
         return self._table(
             FACT_CLIMATE,
-            lambda: model.fact_climate(model.clean_climate(self._counted(self.feed("feed_climate"), "feed_climate"))),
+            lambda: model.fact_climate(model.clean_climate(self._unique(CLIMATE_FEED), unique=True)),
         )
 
     def star(self) -> dict[str, DataFrame]:

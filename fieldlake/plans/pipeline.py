@@ -7,6 +7,8 @@ from collections.abc import Collection
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from fieldlake.contracts import FEEDS
+from fieldlake.operators.dedup import settled_first_per_key
 from fieldlake.plans import analysis, checks, model
 from fieldlake.plans.rollups import build_rollups
 from fieldlake.sinks.database import reload_database
@@ -55,7 +57,8 @@ def refresh(
         clean, seen = {}, {}
         for name, cleaner in _CLEANERS.items():
             feed, seen[name] = counted(feeds[name], name)
-            clean[name] = settle(cleaner(feed, unique), f"clean-{name}")
+            rows = feed if unique else settled_first_per_key(feed, FEEDS[name].key, name)
+            clean[name] = settle(cleaner(rows, True), f"clean-{name}")
 
         farms = clean["feed_farms"]
         snapshot = Snapshot(spark, target, carry=True)

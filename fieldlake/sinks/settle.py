@@ -144,8 +144,11 @@ def settle_table(
     return table
 
 
-def bucket_count(spark: SparkSession, stored: DataFrame, bucket_bytes: int = 128 << 20) -> int:
-    """Buckets of about `bucket_bytes` of a stored frame, at least a few to share the work."""
+def bucket_count(spark: SparkSession, stored: DataFrame, bucket_bytes: int = 16 << 20) -> int:
+    """Buckets of about `bucket_bytes` of a stored frame, at least a few to share the work.
+
+    One task sorts a bucket to write it, and rows in memory take many times their Parquet size.
+    """
     least = min(8, spark.sparkContext.defaultParallelism)
     return max(least, min(-(-stored_bytes(spark, stored) // bucket_bytes), 50_000))
 
