@@ -26,6 +26,24 @@ _LAKES: dict[tuple, "Lake"] = {}
 
 _SOURCES = sorted({table for feed in DERIVED.values() for table in feed.tables})
 
+#: Tables of the star in their order, and the property of a lake that has each.
+_STAR = {
+    "dim_farms": "dim_farms",
+    "dim_weather_stations": "dim_stations",
+    "fact_crop_yield": "fact_yield",
+    "fact_weather_observations": "fact_weather",
+    "fact_global_climate_environment": "fact_climate",
+}
+
+
+class _Asked(dict):
+    def __init__(self, lake: "Lake"):
+        self.lake = lake
+
+    def __missing__(self, name: str) -> DataFrame:
+        self[name] = getattr(self.lake, _STAR[name])
+        return self[name]
+
 
 class Lake:
     def __init__(self, spark: SparkSession, source_dir: str):
@@ -115,13 +133,11 @@ class Lake:
         )
 
     def star(self) -> dict[str, DataFrame]:
-        return {
-            "dim_farms": self.dim_farms,
-            "dim_weather_stations": self.dim_stations,
-            "fact_crop_yield": self.fact_yield,
-            "fact_weather_observations": self.fact_weather,
-            "fact_global_climate_environment": self.fact_climate,
-        }
+        return {name: self.asked()[name] for name in _STAR}
+
+    def asked(self) -> dict[str, DataFrame]:
+        """The star, each table of which is stored when it is first asked for."""
+        return _Asked(self)
 
     @property
     def rollups(self) -> dict[str, DataFrame]:

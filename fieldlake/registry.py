@@ -460,57 +460,57 @@ def stage_row_counts(lake):
 
 @query
 def dq_duplicate_keys(lake):
-    return quality.duplicate_keys(lake.star())
+    return quality.duplicate_keys(lake.asked())
 
 
 @query
 def dq_unique_keys(lake):
-    return quality.check_unique_keys(lake.star())
+    return quality.check_unique_keys(lake.asked())
 
 
 @query
 def dq_fallback_places(lake):
-    return quality.check_fallback_places(lake.star())
+    return quality.check_fallback_places(lake.asked())
 
 
 @query
 def dq_unresolved(lake):
-    return quality.check_unresolved(lake.star())
+    return quality.check_unresolved(lake.asked())
 
 
 @query
 def dq_vocab_overlap(lake):
-    return quality.check_season_words(lake.star())
+    return quality.check_season_words(lake.asked())
 
 
 @query
 def dq_station_ids(lake):
-    return quality.check_station_ids(lake.star())
+    return quality.check_station_ids(lake.asked())
 
 
 @query
 def dq_profit_rows(lake):
-    return quality.check_profit_rows(lake.star(), lake.farms)
+    return quality.check_profit_rows(lake.asked(), lake.farms)
 
 
 @query
 def dq_ph_range(lake):
-    return quality.check_ph_range(lake.star())
+    return quality.check_ph_range(lake.asked())
 
 
 @query
 def dq_large_gap(lake):
-    return quality.check_rainfall_gap(lake.star())
+    return quality.check_rainfall_gap(lake.asked())
 
 
 @query
 def dq_orphans(lake):
-    return quality.check_orphans(lake.star())
+    return quality.check_orphans(lake.asked())
 
 
 @query
 def dq_row_counts(lake):
-    return quality.check_row_counts(lake.star(), lake.farms)
+    return quality.check_row_counts(lake.asked(), lake.farms)
 
 
 @query

@@ -89,3 +89,14 @@ def test_contract_faults_are_the_contract_violations(spark, lake):
     found = {(r[0], r[1]): r[2:] for r in both()}
     assert found["fact_crop_yield", "match_type"] == (facts.count(), 0, 0)
     assert found["fact_crop_yield", "profit_loss_inr"][2] > 0 and sum(found["fact_crop_yield", "season"]) == facts.count()
+
+
+def test_a_check_stores_only_the_tables_that_it_reads(spark, small_dir):
+    from fieldlake.registry import QUERIES
+
+    for name, tables in {"dq_unresolved": {"fact_crop_yield"}, "dq_ph_range": {"dim_farms"}, "dq_station_ids": {"fact_global_climate_environment"}}.items():
+        lake = Lake(spark, small_dir)
+        found = rows(QUERIES[name](lake))
+        assert set(lake._tables) == tables
+        assert found == [r for r in rows(checks.run_standard(lake.star(), lake.farms)) if r[0] == found[0][0]]
+        lake.close()
