@@ -55,6 +55,11 @@ class Scratch:
         writer.option("compression", "zstd").bucketBy(buckets, key).sortBy(key).saveAsTable(table)
         return self.spark.table(table)
 
+    def drop(self, name: str) -> None:
+        """Delete a stored table that nothing reads any more."""
+        remove(self.spark, f"{self.path}/{name}")
+        self.names.remove(name)
+
     def keep_only(self, *names: str) -> None:
         """Delete all tables but those that frames still to be computed read."""
         for table in self.tables:

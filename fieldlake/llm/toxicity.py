@@ -212,7 +212,8 @@ def labelled(docs: DataFrame, labels: DataFrame, *, folds: int = 3, held: int =
     """
     scratch = scratch or Scratch(docs.sparkSession, "toxic")
     known = labels.where(F.col("toxic").isin(0, 1) & F.col("doc_id").isNotNull()).where(fold_of("doc_id", folds) != held)
-    known = known.groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
+    # Stored, so that the planner sees its size: while it is small, only labelled texts are shuffled.
+    known = scratch.put(known.groupBy("doc_id").agg(F.max("toxic").alias("toxic")), "known")
     text = F.struct(F.col("text").isNotNull().alias("full"), "text")
     rows = docs.select("doc_id", "text").join(known, "doc_id").groupBy("doc_id").agg(
         F.min(text)["text"].alias("text"), F.first("toxic").cast("int").alias("toxic")
@@ -220,9 +221,11 @@ def labelled(docs: DataFrame, labels: DataFrame, *, folds: int = 3, held: int =
     rows = scratch.put(rows.select(F.xxhash64("doc_id").alias("place"), "text", "toxic"), "rows")
     shards = max(1, -(-rows.count() // shard_rows))
     aside = F.pmod(F.shiftright("place", 32), F.lit(5)) == 0
-    return scratch.put_bucketed(
+    out = scratch.put_bucketed(
         rows.select(F.pmod("place", F.lit(shards)).alias("shard"), "place", aside.alias("aside"), "text", "toxic"), "shards", "shard"
     )
+    scratch.drop("rows")
+    return out
 
 
 def _read(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, list[str]]:
@@ -316,12 +319,14 @@ def _epoch(rows: DataFrame, shards: int, net: Network, squares: dict, weights: n
             own_starts = np.concatenate([[0], np.cumsum(starts[part + 1] - starts[part])])
             at = np.concatenate([np.arange(starts[i], starts[i + 1]) for i in part])
             _step(own, squares, [x[at] for x in places], own_starts, labels[part], weights[labels[part]], rate)
-        return _sums(key[0].as_py(), 1, _state(own, squares))
+        return pa.table({"part": [key[0].as_py()] * _BLOCKS, "block": pa.array(range(_BLOCKS), pa.int32()), "n": [1] * _BLOCKS,
+                         "data": [_packed(x, 1, y) for x, y in zip(_blocks(_state(own, squares)), _blocks(_state(*sent.value)))]})
 
     def add(key: tuple, group: pa.Table) -> pa.Table:
-        total = sum(np.frombuffer(x.as_py(), np.float32).astype(np.float64) for x in group.column("data"))
+        base, times = _blocks(_state(*sent.value))[key[1].as_py()], group.column("n").to_pylist()
+        total = sum(_unpacked(x.as_py(), n, base).astype(np.float64) for x, n in zip(group.column("data"), times))
         return pa.table({"part": [key[0].as_py()], "block": pa.array([key[1].as_py()], pa.int32()),
-                         "n": [sum(group.column("n").to_pylist())], "data": [total.astype(np.float32).tobytes()]})
+                         "n": [sum(times)], "data": [_packed(total.astype(np.float32), sum(times), base)]})
 
     schema = "part long, block int, n long, data binary"
     parts = rows.groupBy("shard").applyInArrow(learn, schema)
@@ -331,7 +336,8 @@ def _epoch(rows: DataFrame, shards: int, net: Network, squares: dict, weights: n
     found = sorted((r.block, r.n, r.data) for r in parts.toLocalIterator())
     sent.destroy()
     if found:
-        mean = np.frombuffer(b"".join(x for *_, x in found), np.float32) / np.float32(found[0][1])
+        total = [_unpacked(x, n, base) for (_, n, x), base in zip(found, _blocks(state))]
+        mean = np.concatenate(total) / np.float32(found[0][1])
         for x, own in zip(state, np.split(mean, np.cumsum([x.size for x in state])[:-1])):
             x[...] = own.reshape(x.shape)
 
@@ -342,9 +348,26 @@ def _state(net: Network, squares: dict) -> list[np.ndarray]:
     return [*net.tables, *net.kernels, *net.biases, net.out, *sums]
 
 
-def _sums(part: int, n: int, state: list[np.ndarray], blocks: int = 16) -> pa.Table:
-    data = [x.tobytes() for x in np.array_split(np.concatenate([x.ravel() for x in state]), blocks)]
-    return pa.table({"part": [part] * blocks, "block": pa.array(range(blocks), pa.int32()), "n": [n] * blocks, "data": data})
+_BLOCKS = 16
+
+
+def _blocks(state: list[np.ndarray]) -> list[np.ndarray]:
+    return np.array_split(np.concatenate([x.ravel() for x in state]), _BLOCKS)
+
+
+def _packed(total: np.ndarray, n: int, base: np.ndarray) -> bytes:
+    """A sum of `n` states that training took from `base`, without loss: the bits in which it differs from `n` times that.
+
+    A shard changes few rows of the tables, so most bits are zero. Equal bytes of the values stand together.
+    """
+    bits = total.view(np.uint32) ^ (base.astype(np.float64) * n).astype(np.float32).view(np.uint32)
+    return pa.compress(bits.view(np.uint8).reshape(-1, 4).T.tobytes(), "zstd", asbytes=True)
+
+
+def _unpacked(data: bytes, n: int, base: np.ndarray) -> np.ndarray:
+    planes = np.frombuffer(pa.decompress(data, base.nbytes, "zstd", asbytes=True), np.uint8).reshape(4, -1)
+    bits = np.ascontiguousarray(planes.T).view(np.uint32).ravel()
+    return (bits ^ (base.astype(np.float64) * n).astype(np.float32).view(np.uint32)).view(np.float32)
 
 
 def _fit_thresholds(rows: DataFrame, net: Network, steps: int = 1 << 11) -> float:

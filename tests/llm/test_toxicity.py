@@ -3,6 +3,7 @@ import zlib
 import numpy as np
 import pytest
 
+from conftest import plan
 from fieldlake.llm import toxicity
 from helpers import SCHEMA, no_documents, odd_documents, prose
 
@@ -119,3 +120,30 @@ def test_every_labelled_document_is_learned_from(spark):
     net = toxicity.fit(docs, labels, shard_rows=2000, epochs=3, starts_at_most=1)
     wrong = toxicity.score(docs, net).join(labels, "doc_id").where("predicted <> toxic").count()
     assert wrong == 0
+
+
+def test_states_travel_without_loss_and_small(spark):
+    rng = np.random.default_rng(1)
+    base = rng.normal(0, 0.2, 8 * 4000).astype(np.float32)
+    base[:3] = [0.0, -0.0, 1e-30]
+    own = [base.copy() for _ in range(5)]
+    for k, x in enumerate(own):
+        x.reshape(-1, 8)[40 * k : 40 * k + 400] += rng.normal(0, 0.1, (400, 8)).astype(np.float32)
+    sent = [toxicity._packed(x, 1, base) for x in own]
+    assert all((toxicity._unpacked(x, 1, base).view(np.uint32) == y.view(np.uint32)).all() for x, y in zip(sent, own))
+    total = sum(x.astype(np.float64) for x in own).astype(np.float32)
+    packed = toxicity._packed(total, 5, base)
+    assert (toxicity._unpacked(packed, 5, base).view(np.uint32) == total.view(np.uint32)).all()
+    assert max(map(len, [*sent, packed])) < base.nbytes / 5
+
+
+def test_only_labelled_texts_are_shuffled_and_stored_once(spark, monkeypatch):
+    docs, labels = labelled(spark, 300)
+    joins = []
+    inner = toxicity.Scratch.put
+    monkeypatch.setattr(toxicity.Scratch, "put", lambda self, df, name, *a: joins.append(plan(df)) or inner(self, df, name, *a))
+    scratch = toxicity.Scratch(spark, "toxic")
+    rows = toxicity.labelled(docs, labels.where("doc_id < 100"), scratch=scratch)
+    assert "BroadcastHashJoin" in joins[-1] and "SortMergeJoin" not in joins[-1]
+    assert scratch.names == ["known", "shards"] and 0 < rows.count() < 100
+    scratch.keep_only()
