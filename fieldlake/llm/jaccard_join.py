@@ -16,7 +16,9 @@ Two documents link when 100 * |intersection| >= percent * |union|. The steps:
    A list is never joined with itself: a cell's task holds its members and writes only pairs of
    different components that the order, the sizes and the parity sketches of both sets let
    reach the overlap. The sketches differ in no more bits than the sets in shingles, so no link
-   between components is lost.
+   between components is lost. First a search writes one such pair of each member alone, and
+   what links is contracted, in turns until members have few candidates in other components;
+   then a search writes every candidate that is left.
 6. Comparing is DivideSkip: for one query node and a block of candidates, counts from merged
    short lists, then binary probes into the long lists for those still in reach.
 
@@ -40,6 +42,8 @@ _BLOCK = 512
 _RUN_BYTES = 1 << 20
 #: Members of a list in one block; pairs that a search looks at together; bits of a sketch, as a power of two.
 _CELL, _PAIRS, _SKETCH = 2048, 1 << 18, 11
+#: Searches for one candidate each, at most; they end when a member has at most so many, or so small a share of them links.
+_TURNS, _FEW, _SHARE = 6, 1.5, 1 / 16
 
 
 class Sets:
@@ -377,8 +381,13 @@ def _cells(lists: DataFrame, percent: int) -> DataFrame:
     return dealt.select("shingle", "division", low, high, "block", "guest", "node", "size", "at", "component")
 
 
-def _searched(rows: pa.RecordBatch, percent: int) -> Iterator[pa.RecordBatch]:
-    """Candidates (a, b, place) of the whole cells in `rows`, which are ordered by cell."""
+def _searched(rows: pa.RecordBatch, percent: int, turn: int | None) -> Iterator[pa.RecordBatch]:
+    """Candidates (a, b, place, n, rank) of the whole cells in `rows`, which are ordered by cell and node.
+
+    Without a `turn` all of them. With one, each member (b) has at most one of its cell's candidates
+    (a) that stand after it, and their number: in the first turn the one whose sketch is nearest,
+    later any by a hash.
+    """
     if not rows.num_rows:
         return
     shingle, division, low, high, block, node, size, at, component = (
@@ -407,9 +416,19 @@ def _searched(rows: pa.RecordBatch, percent: int) -> Iterator[pa.RecordBatch]:
             own = slice(k, k + (1 << 14))
             differ[own] = np.bitwise_count(sketch[x[own]] ^ sketch[y[own]]).sum(axis=1, dtype=np.int64)
         near = size[x] + size[y] - differ >= 2 * need
-        x, y = x[near], y[near]
-        pair = np.minimum(node[x], node[y]), np.maximum(node[x], node[y])
-        yield pa.RecordBatch.from_arrays([pa.array(v) for v in (*pair, shingle[x])], names=["a", "b", "place"])
+        x, y, rank = x[near], y[near], differ[near]
+        n = np.ones(len(x), dtype=np.int64)
+        if turn is None:
+            a, b = np.minimum(node[x], node[y]), np.maximum(node[x], node[y])
+        else:
+            if turn:
+                rank = signed(mixed(node[y].view(np.uint64) + U64(turn)))
+            order = np.lexsort((rank, x))
+            start = np.flatnonzero(np.diff(x[order], prepend=-1))
+            n = np.diff(np.append(start, len(order)))
+            x, y, rank = x[order[start]], y[order[start]], rank[order[start]]
+            a, b = node[y], node[x]
+        yield pa.RecordBatch.from_arrays([pa.array(v) for v in (a, b, shingle[x], n, rank)], names=["a", "b", "place", "n", "rank"])
         first = last
 
 
@@ -422,8 +441,11 @@ def _cell_starts(rows: pa.RecordBatch) -> np.ndarray:
     return np.flatnonzero(new)
 
 
-def _search(lists: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
-    """All candidates (a, b) of different components that may link, each with one list (place) in which they meet."""
+def _search(lists: DataFrame, texts: DataFrame, percent: int, turn: int | None = None) -> DataFrame:
+    """All candidates (a, b) of different components that may link, each with one list (place) in which they meet.
+
+    In a `turn` one of each member (b) at most, with how many it has at least (n).
+    """
 
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = None
@@ -432,16 +454,37 @@ def _search(lists: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
                 batch = pa.concat_batches([held, batch])
             # The last cell may go on in the next batch.
             whole = int(_cell_starts(batch)[-1]) if batch.num_rows else 0
-            yield from _searched(batch.slice(0, whole), percent)
+            yield from _searched(batch.slice(0, whole), percent, turn)
             held = batch.slice(whole)
         if held is not None:
-            yield from _searched(held, percent)
+            yield from _searched(held, percent, turn)
 
     rows = _cells(lists, percent).join(texts.select("node", "sketch"), "node")
     cell = ["shingle", "division", "low", "high"]
-    ordered = rows.repartition(*cell).sortWithinPartitions(*cell)
-    found = ordered.mapInArrow(search, "a long, b long, place long")
-    return found.groupBy("a", "b").agg(F.min("place").alias("place"))
+    ordered = rows.repartition(*cell).sortWithinPartitions(*cell, "node")
+    found = ordered.mapInArrow(search, "a long, b long, place long, n long, rank long")
+    if turn is None:
+        return found.groupBy("a", "b").agg(F.min("place").alias("place"))
+    best = found.groupBy("b").agg(F.min(F.struct("rank", "a", "place")).alias("best"), F.max("n").alias("n"))
+    return best.select("best.a", "b", "best.place", "n")
+
+
+def _contract(lists: DataFrame, links: DataFrame | None, texts: DataFrame, n: int, percent: int, scratch: Scratch):
+    """The lists that stay open and all links, after turns of search in which each member is compared with one candidate."""
+    for turn in range(_TURNS):
+        if lists.isEmpty():
+            break
+        picks = scratch.put(_search(lists, texts, percent, turn), f"picks-{turn}")
+        picked, candidates = picks.agg(F.count("*"), F.coalesce(F.sum("n"), F.lit(0))).first()
+        if candidates <= _FEW * picked:
+            break
+        more = _compare(picks.drop("n"), texts, n, percent, scratch, f"pick-{turn}")
+        links = more if links is None else links.unionByName(more)
+        merged = components(links, scratch, f"picked-{turn}", most=4)
+        lists = scratch.put(_open_lists(lists.drop("component"), merged), f"left-{turn}")
+        if more.count() < _SHARE * picked:
+            break
+    return lists, links
 
 
 def _hop(links: DataFrame) -> DataFrame:
@@ -566,6 +609,7 @@ def link_components(docs: DataFrame, *, n: int = 5, percent: int = 75, rounds: i
             own = _still_open(own, met, merged, scratch)
     if rounds:
         own = scratch.put(_open_lists(own.drop("component"), merged), "open")
+    own, links = _contract(own, links, texts, n, percent, scratch)
     if links is None or not own.isEmpty():
         chosen = scratch.put(_search(own, texts, percent), "searched")
         more = _compare(chosen, texts, n, percent, scratch, "compare")

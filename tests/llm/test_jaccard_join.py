@@ -118,3 +118,17 @@ def test_odd_rows(spark):
 def test_no_rows(spark):
     docs = no_documents(spark)
     assert link_components(docs).count() == 0 and keep_one(docs).schema == docs.schema and keep_one(docs).count() == 0
+
+
+def test_candidates_grow_with_a_group_and_not_with_its_square(spark, monkeypatch):
+    """Near copies of one text: what is compared is a few pairs of each, though nearly every two of them link."""
+    base, pairs, compared = prose(5, 120).split(), [], []
+    for k in range(150):
+        words = list(base)
+        words[(k * 7) % 120] = f"own{k}"
+        pairs.append((k, " ".join(words)))
+    compare = jaccard_join._compare
+    monkeypatch.setattr(jaccard_join, "_compare", lambda pairs, *rest: compared.append(pairs.count()) or compare(pairs, *rest))
+    docs = spark.createDataFrame([(i, t, None, None, None) for i, t in pairs], SCHEMA).repartition(4)
+    assert ordered(link_components(docs, rounds=0).collect()) == ordered(brute(pairs))
+    assert 0 < sum(compared) <= 6 * len(pairs)
