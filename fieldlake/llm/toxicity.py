@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from fieldlake.llm.common import Scratch, fold_of
-from fieldlake.llm.words import PLAIN, U64, pieces, signed, word_bounds, word_hashes
+from fieldlake.llm.words import PLAIN, U64, pieces, prefix_hashes, signed, word_bounds
 
 # Letters that tell languages of Latin script apart; a text without any is "other".
 LETTERS = {"de": "äöüßÄÖÜ", "fr": "éèêçàùâîôûÉÈÊÇÀ", "es": "ñíóáúÑÍÓÁÚ¿¡"}
@@ -75,7 +75,10 @@ class Network:
         return out
 
     def vectors(self, places: list[np.ndarray]) -> np.ndarray:
-        return sum(table[place] for table, place in zip(self.tables, places))
+        out = self.tables[0].take(places[0], axis=0)
+        for table, place in zip(self.tables[1:], places[1:]):
+            out += table.take(place, axis=0)
+        return out
 
     def pooled(self, places: list[np.ndarray], starts: np.ndarray, argmax: bool = False):
         """Largest value of every filter in each text (0 if the text is too short or all are negative)."""
@@ -110,14 +113,28 @@ class Network:
         return 1 / (1 + np.exp(-np.clip(logits - own + shift, -30, 30)))
 
 
-def language_of(text: bytes) -> str:
-    """Language whose letters the text has most of, "other" without any."""
-    counts = {lang: sum(text.count(x) for x in marks) for lang, marks in _MARKS.items()}
-    best = max(counts, key=counts.get)
-    return best if counts[best] else "other"
+def languages_of(data: np.ndarray, offsets: np.ndarray) -> list[str]:
+    """Language whose letters each text has most of, the first of `LETTERS` if several, "other" without any."""
+    at = np.flatnonzero(_LEADS[data[:-1]])
+    of = _MARKS[data[at], data[at + 1]]
+    at, of = at[of >= 0], of[of >= 0]
+    text = np.searchsorted(offsets, at, "right") - 1
+    n, kinds = len(offsets) - 1, len(LETTERS)
+    counts = np.bincount(text * kinds + of, minlength=n * kinds).reshape(n, kinds)
+    names = np.array([*LETTERS, "other"])
+    return names[np.where(counts.any(axis=1), counts.argmax(axis=1), kinds)].tolist()
+
+
+def _marks() -> tuple[np.ndarray, np.ndarray]:
+    """Number of the language of each letter, all of two bytes in UTF-8, by both bytes (else -1); bytes that start one."""
+    marks = np.full((256, 256), -1, dtype=np.int64)
+    for number, letters in enumerate(LETTERS.values()):
+        for first, second in (x.encode() for x in letters):
+            marks[first, second] = number
+    return marks, (marks >= 0).any(axis=1)
 
 
-_MARKS = {lang: [x.encode() for x in letters] for lang, letters in LETTERS.items()}
+_MARKS, _LEADS = _marks()
 
 
 #: Bytes at a word's start that are keys of their own.
@@ -127,12 +144,14 @@ PREFIXES = (4, 5)
 def runs(texts: pa.Array):
     """(first index, keys of words, starts, languages) of runs of texts; keys: the word and its prefixes."""
     for first, data, offsets in pieces(texts):
-        begin, end, starts = word_bounds(data, offsets, PLAIN)
-        whole = data.tobytes()
-        languages = [language_of(whole[a:b]) for a, b in zip(offsets[:-1], offsets[1:])]
-        keys = [word_hashes(data, begin, end)]
-        keys += [word_hashes(data, begin, np.minimum(end, begin + n)) * U64(2 * n + 1) for n in PREFIXES]
-        yield first, np.stack(keys, axis=1), starts, languages
+        yield first, *_keys(data, offsets), languages_of(data, offsets)
+
+
+def _keys(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Keys of words, and starts of texts."""
+    begin, end, starts = word_bounds(data, offsets, PLAIN)
+    keys = prefix_hashes(data, begin, [end, *(np.minimum(end, begin + n) for n in PREFIXES)])
+    return np.stack([keys[0], *(x * U64(2 * n + 1) for x, n in zip(keys[1:], PREFIXES))], axis=1), starts
 
 
 def _step(net: Network, squares: dict, places, starts, labels, weight, rate: float) -> None:
@@ -228,14 +247,14 @@ def labelled(docs: DataFrame, labels: DataFrame, *, folds: int = 3, held: int =
     return out
 
 
-def _read(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, list[str]]:
-    """Keys of words, starts of texts and languages of all texts together."""
-    words, starts, languages = [np.zeros((0, 1 + len(PREFIXES)), np.uint64)], [0], []
-    for _, own, own_starts, own_languages in runs(texts):
+def _read(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """Keys of words and starts of texts of all texts together."""
+    words, starts = [np.zeros((0, 1 + len(PREFIXES)), np.uint64)], [0]
+    for _, data, offsets in pieces(texts):
+        own, own_starts = _keys(data, offsets)
         words.append(own)
         starts.extend((own_starts[1:] + starts[-1]).tolist())
-        languages += own_languages
-    return np.concatenate(words), np.array(starts), languages
+    return np.concatenate(words), np.array(starts)
 
 
 def known_marks(rows: DataFrame, least: int) -> np.ndarray:
@@ -243,7 +262,8 @@ def known_marks(rows: DataFrame, least: int) -> np.ndarray:
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for _, words, starts, _ in runs(batch.column(0)):
+            for _, data, offsets in pieces(batch.column(0)):
+                words, starts = _keys(data, offsets)
                 owner = np.repeat(np.arange(len(starts) - 1), np.diff(starts))
                 for kind in range(words.shape[1]):
                     own = words[:, kind]
@@ -312,7 +332,7 @@ def _epoch(rows: DataFrame, shards: int, net: Network, squares: dict, weights: n
     def learn(key: tuple, group: pa.Table) -> pa.Table:
         own, squares = copy.deepcopy(sent.value)
         group = group.sort_by("place")
-        words, starts, _ = _read(group.column("text").combine_chunks())
+        words, starts = _read(group.column("text").combine_chunks())
         places, labels = own.places(words), group.column("toxic").to_numpy()
         rng = np.random.default_rng([own.seed, epoch, key[0].as_py()])
         for part in np.array_split(rng.permutation(len(labels)), max(1, len(labels) // batch)):

@@ -94,11 +94,17 @@ def word_bounds(data: np.ndarray, offsets: np.ndarray, inside: np.ndarray = SPAC
 
 def word_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, fold: np.ndarray | None = LOWER) -> np.ndarray:
     """64-bit hash of each word, lower-cased in A-Z unless `fold` says otherwise."""
+    return prefix_hashes(data, starts, [ends], fold)[0]
+
+
+def prefix_hashes(data: np.ndarray, starts: np.ndarray, several: list[np.ndarray], fold: np.ndarray | None = LOWER) -> list[np.ndarray]:
+    """`word_hashes` for several ends of the same words, from one pass over the bytes."""
     total = np.zeros(len(data) + 1, dtype=np.uint64)
-    values = _VALUES[data] if fold is None else _VALUES[fold[data]]
-    np.cumsum(values * _powers("up", _BASE, len(data)), out=total[1:])
-    value = (total[ends] - total[starts]) * _powers("down", _INVERSE, len(data) + 1)[starts]
-    return mixed(value + (ends - starts).astype(np.uint64) * U64(0xD6E8FEB86659FD93))
+    values = (_VALUES if fold is None else _VALUES[fold]).take(data)
+    values *= _powers("up", _BASE, len(data))
+    np.cumsum(values, out=total[1:])
+    before, down = total.take(starts), _powers("down", _INVERSE, len(data) + 1).take(starts)
+    return [mixed((total.take(ends) - before) * down + (ends - starts).astype(np.uint64) * U64(0xD6E8FEB86659FD93)) for ends in several]
 
 
 def hash_word(word: str) -> int:

@@ -1,10 +1,12 @@
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from conftest import plan
 from fieldlake.llm import toxicity
+from fieldlake.llm.words import PLAIN, pieces, prefix_hashes, word_bounds, word_hashes
 from helpers import SCHEMA, no_documents, odd_documents, prose
 
 BAD = {"en": ["grumfle", "grumfling", "snarkel"], "de": ["grübelß", "grübelßen", "snörkel"]}
@@ -147,3 +149,20 @@ def test_only_labelled_texts_are_shuffled_and_stored_once(spark, monkeypatch):
     assert "BroadcastHashJoin" in joins[-1] and "SortMergeJoin" not in joins[-1]
     assert scratch.names == ["known", "shards"] and 0 < rows.count() < 100
     scratch.keep_only()
+
+
+def test_keys_and_languages_come_from_one_pass_over_the_bytes():
+    """Prefixes are hashed like words; languages are those of a plain count of letters, the first of equals."""
+    texts = ["", "plain words", "Äpfel über alles", "déjà vu ñ", "ñ ä", "¿qué? ¡sí! é", "日本 ö", "x" * 9 + " " + "É" * 3, "½ Å ç"]
+    (_, keys, starts, languages), = toxicity.runs(pa.array(texts))
+    plain = []
+    for text in texts:
+        counts = {lang: sum(text.count(x) for x in letters) for lang, letters in toxicity.LETTERS.items()}
+        plain.append(max(counts, key=counts.get) if max(counts.values()) else "other")
+    assert languages == plain
+    (_, data, offsets), = pieces(pa.array(texts))
+    begin, end, _ = word_bounds(data, offsets, PLAIN)
+    ends = [end, np.minimum(end, begin + 4), np.minimum(end, begin + 5)]
+    for own, several in zip(ends, prefix_hashes(data, begin, ends)):
+        assert several.tolist() == word_hashes(data, begin, own).tolist()
+    assert len(keys) == len(begin) and starts[-1] == len(begin)
