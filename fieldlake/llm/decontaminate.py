@@ -87,6 +87,7 @@ class Items:
     vectors: np.ndarray | None = None
     owners: np.ndarray | None = None
     answers: list[np.ndarray] | None = None
+    features: list[np.ndarray] | None = None
     marks: Marks | None = None
 
 
@@ -150,7 +151,7 @@ def sums_of(basis: np.ndarray, features: np.ndarray, bounds: np.ndarray) -> np.n
     for k in range(int(count.max(initial=0))):
         # Half-windows with more than k words come first in this order.
         n = int(np.searchsorted(fewer, -k, "left"))
-        total[:n] += basis[features[first[:n] + k]]
+        total[:n] += basis.take(features.take(first[:n] + k), axis=0)
     out = np.empty_like(total)
     out[order] = total
     return out
@@ -323,6 +324,7 @@ def prepare(docs: DataFrame, items: Items, rules: Rules, *, rank: int = 256) ->
             owners.append(np.full(len(parts[-1]), i))
     vectors, items.owners = np.concatenate(parts), np.concatenate(owners)
     items.vectors = vectors / np.maximum(np.linalg.norm(vectors, axis=1, keepdims=True), 1e-9)
+    items.features = [items.vocabulary.features(x) for x in items.words]
     items.answers = []
     for x in items.words:
         own = np.unique(x)
@@ -375,11 +377,19 @@ def find(items: Items, rules: Rules, texts: pa.Array) -> list[tuple[int, int, fl
             continue
         window, item = np.divmod(met, len(items.ids))
         text = np.searchsorted(first_half, window, "right") - 1
+        present = np.zeros(len(items.vocabulary.hashes) + 1, dtype=bool)
         for w, i, t in zip(window.tolist(), item.tolist(), text.tolist()):
             own = items.words[i]
             begin = int(places[t]) + (w - int(first_half[t])) * rules.half
             low, high = max(int(places[t]), begin - len(own)), min(int(places[t + 1]), begin + 2 * rules.half + len(own))
             region = words[low:high]
+            # No more of the item can stand in order than stands there at all; words of no item are in the last place.
+            present[features[low:high]] = True
+            present[-1] = False
+            most = int(np.count_nonzero(present[items.features[i]])) / len(own)
+            present[features[low:high]] = False
+            if most < rules.maybe:
+                continue
             share = common_subsequence(own, region) / len(own)
             if share < rules.maybe:
                 continue

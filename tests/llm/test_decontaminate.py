@@ -162,3 +162,19 @@ def test_the_basis_comes_from_every_window_of_every_document(spark):
     one = decontaminate.latent_basis(docs, items, half=half, rank=4)
     other = decontaminate.latent_basis(docs, items, half=half, rank=4, cells=0)
     assert np.allclose(one @ one.T, other @ other.T, atol=1e-3)
+
+
+def test_order_is_looked_at_only_where_enough_of_an_item_stands(monkeypatch):
+    """With every window a candidate, only those with enough words of the item pass to the search for its order; leaks stay."""
+    items = decontaminate.items_of([1, 2], [prose(900, 40), prose(901, 12)])
+    size = len(items.vocabulary.hashes)
+    monkeypatch.setattr(decontaminate, "document_counts", lambda docs, items: (np.ones(size, np.int64), 50))
+    monkeypatch.setattr(decontaminate, "window_matrix", lambda *_: np.zeros(size * (size + 1) // 2, np.uint64))
+    rules = decontaminate.Rules(cosine=-2.0)
+    decontaminate.prepare(None, items, rules)
+    texts = [prose(k, 200) for k in range(20)] + [prose(30, 50) + " " + prose(900, 40) + " " + prose(31, 50), None, ""]
+    asked, real = [], decontaminate.common_subsequence
+    monkeypatch.setattr(decontaminate, "common_subsequence", lambda a, b: asked.append(np.isin(a, b).mean()) or real(a, b))
+    found = decontaminate.find(items, rules, pa.array(texts))
+    assert (20, 0) in {(row, item) for row, item, *_ in found}
+    assert asked and min(asked) >= rules.maybe
