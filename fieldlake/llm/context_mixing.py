@@ -120,9 +120,9 @@ def steps_of(code: Code, words: np.ndarray, places: np.ndarray, block_words: int
     size = np.diff(code.starts)[symbols]
     token = np.repeat(np.arange(len(symbols)), size)
     step = np.arange(len(token)) - np.repeat(np.cumsum(size) - size, size)
-    where = code.starts[symbols[token]] + step
-    node = code.nodes[where]
-    node_hash = code.node_hashes[where]
+    where = code.starts.take(symbols.take(token)) + step
+    node = code.nodes.take(where)
+    node_hash = code.node_hashes.take(where)
     slots = []
     for number, context in enumerate(CONTEXTS):
         own = np.full(len(symbols), number + 1, dtype=np.uint64)
@@ -132,11 +132,11 @@ def steps_of(code: Code, words: np.ndarray, places: np.ndarray, block_words: int
             before[place < back] = 0
             own = mixed(own * U64(0xD6E8FEB86659FD93) + before)
         odd = own * U64(2) + U64(1)
-        slots.append((odd[token] * node_hash >> U64(64 - code.power)).view(np.int64))
+        slots.append((odd.take(token) * node_hash >> U64(64 - code.power)).view(np.int64))
     rare = is_word & (symbols == code.escape)
     common = np.append(np.log10(code.counts + 0.5), [np.log10(code.documents + 0.5), 0.0])
     return Steps(
-        text[token], (place // block_words)[token], node, code.bits[where], slots, counts + 1,
+        text.take(token), (place // block_words).take(token), node, code.bits.take(where), slots, counts + 1,
         hashes[rare], text[rare], np.bincount(text, common[symbols], n_texts),
     )
 
@@ -234,10 +234,10 @@ class Mixer:
     rate: float = 0.0
 
     def inputs(self, steps: Steps) -> tuple[np.ndarray, np.ndarray]:
-        columns = [self.code.plain[steps.node]] + [table[slots] for table, slots in zip(self.odds, steps.slots)]
-        gate = self.code.depth[steps.node]
+        columns = [self.code.plain.take(steps.node)] + [table.take(slots) for table, slots in zip(self.odds, steps.slots)]
+        gate = self.code.depth.take(steps.node)
         for level, slots in zip(self.levels, steps.slots):
-            gate = gate * (len(_LEVELS) + 1) + level[slots]
+            gate = gate * (len(_LEVELS) + 1) + level.take(slots)
         return np.stack(columns, axis=1), gate
 
     def log10_probability(self, steps: Steps, inputs: tuple[np.ndarray, np.ndarray] | None = None) -> np.ndarray:
@@ -245,18 +245,18 @@ class Mixer:
         inputs, gate = inputs or self.inputs(steps)
         n_texts = len(steps.n_tokens)
         if not self.rate:
-            z = np.clip(np.einsum("ij,ij->i", inputs, self.weights[gate]), -30, 30)
+            z = np.clip(np.einsum("ij,ij->i", inputs, self.weights.take(gate, axis=0)), -30, 30)
             cost = np.log1p(np.exp(np.where(steps.bit > 0, -z, z)))
             return -np.bincount(steps.text, cost, n_texts) / np.log(10)
         total = np.zeros(n_texts)
         own = np.zeros((n_texts, inputs.shape[1]), dtype=np.float32)
         order = np.argsort(steps.block, kind="stable")
-        ends = np.searchsorted(steps.block[order], np.arange(int(steps.block.max(initial=-1)) + 2))
+        ends = np.searchsorted(steps.block.take(order), np.arange(int(steps.block.max(initial=-1)) + 2))
         for a, b in zip(ends[:-1], ends[1:]):
             at = order[a:b]
-            text, x = steps.text[at], inputs[at]
-            z = np.clip(np.einsum("ij,ij->i", x, self.weights[gate[at]] + own[text]), -30, 30)
-            bit = steps.bit[at]
+            text, x = steps.text.take(at), inputs.take(at, axis=0)
+            z = np.clip(np.einsum("ij,ij->i", x, self.weights.take(gate.take(at), axis=0) + own.take(text, axis=0)), -30, 30)
+            bit = steps.bit.take(at)
             odds = np.exp(-z)
             cost = np.log1p(odds) + np.where(bit > 0, 0, z)
             first = np.flatnonzero(np.concatenate([[True], text[1:] != text[:-1]]))
@@ -288,12 +288,15 @@ class Mixer:
             for _, words, places in text_words(texts, most=1 << 17):
                 steps = steps_of(mixer.code, words, places)
                 inputs, gate = mixer.inputs(steps)
-                chance = 1 / (1 + np.exp(-np.clip(np.einsum("ij,ij->i", inputs, weights[gate]), -30, 30)))
+                chance = 1 / (1 + np.exp(-np.clip(np.einsum("ij,ij->i", inputs, weights.take(gate, axis=0)), -30, 30)))
                 error, spread = steps.bit - chance, chance * (1 - chance)
+                columns = np.ascontiguousarray(inputs.T)
+                at = iter(range(len(upper[0])))
                 for i in range(n):
-                    slope[:, i] += np.bincount(gate, error * inputs[:, i], _GATES)
-                for k, (i, j) in enumerate(zip(*upper)):
-                    bend[:, k] += np.bincount(gate, spread * inputs[:, i] * inputs[:, j], _GATES)
+                    slope[:, i] += np.bincount(gate, error * columns[i], _GATES)
+                    spread_i = spread * columns[i]
+                    for j in range(i, n):
+                        bend[:, next(at)] += np.bincount(gate, spread_i * columns[j], _GATES)
             return np.concatenate([slope, bend], axis=1).ravel()
 
         for _ in range(rounds):
