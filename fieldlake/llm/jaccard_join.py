@@ -18,7 +18,8 @@ Two documents link when 100 * |intersection| >= percent * |union|. The steps:
    reach the overlap. The sketches differ in no more bits than the sets in shingles, so no link
    between components is lost. First a search writes one such pair of each member alone, and
    what links is contracted, in turns until members have few candidates in other components;
-   then a search writes every candidate that is left.
+   then a search writes every candidate that is left. A member that met no candidate in a list
+   leaves it, so that later searches move only what may still link.
 6. Comparing is DivideSkip: for one query node and a block of candidates, counts from merged
    short lists, then binary probes into the long lists for those still in reach.
 
@@ -31,6 +32,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -40,8 +42,8 @@ from fieldlake.llm.words import U64, grams, mixed, signed, text_words
 
 _BLOCK = 512
 _RUN_BYTES = 1 << 20
-#: Members of a list in one block; pairs that a search looks at together; bits of a sketch, as a power of two.
-_CELL, _PAIRS, _SKETCH = 2048, 1 << 18, 11
+#: Members of a list in one block; pairs that a search looks at together; bits of a sketch, as a power of two, and of a folded one at least.
+_CELL, _PAIRS, _SKETCH, _FOLDED = 2048, 1 << 18, 11, 8
 #: Searches for one candidate each, at most; they end when a member has at most so many, or so small a share of them links.
 _TURNS, _FEW, _SHARE = 6, 1.5, 1 / 16
 
@@ -88,6 +90,49 @@ def sketches(sets: Sets, chosen: np.ndarray) -> np.ndarray:
     return out.reshape(len(chosen), -1)
 
 
+def folded(sketch: np.ndarray, size: int) -> np.ndarray:
+    """The sketch in half as many classes, and again, while these are as many as the set's shingles: few bytes for small sets."""
+    while len(sketch) << 5 >= max(size, 1 << _FOLDED):
+        sketch = _halved(sketch)
+    return sketch
+
+
+def _halved(sketches: np.ndarray) -> np.ndarray:
+    """Sketches by one bit less of the hashes. They still differ in no more bits than the sets in shingles."""
+    half = sketches.shape[-1] // 2
+    return sketches[..., :half] ^ sketches[..., half:]
+
+
+class Sketches:
+    """Folded sketches of different lengths; two are compared at the length of the shorter."""
+
+    def __init__(self, sketches: pa.Array):
+        self.words = pc.binary_length(sketches).to_numpy(zero_copy_only=False) >> 3
+        raw, self.at = sketches.to_pylist(), {}
+        rows, matrix = np.zeros(0, dtype=np.int64), None
+        for words in np.unique(self.words)[::-1].tolist():
+            own = np.flatnonzero(self.words == words)
+            same = np.frombuffer(b"".join(raw[i] for i in own.tolist()), np.uint64).reshape(len(own), words)
+            while matrix is not None and matrix.shape[1] > words:
+                matrix = _halved(matrix)
+            matrix = same if matrix is None else np.concatenate([matrix, same])
+            rows = np.concatenate([rows, own])
+            place = np.full(len(raw), -1)
+            place[rows] = np.arange(len(rows))
+            self.at[words] = place, matrix
+
+    def differ(self, x: np.ndarray, y: np.ndarray) -> np.ndarray:
+        """In how many bits the sketches of each two rows differ."""
+        out = np.zeros(len(x), dtype=np.int64)
+        words = np.minimum(self.words[x], self.words[y])
+        for length, (place, matrix) in self.at.items():
+            here = np.flatnonzero(words == length)
+            for k in range(0, len(here), 1 << 14):
+                own = here[k : k + (1 << 14)]
+                out[own] = np.bitwise_count(matrix[place[x[own]]] ^ matrix[place[y[own]]]).sum(axis=1, dtype=np.int64)
+        return out
+
+
 class Order:
     """Rare shingles first: by hash those that are not `seen`, then those that are, then the table's by count."""
 
@@ -386,7 +431,7 @@ def _searched(rows: pa.RecordBatch, percent: int, turn: int | None) -> Iterator[
 
     Without a `turn` all of them. With one, each member (b) has at most one of its cell's candidates
     (a) that stand after it, and their number: in the first turn the one whose sketch is nearest,
-    later any by a hash.
+    later any by a hash. A member whose candidates all stand before it has itself, and n is 0.
     """
     if not rows.num_rows:
         return
@@ -394,7 +439,8 @@ def _searched(rows: pa.RecordBatch, percent: int, turn: int | None) -> Iterator[
         rows.column(name).to_numpy() for name in ("shingle", "division", "low", "high", "block", "node", "size", "at", "component")
     )
     guest = rows.column("guest").to_numpy(zero_copy_only=False)
-    sketch = np.frombuffer(b"".join(rows.column("sketch").to_pylist()), np.uint64).reshape(len(node), -1)
+    sketch = Sketches(rows.column("sketch"))
+    met, told = np.zeros(len(node), dtype=bool), np.zeros(len(node), dtype=bool)
     size, at = size.astype(np.int64), at.astype(np.int64)
     ends = np.append(_cell_starts(rows)[1:], len(node))
     here = np.arange(len(node))
@@ -411,16 +457,14 @@ def _searched(rows: pa.RecordBatch, percent: int, turn: int | None) -> Iterator[
         able &= np.minimum(size[x] - at[x], size[y] - at[y]) >= need
         able &= (low[x] == high[x]) | (block[x] != block[y])
         x, y, need = x[able], y[able], need[able]
-        differ = np.zeros(len(x), dtype=np.int64)
-        for k in range(0, len(x), 1 << 14):
-            own = slice(k, k + (1 << 14))
-            differ[own] = np.bitwise_count(sketch[x[own]] ^ sketch[y[own]]).sum(axis=1, dtype=np.int64)
+        differ = sketch.differ(x, y)
         near = size[x] + size[y] - differ >= 2 * need
         x, y, rank = x[near], y[near], differ[near]
         n = np.ones(len(x), dtype=np.int64)
         if turn is None:
             a, b = np.minimum(node[x], node[y]), np.maximum(node[x], node[y])
         else:
+            met[x] = met[y] = told[x] = True
             if turn:
                 rank = signed(mixed(node[y].view(np.uint64) + U64(turn)))
             order = np.lexsort((rank, x))
@@ -428,8 +472,15 @@ def _searched(rows: pa.RecordBatch, percent: int, turn: int | None) -> Iterator[
             n = np.diff(np.append(start, len(order)))
             x, y, rank = x[order[start]], y[order[start]], rank[order[start]]
             a, b = node[y], node[x]
-        yield pa.RecordBatch.from_arrays([pa.array(v) for v in (a, b, shingle[x], n, rank)], names=["a", "b", "place", "n", "rank"])
+        yield pa.RecordBatch.from_arrays([pa.array(v) for v in (a, b, shingle[x], n, rank)], names=_FOUND)
         first = last
+    if turn is not None:
+        rest = np.flatnonzero(met & ~told)
+        none = np.zeros(len(rest), dtype=np.int64)
+        yield pa.RecordBatch.from_arrays([pa.array(v) for v in (node[rest], node[rest], shingle[rest], none, none)], names=_FOUND)
+
+
+_FOUND = ["a", "b", "place", "n", "rank"]
 
 
 def _cell_starts(rows: pa.RecordBatch) -> np.ndarray:
@@ -444,7 +495,7 @@ def _cell_starts(rows: pa.RecordBatch) -> np.ndarray:
 def _search(lists: DataFrame, texts: DataFrame, percent: int, turn: int | None = None) -> DataFrame:
     """All candidates (a, b) of different components that may link, each with one list (place) in which they meet.
 
-    In a `turn` one of each member (b) at most, with how many it has at least (n).
+    In a `turn` the members (b) of every cell that met a candidate, as `_searched` gives them.
     """
 
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -465,16 +516,42 @@ def _search(lists: DataFrame, texts: DataFrame, percent: int, turn: int | None =
     found = ordered.mapInArrow(search, "a long, b long, place long, n long, rank long")
     if turn is None:
         return found.groupBy("a", "b").agg(F.min("place").alias("place"))
-    best = found.groupBy("b").agg(F.min(F.struct("rank", "a", "place")).alias("best"), F.max("n").alias("n"))
+    return found
+
+
+def _picks(found: DataFrame) -> DataFrame:
+    """Of what a turn found, one candidate (a, b, place) of each member (b) at most, with how many it has at least (n)."""
+    best = found.where("n > 0").groupBy("b").agg(F.min(F.struct("rank", "a", "place")).alias("best"), F.max("n").alias("n"))
     return best.select("best.a", "b", "best.place", "n")
 
 
+def _living(lists: DataFrame, found: DataFrame, scratch: Scratch, label: str) -> DataFrame:
+    """The postings, stored, that met a candidate in a turn: the others never will, as components only grow.
+
+    A bounded set of bits finds them without moving the postings; one too many stays and is harmless.
+    """
+    wanted = Bits(found.select(F.xxhash64("place", "b").alias("shingle")), found.count())
+    last = len(lists.columns)
+
+    def choose(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            kept = wanted.may_hold(batch.column(last).to_numpy().view(np.uint64))
+            yield batch.select(list(range(last))).filter(pa.array(kept))
+
+    out = scratch.put(lists.withColumn("_key", F.xxhash64("shingle", "node")).mapInArrow(choose, lists.schema), label)
+    wanted.release()
+    return out
+
+
 def _contract(lists: DataFrame, links: DataFrame | None, texts: DataFrame, n: int, percent: int, scratch: Scratch):
     """The lists that stay open and all links, after turns of search in which each member is compared with one candidate."""
     for turn in range(_TURNS):
         if lists.isEmpty():
             break
-        picks = scratch.put(_search(lists, texts, percent, turn), f"picks-{turn}")
+        found = scratch.put(_search(lists, texts, percent, turn), f"found-{turn}")
+        lists = _living(lists, found, scratch, f"living-{turn}")
+        picks = scratch.put(_picks(found), f"picks-{turn}")
+        scratch.drop(f"found-{turn}")
         picked, candidates = picks.agg(F.count("*"), F.coalesce(F.sum("n"), F.lit(0))).first()
         if candidates <= _FEW * picked:
             break
@@ -646,7 +723,7 @@ def _digested(docs: DataFrame, wanted: Bits, n: int) -> DataFrame:
                 sets = Sets(words, places, n)
                 chosen = sets.distinct()
                 own = batch.column(1).slice(first, len(sets.sizes)).take(pa.array(chosen))
-                bits = pa.array([x.tobytes() for x in sketches(sets, chosen)], pa.binary())
+                bits = pa.array([folded(x, n).tobytes() for x, n in zip(sketches(sets, chosen), sets.sizes[chosen].tolist())], pa.binary())
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(signed(sets.digests[chosen])), bits, own], names=["node", "sketch", "text"]
                 )

@@ -1,4 +1,5 @@
 import itertools
+import random
 
 import numpy as np
 import pyarrow as pa
@@ -132,3 +133,34 @@ def test_candidates_grow_with_a_group_and_not_with_its_square(spark, monkeypatch
     docs = spark.createDataFrame([(i, t, None, None, None) for i, t in pairs], SCHEMA).repartition(4)
     assert ordered(link_components(docs, rounds=0).collect()) == ordered(brute(pairs))
     assert 0 < sum(compared) <= 6 * len(pairs)
+
+
+@settings(max_examples=60, deadline=None)
+@given(st.lists(st.lists(st.integers(0, 900), max_size=900), min_size=2, max_size=6))
+def test_folded_sketches_never_differ_more_than_the_sets(several):
+    texts = pa.array([" ".join(f"w{x}" for x in own) for own in several])
+    (_, words, places), = text_words(texts)
+    sets = Sets(words, places, 5)
+    whole = sketches(sets, np.arange(len(several)))
+    small = jaccard_join.Sketches(pa.array([jaccard_join.folded(x, n).tobytes() for x, n in zip(whole, sets.sizes.tolist())], pa.binary()))
+    x, y = (v.ravel() for v in np.indices((len(several), len(several))))
+    exact = np.array([len(np.setxor1d(sets.of(i), sets.of(j))) for i, j in zip(x, y)])
+    apart = small.differ(x, y)
+    assert (apart <= exact).all() and (apart % 2 == exact % 2).all()
+    assert all(64 * w <= max(256, 2 * n) for w, n in zip(small.words.tolist(), sets.sizes.tolist()))
+
+
+def test_postings_without_candidates_leave_after_one_search(spark, monkeypatch):
+    """Texts of the same passages in other choices share lists but do not link; of them and some near copies only the copies are searched again."""
+    rng, base = random.Random(1), prose(5, 120).split()
+    pool = [prose(500 + k, 30) for k in range(30)]
+    pairs = [(k, " ".join(rng.sample(pool, 6))) for k in range(60)]
+    for k in range(20):
+        words = list(base)
+        words[(k * 7) % 120] = f"own{k}"
+        pairs.append((1000 + k, " ".join(words)))
+    searched, search = [], jaccard_join._search
+    monkeypatch.setattr(jaccard_join, "_search", lambda lists, *rest: searched.append(lists.select("node").distinct().count()) or search(lists, *rest))
+    docs = spark.createDataFrame([(i, t, None, None, None) for i, t in pairs], SCHEMA).repartition(4)
+    assert ordered(link_components(docs, rounds=0).collect()) == ordered(brute(pairs))
+    assert searched[0] > 60 and sum(searched[1:]) <= 25, searched
