@@ -11,7 +11,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fieldlake.llm.words import pieces
+from fieldlake.llm.words import _PIECE_BYTES, pieces
 from fieldlake.sinks.files import remove
 from fieldlake.sinks.settle import shared_dir
 
@@ -77,10 +77,10 @@ def fold_of(key: str, folds: int) -> F.Column:
 _BLOCKS = 16
 
 
-def gather_tables(docs: DataFrame, sizes: list[int], fill) -> list[np.ndarray]:
+def gather_tables(docs: DataFrame, sizes: list[int], fill, most: int = _PIECE_BYTES) -> list[np.ndarray]:
     """Counts in tables of fixed sizes, over the texts of all of `docs`.
 
-    `fill(tables, data, offsets)` adds a run of texts to a task's tables. Few tasks, two for
+    `fill(tables, data, offsets)` adds a run of texts, of about `most` bytes, to a task's tables. Few tasks, two for
     each core, fill one set of tables each; groups of tables are added up level by level, so
     no task or driver sees more than a few at a time.
     """
@@ -89,7 +89,7 @@ def gather_tables(docs: DataFrame, sizes: list[int], fill) -> list[np.ndarray]:
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tables = [np.zeros(size, dtype=np.uint64) for size in sizes]
         for batch in batches:
-            for _, data, offsets in pieces(batch.column(0)):
+            for _, data, offsets in pieces(batch.column(0), most):
                 fill(tables, data, offsets)
         part = TaskContext.get().partitionId()
         for number, table in enumerate(tables):

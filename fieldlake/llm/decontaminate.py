@@ -28,6 +28,8 @@ from fieldlake.llm.common import gather_tables
 from fieldlake.llm.words import PLAIN, U64, text_words, word_bounds, word_hashes
 
 _SLOTS = 1 << 20
+#: Bytes of texts that are worked on at once: what a task holds besides its tables grows with them.
+_RUN_BYTES = 1 << 17
 
 
 class Vocabulary:
@@ -109,7 +111,7 @@ def document_counts(docs: DataFrame, items: Items) -> tuple[np.ndarray, int]:
         total, seen = np.zeros(size, dtype=np.int64), 0
         for batch in batches:
             seen += batch.num_rows
-            for _, words, places in text_words(batch.column(0), PLAIN):
+            for _, words, places in text_words(batch.column(0), PLAIN, _RUN_BYTES):
                 features = items.vocabulary.features(words)
                 owner = np.repeat(np.arange(len(places) - 1), np.diff(places))
                 known = features >= 0
@@ -206,7 +208,7 @@ def window_matrix(docs: DataFrame, items: Items, half: int) -> np.ndarray:
         for a, b, times in window_products(items.vocabulary.features(word_hashes(data, starts, ends)), places, half):
             np.add.at(tables[0], _cell(a, b), times)
 
-    return gather_tables(docs, [size * (size + 1) // 2], fill)[0]
+    return gather_tables(docs, [size * (size + 1) // 2], fill, _RUN_BYTES)[0]
 
 
 def latent_basis(docs: DataFrame, items: Items, *, half: int, rank: int, rounds: int = 2, seed: int = 3, cells: int = 1 << 23) -> np.ndarray:
@@ -272,7 +274,7 @@ def _multiplied(docs: DataFrame, items: Items, product, weighted: np.ndarray) ->
     def multiply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(weighted.shape)
         for batch in batches:
-            for _, words, places in text_words(batch.column(0), PLAIN, 1 << 17):
+            for _, words, places in text_words(batch.column(0), PLAIN, _RUN_BYTES):
                 total += product(items.vocabulary.features(words), places, weighted)
         yield pa.RecordBatch.from_arrays([pa.array(np.arange(total.size)), pa.array(total.ravel())], names=["at", "value"])
 
@@ -362,7 +364,7 @@ def copies(items: Items, words: np.ndarray, features: np.ndarray, places: np.nda
 def find(items: Items, rules: Rules, texts: pa.Array) -> list[tuple[int, int, float, float, int]]:
     """Leaks in a batch: (row, item number, cosine, share of the item in order, first word of the window)."""
     found: dict[tuple[int, int], tuple[float, float, int]] = {}
-    for first, words, places in text_words(texts, PLAIN, 1 << 17):
+    for first, words, places in text_words(texts, PLAIN, _RUN_BYTES):
         features = items.vocabulary.features(words)
         bounds, known, first_half = half_windows(features, places, rules.half)
         windows = windows_of(sums_of(items.basis, known, bounds), first_half)

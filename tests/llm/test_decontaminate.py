@@ -4,6 +4,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 
 from fieldlake.llm import decontaminate
+from fieldlake.llm.common import gather_tables
 from fieldlake.llm.words import hash_word
 from helpers import SCHEMA, no_documents, odd_documents, plain, prose, read
 
@@ -178,3 +179,14 @@ def test_order_is_looked_at_only_where_enough_of_an_item_stands(monkeypatch):
     found = decontaminate.find(items, rules, pa.array(texts))
     assert (20, 0) in {(row, item) for row, item, *_ in found}
     assert asked and min(asked) >= rules.maybe
+
+
+def test_tables_are_filled_from_runs_of_the_asked_size(spark):
+    texts = [prose(k, 400) for k in range(60)]
+
+    def fill(tables, data, offsets):
+        tables[0][0] += np.uint64(len(data) > 1 << 14)
+        tables[0][1] += np.uint64(len(data))
+
+    over, seen = gather_tables(spark.createDataFrame([(x,) for x in texts], "text string").coalesce(1), [16], fill, 1 << 14)[0][:2]
+    assert over == 0 and seen == sum(map(len, texts))
